@@ -19,13 +19,19 @@ EXTRA_NULL_TOKENS = ("<na>", "nan")
 # Numeric text: optional sign, digits with optional fraction (or a bare
 # fraction), optional exponent. Spark alone would also accept '1d' or '1f'.
 NUMERIC_PATTERN = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
-# Leading or trailing whitespace (any kind Java's \s knows, not just spaces).
-EDGE_WHITESPACE = r"^\s+|\s+$"
+# Whitespace stripped from both ends of text: space, tab, newline, vertical
+# tab, form feed, carriage return.
+WHITESPACE = " \t\n\u000b\f\r"
 
 
 def strip_lower(c: Column) -> Column:
     """Lower-case and strip surrounding whitespace."""
-    return F.lower(F.regexp_replace(c, EDGE_WHITESPACE, ""))
+    return F.lower(strip(c))
+
+
+def strip(c: Column) -> Column:
+    """Remove surrounding whitespace (``trim`` with an explicit character set)."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def null_if_in(c: Column, values) -> Column:
@@ -44,7 +50,7 @@ def to_number(c: Column, dtype: T.DataType) -> Column:
     floating inputs stay double.
     """
     if isinstance(dtype, T.StringType):
-        trimmed = F.regexp_replace(c, EDGE_WHITESPACE, "")
+        trimmed = strip(c)
         return F.when(is_numeric_text(trimmed), trimmed.try_cast("double"))
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return c
@@ -54,6 +60,6 @@ def to_number(c: Column, dtype: T.DataType) -> Column:
 def is_bad_number(c: Column, dtype: T.DataType) -> Column:
     """Value present but not numeric (only text can be bad)."""
     if isinstance(dtype, T.StringType):
-        trimmed = F.regexp_replace(c, EDGE_WHITESPACE, "")
+        trimmed = strip(c)
         return c.isNotNull() & ~is_numeric_text(trimmed)
     return F.lit(False)

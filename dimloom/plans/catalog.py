@@ -1,6 +1,6 @@
 """Imports every registry module so that QUERIES / ORACLES are complete."""
 
-from dimloom.plans import q_clean  # noqa: F401
+from dimloom.plans import q_clean, q_dims  # noqa: F401
 from dimloom.plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = "clean_sparse_columns"

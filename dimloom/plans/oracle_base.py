@@ -59,18 +59,18 @@ JOIN region ON r_regionkey = n_regionkey
 JOIN part ON p_partkey = l_partkey
 )"""
 
-WS = r"'^\s+|\s+$'"
+WS = "(chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 NUM = r"'^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$'"
 NULL_WORDS = "('unknown', 'not applicable', 'unk', 'none', 'nan', '', '<na>')"
 
 
 def norm(x: str) -> str:
-    s = f"lower(regexp_replace({x}, {WS}, '', 'g'))"
+    s = f"lower(trim({x}, {WS}))"
     return f"CASE WHEN {s} IN {NULL_WORDS} THEN NULL ELSE {s} END"
 
 
 def num(x: str) -> str:
-    s = f"regexp_replace({x}, {WS}, '', 'g')"
+    s = f"trim({x}, {WS})"
     return f"CASE WHEN regexp_matches({s}, {NUM}) THEN CAST({s} AS DOUBLE) END"
 
 

@@ -78,7 +78,10 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation and region: 25 and 5 rows in every scale factor (fixed size).
     geo = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = t("customer").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    orders = t("orders").join(cust, F.col("o_custkey") == F.col("c_custkey"))
-    lines = t("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
+    # customer, orders, lineitem and part all grow with the data: sort-merge
+    # joins (they spill instead of failing) rather than a broadcast picked
+    # from small compressed-file estimates.
+    orders = t("orders").join(cust.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    lines = t("lineitem").join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.join(t("part").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
     return lines.selectExpr(*RAW_COLUMNS)
