@@ -102,7 +102,7 @@ def build_dimension(staging: DataFrame, spec: DimSpec) -> DataFrame:
 
 
 def keyed_dimension(staging: DataFrame, spec: DimSpec, start: int = 0,
-                    bucket_rows: int = DEFAULT_BUCKET_ROWS) -> Keyed:
+                    bucket_rows: int | None = DEFAULT_BUCKET_ROWS) -> Keyed:
     """D0 + K1: members with dense keys from ``start + 1`` in the spec's order."""
     return assign_keys(build_dimension(staging, spec), spec.ordering, spec.key, start, bucket_rows)
 
@@ -118,7 +118,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame, on) -> DataFrame:
 
 
 def insert_new(staging: DataFrame, spec: DimSpec, existing: DataFrame,
-               bucket_rows: int = DEFAULT_BUCKET_ROWS) -> Keyed:
+               bucket_rows: int | None = DEFAULT_BUCKET_ROWS) -> Keyed:
     """D1 + K2: members not in ``existing`` (by natural key), numbered after its
     largest key. Returns only the rows to append."""
     fresh = new_rows(build_dimension(staging, spec), existing, list(spec.natural))

@@ -47,11 +47,15 @@ def broadcast_limit(spark: SparkSession) -> int:
     return n * {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}[unit]
 
 
+_FIXED_BYTES = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4, T.FloatType: 4}
+
+
 def row_bytes(schema: T.StructType, string_bytes: int = 64) -> int:
+    """Estimated in-memory bytes of one row (8 for other fixed-width types)."""
     size = 16
     for f in schema.fields:
         dt = f.dataType
-        size += string_bytes if isinstance(dt, T.StringType) else max(dt.defaultSize(), 8)
+        size += string_bytes if isinstance(dt, T.StringType) else _FIXED_BYTES.get(type(dt), 8)
     return size
 
 

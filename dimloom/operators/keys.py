@@ -25,7 +25,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_ROWS = 2_000_000
+# Rows per bucket: about one bucket per shuffle partition, never tiny ones.
+DEFAULT_BUCKET_ROWS = None
+MIN_BUCKET_ROWS = 1000
 MAX_BUCKETS = 4096
 SAMPLES_PER_BUCKET = 32
 
@@ -69,15 +71,20 @@ def bucket_count(rows: int, bucket_rows: int) -> int:
     return max(1, min(MAX_BUCKETS, math.ceil(rows / max(1, bucket_rows))))
 
 
+def auto_bucket_rows(df: DataFrame, rows: int) -> int:
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(MIN_BUCKET_ROWS, math.ceil(rows / max(1, parts)))
+
+
 def assign_keys(df: DataFrame, order_by, key: str, start: int = 0,
-                bucket_rows: int = DEFAULT_BUCKET_ROWS, rows: int | None = None) -> Keyed:
+                bucket_rows: int | None = DEFAULT_BUCKET_ROWS, rows: int | None = None) -> Keyed:
     """K1: add ``key`` = start + 1, start + 2, ... in ``order_by`` order.
 
     ``order_by`` must be a total order over the rows of ``df``.
     """
     names = _names(df, order_by)
     n = df.count() if rows is None else rows
-    buckets = bucket_count(n, bucket_rows)
+    buckets = bucket_count(n, bucket_rows or auto_bucket_rows(df, n))
     if buckets == 1:
         bucket = F.lit(0)
         offsets = [0]
@@ -107,7 +114,7 @@ def max_key(df: DataFrame, key: str) -> int:
 
 
 def continue_keys(new: DataFrame, existing: DataFrame, order_by, key: str,
-                  bucket_rows: int = DEFAULT_BUCKET_ROWS) -> Keyed:
+                  bucket_rows: int | None = DEFAULT_BUCKET_ROWS) -> Keyed:
     """K2: number new members after the largest existing key."""
     return assign_keys(new, order_by, key, start=max_key(existing, key), bucket_rows=bucket_rows)
 

@@ -1,8 +1,8 @@
 """Imports every registry module so that QUERIES / ORACLES are complete."""
 
-from dimloom.plans import q_clean, q_dims  # noqa: F401
+from dimloom.plans import q_audit, q_clean, q_dims, q_fact  # noqa: F401
 from dimloom.plans.registry import ORACLES, QUERIES
 
-FLAGSHIP = "clean_sparse_columns"
+FLAGSHIP = "fact_view"
 
 __all__ = ["QUERIES", "ORACLES", "FLAGSHIP"]
