@@ -35,7 +35,13 @@ def strip(c: Column) -> Column:
 
 
 def null_if_in(c: Column, values) -> Column:
-    return F.when(c.isin(*values), F.lit(None).cast(T.StringType())).otherwise(c)
+    """NULL when ``c`` is one of ``values``, else ``c``.
+
+    Written so that ``c`` is referenced once: a CASE would evaluate the
+    (stripping, lower-casing) input twice per row.
+    """
+    listed = F.array(*[F.lit(v).cast(T.StringType()) for v in values])
+    return F.try_element_at(F.array_except(F.array(c), listed), F.lit(1))
 
 
 def is_numeric_text(c: Column) -> Column:

@@ -78,10 +78,20 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation and region: 25 and 5 rows in every scale factor (fixed size).
     geo = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))
     cust = t("customer").join(F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
-    # customer, orders, lineitem and part all grow with the data: sort-merge
-    # joins (they spill instead of failing) rather than a broadcast picked
-    # from small compressed-file estimates.
-    orders = t("orders").join(cust.hint("merge"), F.col("o_custkey") == F.col("c_custkey"))
+    # customer, orders, lineitem and part all grow with the data. customer and
+    # part are broadcast only when their exact row count times the row width
+    # of the pruned side fits the session's threshold; otherwise (and always
+    # for orders x lineitem) a sort-merge join, which spills instead of failing.
+    cust = sized_side(cust.select("c_custkey", "c_mktsegment", "c_nationkey", "n_name", "r_regionkey", "r_name"))
+    orders = t("orders").join(cust, F.col("o_custkey") == F.col("c_custkey"))
     lines = t("lineitem").join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lines.join(t("part").hint("merge"), F.col("l_partkey") == F.col("p_partkey"))
+    part = sized_side(t("part").select("p_partkey", "p_brand", "p_size"))
+    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
     return lines.selectExpr(*RAW_COLUMNS)
+
+
+def sized_side(df: DataFrame) -> DataFrame:
+    """Broadcast hint if the exact size is small enough, else a merge-join hint."""
+    from dimloom.operators.fact import fits_broadcast
+
+    return F.broadcast(df) if fits_broadcast(df.sparkSession, df.count(), df.schema) else df.hint("merge")
