@@ -14,7 +14,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.operators.clean import CleanConfig, clean
+from dimloom.operators.clean import CleanConfig, clean, sparse_columns
 from dimloom.session import new_scratch_path, path_exists
 from dimloom.sources.fixtures import raw_incidents
 
@@ -30,31 +30,38 @@ WAREHOUSE_COLUMNS = (
 )
 
 _lock = threading.Lock()
-_staged: dict[tuple[str, str], str] = {}
+_staged: dict[tuple[str, str], tuple[str, list[str]]] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_incidents(spark, sf_dir)
 
 
-def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
-    """Clean the raw table and write it as the staging table; returns its path."""
+def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) -> tuple[str, list[str]]:
+    """Clean the raw table and write it as the staging table.
+
+    The table is written once, up to the drop list; the NULL-share profile for
+    the sparse drop then runs over that columnar copy instead of recomputing
+    the raw joins, and the sparse columns are dropped on read (column pruning
+    makes that free). Returns (path, dropped columns).
+    """
     cfg = CleanConfig(protect=WAREHOUSE_COLUMNS)
-    df = clean(raw(spark, sf_dir), "sparse", cfg)
     path = path or new_scratch_path(spark, "staging")
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    clean(raw(spark, sf_dir), "rename", cfg).write.mode("errorifexists").parquet(path)
+    dropped, _ = sparse_columns(spark.read.parquet(path), cfg.sparse_threshold, cfg.protect)
+    return path, dropped
 
 
 def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staging table for ``sf_dir``, built on first use in this session."""
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _lock:
-        path = _staged.get(key)
-        if path is None or not path_exists(spark, path):
-            path = build_staging(spark, sf_dir)
-            _staged[key] = path
-    return spark.read.parquet(path)
+        hit = _staged.get(key)
+        if hit is None or not path_exists(spark, hit[0]):
+            hit = build_staging(spark, sf_dir)
+            _staged[key] = hit
+    path, dropped = hit
+    return spark.read.parquet(path).drop(*dropped)
 
 
 def forget_staging() -> None:

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.functions.dates import calendar
-from dimloom.operators.clean import CleanConfig, clean
+from dimloom.operators.clean import CleanConfig, clean, sparse_columns
 from dimloom.operators.dims import DimSpec, insert_new, keyed_dimension
 from dimloom.operators.fact import fact_view, load_fact
 from dimloom.operators.keys import Keyed
@@ -216,13 +216,20 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
 
     staging_path = f"{wh.root}/_staging/v{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}"
 
+    dropped: list[str] = []
+
     def do_stage():
-        clean(raw, "sparse", CleanConfig(protect=tuple(protect))).write.parquet(staging_path)
-        return StepResult("staging", 1, spark.read.parquet(staging_path).count(), "cleaned and staged")
+        # Written once up to the drop list; the sparse columns are found on the
+        # columnar copy and dropped on read.
+        cfg = CleanConfig(protect=tuple(protect))
+        clean(raw, "rename", cfg).write.parquet(staging_path)
+        written = spark.read.parquet(staging_path)
+        dropped.extend(sparse_columns(written, cfg.sparse_threshold, cfg.protect)[0])
+        return StepResult("staging", 1, written.count(), f"cleaned and staged; sparse columns dropped: {dropped}")
 
     if not run("staging", do_stage):
         return _as_frame(spark, results)
-    staging = spark.read.parquet(staging_path)
+    staging = spark.read.parquet(staging_path).drop(*dropped)
     if refresh:
         names = [FACT] + [s.name for s in specs] + ["DimDate"]
         run("reset", lambda: (wh.reset(names), StepResult("reset", 1, 0, "tables emptied"))[1])
