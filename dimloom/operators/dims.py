@@ -139,7 +139,9 @@ def members_in_use(dim: DataFrame, facts: DataFrame, pairs, null_as: dict | None
         if dcol in null_as:
             fe = F.coalesce(fe, F.lit(null_as[dcol]))
         fact_cols.append(fe.alias(f"__f{i}"))
-    used = facts.select(*fact_cols)
+    # Distinct key values first: partial aggregation shrinks the (possibly huge,
+    # possibly skewed) fact side on the map side before anything is shuffled.
+    used = facts.select(*fact_cols).distinct()
     for i, (dcol, _) in enumerate(pairs):
         dc = dim[dcol]
         if dcol in null_as:

@@ -221,3 +221,16 @@ def fact_load_incremental(spark, sf_dir):
     empty = spark.createDataFrame([], contract)
     first = load_fact(view.where(F.col("DateKey") < FIRST_LOAD_BEFORE), empty, contract, FACT_RENAMES)
     return load_fact(view, first, contract, FACT_RENAMES)
+
+
+@register("dim_date_in_use", fact_with(
+    "cal AS (SELECT CAST(strftime(d, '%Y%m%d') AS INT) AS DateKey, CAST(d AS DATE) AS FullDate, "
+    "CAST(year(d) AS INT) AS year, CAST(month(d) AS SMALLINT) AS month, CAST(day(d) AS SMALLINT) AS day "
+    "FROM range(DATE '1900-01-01', DATE '2101-01-01', INTERVAL 1 DAY) t(d))") + """
+SELECT * FROM cal WHERE EXISTS (SELECT 1 FROM fact f WHERE f.DateKey = cal.DateKey)""")
+def dim_date_in_use(spark, sf_dir):
+    """D-Date + J9: calendar days (1900-2100, generated) that fact rows refer to."""
+    from dimloom.operators.dims import members_in_use
+    from dimloom.plans.star import date_dimension
+
+    return members_in_use(date_dimension(spark).df, star_fact(spark, sf_dir), [("DateKey", "DateKey")])
