@@ -30,14 +30,15 @@ WAREHOUSE_COLUMNS = (
 )
 
 _lock = threading.Lock()
-_staged: dict[tuple[str, str], tuple[str, list[str]]] = {}
+_staged: dict[tuple, tuple[str, list[str]]] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_incidents(spark, sf_dir)
 
 
-def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) -> tuple[str, list[str]]:
+def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None,
+                  protect=WAREHOUSE_COLUMNS) -> tuple[str, list[str]]:
     """Clean the raw table and write it as the staging table.
 
     The table is written once, up to the drop list; the NULL-share profile for
@@ -45,20 +46,23 @@ def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) ->
     the raw joins, and the sparse columns are dropped on read (column pruning
     makes that free). Returns (path, dropped columns).
     """
-    cfg = CleanConfig(protect=WAREHOUSE_COLUMNS)
+    cfg = CleanConfig(protect=tuple(protect))
     path = path or new_scratch_path(spark, "staging")
     clean(raw(spark, sf_dir), "rename", cfg).write.mode("errorifexists").parquet(path)
     dropped, _ = sparse_columns(spark.read.parquet(path), cfg.sparse_threshold, cfg.protect)
     return path, dropped
 
 
-def stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging table for ``sf_dir``, built on first use in this session."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+def stage(spark: SparkSession, sf_dir: str, protect=WAREHOUSE_COLUMNS) -> DataFrame:
+    """The staging table for ``sf_dir``, built on first use in this session.
+
+    ``protect`` lists columns the sparse drop must keep (default: the ones the
+    warehouse reads)."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(protect))
     with _lock:
         hit = _staged.get(key)
         if hit is None or not path_exists(spark, hit[0]):
-            hit = build_staging(spark, sf_dir)
+            hit = build_staging(spark, sf_dir, protect=protect)
             _staged[key] = hit
     path, dropped = hit
     return spark.read.parquet(path).drop(*dropped)

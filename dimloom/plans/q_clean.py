@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dimloom.operators.clean import clean
 from dimloom.plans import oracle_base as O
-from dimloom.plans.pipeline import raw
+from dimloom.plans.pipeline import raw, stage
 from dimloom.plans.registry import register
 
 _GEO_ONLY = O.select_over(
@@ -45,5 +45,7 @@ def clean_rename(spark, sf_dir):
 
 @register("clean_sparse_columns", O.staged() + "SELECT * FROM stage")
 def clean_sparse_columns(spark, sf_dir):
-    """Columns at least 80% NULL dropped (decided by one aggregation)."""
-    return clean(raw(spark, sf_dir), "sparse")
+    """Columns at least 80% NULL dropped. The table is written once up to the
+    drop list; the NULL shares are measured on that copy and the sparse columns
+    are dropped on read (no second pass over the raw joins)."""
+    return stage(spark, sf_dir, protect=())

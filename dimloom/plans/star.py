@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,7 +19,10 @@ from dimloom.plans.specs import BY_NAME, DEDUPE_ORDER, FACT_COLUMNS, LOOKUPS
 from dimloom.session import new_scratch_path, path_exists
 
 _lock = threading.Lock()
+_name_locks: dict[tuple[str, str, str], threading.Lock] = {}
 _dims: dict[tuple[str, str, str], tuple[str, int]] = {}
+# Dimensions are small jobs; several are built at once so their stages overlap.
+BUILD_THREADS = 8
 
 
 def _memo_key(spark: SparkSession, sf_dir: str, name: str):
@@ -30,6 +34,8 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> Keyed:
     spec = BY_NAME[name]
     key = _memo_key(spark, sf_dir, name)
     with _lock:
+        lock = _name_locks.setdefault(key, threading.Lock())
+    with lock:
         hit = _dims.get(key)
         if hit is None or not path_exists(spark, hit[0]):
             keyed = keyed_dimension(stage(spark, sf_dir), spec)
@@ -41,8 +47,12 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> Keyed:
 
 
 def dimensions(spark: SparkSession, sf_dir: str, names=None) -> dict[str, Keyed]:
-    names = names or [lk.dim for lk in LOOKUPS]
-    return {n: dimension(spark, sf_dir, n) for n in names}
+    """Several dimensions, built concurrently (each is its own set of small jobs)."""
+    names = list(names or [lk.dim for lk in LOOKUPS])
+    stage(spark, sf_dir)  # build staging once before the threads start
+    with ThreadPoolExecutor(max_workers=min(BUILD_THREADS, len(names))) as pool:
+        built = list(pool.map(lambda n: dimension(spark, sf_dir, n), names))
+    return dict(zip(names, built))
 
 
 def date_dimension(spark: SparkSession) -> Keyed:

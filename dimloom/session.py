@@ -26,6 +26,11 @@ _LOCAL_DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "16g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The cleaning projection is wide: its generated code exceeds the JVM's
+    # default size limit for JIT compilation and would stay interpreted. On a
+    # cluster set the same flag in spark.executor.extraJavaOptions.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 

@@ -82,16 +82,20 @@ def raw_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     # part are broadcast only when their exact row count times the row width
     # of the pruned side fits the session's threshold; otherwise (and always
     # for orders x lineitem) a sort-merge join, which spills instead of failing.
-    cust = sized_side(cust.select("c_custkey", "c_mktsegment", "c_nationkey", "n_name", "r_regionkey", "r_name"))
+    # The customer x geography join cannot add rows (each customer has one
+    # nation), so the customer table's row count bounds that side.
+    cust = sized_side(cust.select("c_custkey", "c_mktsegment", "c_nationkey", "n_name", "r_regionkey", "r_name"),
+                      t("customer").count())
     orders = t("orders").join(cust, F.col("o_custkey") == F.col("c_custkey"))
     lines = t("lineitem").join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    part = sized_side(t("part").select("p_partkey", "p_brand", "p_size"))
-    lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    part = t("part").select("p_partkey", "p_brand", "p_size")
+    lines = lines.join(sized_side(part, part.count()), F.col("l_partkey") == F.col("p_partkey"))
     return lines.selectExpr(*RAW_COLUMNS)
 
 
-def sized_side(df: DataFrame) -> DataFrame:
-    """Broadcast hint if the exact size is small enough, else a merge-join hint."""
+def sized_side(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast hint when ``max_rows`` (an upper bound on the rows of ``df``)
+    times the row width fits the session threshold, else a merge-join hint."""
     from dimloom.operators.fact import fits_broadcast
 
-    return F.broadcast(df) if fits_broadcast(df.sparkSession, df.count(), df.schema) else df.hint("merge")
+    return F.broadcast(df) if fits_broadcast(df.sparkSession, max_rows, df.schema) else df.hint("merge")
