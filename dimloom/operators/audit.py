@@ -29,7 +29,9 @@ def code_label_conflicts(df: DataFrame, pairs, list_labels: bool = False) -> Dat
     All pairs in one pass: each row is expanded to one (pair, code, label)
     triple per pair, de-duplicated with partial aggregation before the
     shuffle, then counted per (pair, code). Output: code_column, label_column,
-    code (as text), n_labels [, labels joined with '|' in byte order].
+    code (as text), n_labels. With ``list_labels`` there is one row per
+    conflicting label instead (a join back to the distinct triples), so no
+    code's labels are ever gathered into a single value or task.
     """
     pairs = [(c, t) for c, t in pairs if c in df.columns and t in df.columns]
     if not pairs:
@@ -40,11 +42,11 @@ def code_label_conflicts(df: DataFrame, pairs, list_labels: bool = False) -> Dat
         for c, t in pairs])).alias("p")
     flat = df.select(triples).select("p.*").where(F.col("code").isNotNull() & F.col("label").isNotNull())
     distinct = flat.distinct()
-    aggs = [F.count(F.lit(1)).alias("n_labels")]
+    keys = ["code_column", "label_column", "code"]
+    out = distinct.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_labels")).where(F.col("n_labels") > 1)
     if list_labels:
-        aggs.append(F.array_join(F.array_sort(F.collect_list("label")), "|").alias("labels"))
-    out = distinct.groupBy("code_column", "label_column", "code").agg(*aggs)
-    return out.where(F.col("n_labels") > 1)
+        return distinct.join(out, keys).select(*keys, "label", "n_labels")
+    return out
 
 
 def non_numeric(df: DataFrame, cols) -> DataFrame:

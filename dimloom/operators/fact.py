@@ -59,11 +59,20 @@ def row_bytes(schema: T.StructType, string_bytes: int = 64) -> int:
     return size
 
 
-def fits_broadcast(spark: SparkSession, rows: int | None, schema: T.StructType) -> bool:
-    """Broadcast only a side whose exact row count is known and whose estimated
-    size is inside the session's threshold."""
+def fits_broadcast(spark: SparkSession, rows: int | None, schema: T.StructType,
+                   text_bytes: int | None = None) -> bool:
+    """Broadcast only a side whose row count is known (exactly or as an upper
+    bound) and whose size is inside the session's threshold. With
+    ``text_bytes`` (measured total bytes of its text) the size is exact up to
+    per-row overhead; without it, text is assumed to take 64 bytes a value."""
     limit = broadcast_limit(spark)
-    return rows is not None and limit > 0 and rows * row_bytes(schema) <= limit
+    if rows is None or limit <= 0:
+        return False
+    if text_bytes is None:
+        return rows * row_bytes(schema) <= limit
+    fixed = row_bytes(T.StructType([f for f in schema.fields if not isinstance(f.dataType, T.StringType)]))
+    n_text = sum(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    return rows * (fixed + 8 * n_text) + text_bytes <= limit
 
 
 def dedupe(df: DataFrame, keys, order_by) -> DataFrame:
@@ -80,7 +89,8 @@ def dedupe(df: DataFrame, keys, order_by) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
-def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None,
+           dim_text_bytes: int | None = None) -> DataFrame:
     """Add ``spec.key`` (and carried columns) to every fact row.
 
     The dimension is first reduced to one key per natural key (the smallest,
@@ -92,7 +102,8 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
     reduced = dim.groupBy(*dcols).agg(*aggs)
     side = reduced.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
-    if fits_broadcast(fact.sparkSession, dim_rows, side.schema):
+    # The reduced side has no more rows and no more text than the dimension.
+    if fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes):
         side = F.broadcast(side)
     cond = [spec.fact_expr(i) == side[f"__d{i}"] for i in range(len(dcols))]
     joined = fact.join(side, cond, spec.how)
@@ -118,7 +129,7 @@ def resolve_star(events: DataFrame, dims: dict, lookups) -> DataFrame:
     out = events
     for spec in lookups:
         keyed = dims[spec.dim]
-        out = lookup(out, keyed.df, spec, keyed.rows)
+        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes)
     return out
 
 

@@ -34,11 +34,24 @@ SAMPLES_PER_BUCKET = 32
 
 @dataclass
 class Keyed:
-    """A keyed table and its exact row count (a proven size bound)."""
+    """A keyed table, its exact row count and total text bytes (a size bound)."""
 
     df: DataFrame
     rows: int
     key: str
+    text_bytes: int | None = None
+
+
+def size_stats(df: DataFrame) -> tuple[int, int]:
+    """(rows, total UTF-8 bytes of all text columns) in one aggregation."""
+    from pyspark.sql import types as T
+
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if text:
+        aggs.append(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))).alias("b"))
+    row = df.agg(*aggs).first()
+    return int(row["n"]), int(row["b"] or 0) if text else 0
 
 
 def _cols(order_by) -> list[Column]:
@@ -83,7 +96,11 @@ def assign_keys(df: DataFrame, order_by, key: str, start: int = 0,
     ``order_by`` must be a total order over the rows of ``df``.
     """
     names = _names(df, order_by)
-    n = df.count() if rows is None else rows
+    text_bytes = None
+    if rows is None:
+        n, text_bytes = size_stats(df)
+    else:
+        n = rows
     buckets = bucket_count(n, bucket_rows or auto_bucket_rows(df, n))
     if buckets == 1:
         bucket = F.lit(0)
@@ -104,7 +121,7 @@ def assign_keys(df: DataFrame, order_by, key: str, start: int = 0,
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), bucket + 1)
     w = Window.partitionBy(bucket).orderBy(*_cols(names))
     keyed = df.withColumn(key, (F.row_number().over(w) + offset + F.lit(start)).cast("int"))
-    return Keyed(keyed.select(key, *df.columns), n, key)
+    return Keyed(keyed.select(key, *df.columns), n, key, text_bytes)
 
 
 def max_key(df: DataFrame, key: str) -> int:

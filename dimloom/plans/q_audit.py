@@ -47,12 +47,14 @@ def audit_alignment(spark, sf_dir):
 
 
 @register("audit_alignment_labels", O.with_(*_FILLED, _PAIRS) + """
-SELECT code_column, label_column, code, count(DISTINCT label) AS n_labels,
-  string_agg(DISTINCT label, '|' ORDER BY label) AS labels FROM pairs
-WHERE code IS NOT NULL AND label IS NOT NULL GROUP BY code_column, label_column, code
-HAVING count(DISTINCT label) > 1""")
+SELECT DISTINCT p.code_column, p.label_column, p.code, p.label, c.n_labels FROM pairs p
+JOIN (SELECT code_column, label_column, code, count(DISTINCT label) AS n_labels FROM pairs
+      WHERE code IS NOT NULL AND label IS NOT NULL GROUP BY code_column, label_column, code
+      HAVING count(DISTINCT label) > 1) c
+  ON p.code_column = c.code_column AND p.label_column = c.label_column AND p.code = c.code
+WHERE p.label IS NOT NULL""")
 def audit_alignment_labels(spark, sf_dir):
-    """The same, listing the conflicting labels."""
+    """The conflicting labels themselves, one row per (code, label)."""
     return A.code_label_conflicts(_filled(spark, sf_dir), ALIGNMENT_PAIRS, list_labels=True)
 
 

@@ -125,7 +125,7 @@ def _events(spark, sf_dir):
 
 def _lookup(events, spark, sf_dir, dim_name):
     keyed = dimension(spark, sf_dir, dim_name)
-    return lookup(events, keyed.df, LOOKUP_BY_DIM[dim_name], keyed.rows)
+    return lookup(events, keyed.df, LOOKUP_BY_DIM[dim_name], keyed.rows, keyed.text_bytes)
 
 
 # ---- queries -------------------------------------------------------------

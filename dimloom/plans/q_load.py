@@ -144,7 +144,7 @@ def star_by_category(spark, sf_dir):
                              ("DimTargetType", "TargetTypeKey", "TargetTypeLabel")):
         keyed = dimension(spark, sf_dir, name)
         side = keyed.df.select(key, label)
-        if fits_broadcast(spark, keyed.rows, side.schema):
+        if fits_broadcast(spark, keyed.rows, side.schema, keyed.text_bytes):
             side = F.broadcast(side)
         out = out.join(side, key, "left")
     return out.groupBy("AttackTypeLabel", "TargetTypeLabel").agg(

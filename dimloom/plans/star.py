@@ -20,7 +20,7 @@ from dimloom.session import new_scratch_path, path_exists
 
 _lock = threading.Lock()
 _name_locks: dict[tuple[str, str, str], threading.Lock] = {}
-_dims: dict[tuple[str, str, str], tuple[str, int]] = {}
+_dims: dict[tuple[str, str, str], tuple[str, int, int | None]] = {}
 # Dimensions are small jobs; several are built at once so their stages overlap.
 BUILD_THREADS = 8
 
@@ -41,9 +41,9 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> Keyed:
             keyed = keyed_dimension(stage(spark, sf_dir), spec)
             path = new_scratch_path(spark, name)
             keyed.df.write.parquet(path)
-            hit = (path, keyed.rows)
+            hit = (path, keyed.rows, keyed.text_bytes)
             _dims[key] = hit
-    return Keyed(spark.read.parquet(hit[0]), hit[1], spec.key)
+    return Keyed(spark.read.parquet(hit[0]), hit[1], spec.key, hit[2])
 
 
 def dimensions(spark: SparkSession, sf_dir: str, names=None) -> dict[str, Keyed]:

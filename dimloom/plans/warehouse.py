@@ -21,7 +21,7 @@ from dimloom.functions.dates import calendar
 from dimloom.operators.clean import CleanConfig, clean, sparse_columns
 from dimloom.operators.dims import DimSpec, insert_new, keyed_dimension
 from dimloom.operators.fact import fact_view, load_fact
-from dimloom.operators.keys import Keyed
+from dimloom.operators.keys import Keyed, size_stats
 from dimloom.sources.contracts import FACT_RENAMES, SCHEMAS, WIDTHS, conform
 
 FACT = "Fact_Terror_Events"
@@ -78,8 +78,10 @@ class Warehouse:
         return self.table(name).isEmpty()
 
     def keyed(self, name: str) -> Keyed:
+        """The table with its row count and text bytes (one aggregation)."""
         df = self.table(name)
-        return Keyed(df, df.count(), SCHEMAS[name].fields[0].name)
+        rows, text_bytes = size_stats(df)
+        return Keyed(df, rows, SCHEMAS[name].fields[0].name, text_bytes)
 
     # -- writes -----------------------------------------------------------
     def publish(self, name: str, df: DataFrame) -> str:
