@@ -28,6 +28,8 @@ class LookupSpec:
     how: str = "left"
     carry: tuple[str, ...] = ()
     defaults: dict = field(default_factory=dict)
+    # NULL-safe equality (NULL matches NULL) instead of SQL '='.
+    null_safe: bool = False
 
     def fact_expr(self, i: int) -> Column:
         col = F.col(self.pairs[i][1])
@@ -105,7 +107,10 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     # The reduced side has no more rows and no more text than the dimension.
     if fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes):
         side = F.broadcast(side)
-    cond = [spec.fact_expr(i) == side[f"__d{i}"] for i in range(len(dcols))]
+    if spec.null_safe:
+        cond = [spec.fact_expr(i).eqNullSafe(side[f"__d{i}"]) for i in range(len(dcols))]
+    else:
+        cond = [spec.fact_expr(i) == side[f"__d{i}"] for i in range(len(dcols))]
     joined = fact.join(side, cond, spec.how)
     return joined.drop(*[f"__d{i}" for i in range(len(dcols))])
 

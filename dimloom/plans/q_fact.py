@@ -12,7 +12,7 @@ from dimloom.plans import oracle_base as O
 from dimloom.plans.pipeline import stage
 from dimloom.plans.q_dims import star_ctes
 from dimloom.plans.registry import register
-from dimloom.plans.specs import DEDUPE_ORDER, LOOKUP_BY_DIM
+from dimloom.plans.specs import DEDUPE_ORDER, LOOKUP_BY_DIM, PRECISE_LOCATION
 from dimloom.plans.star import dimension, star_fact
 from dimloom.sources.contracts import FACT_RENAMES, SCHEMAS, conform
 from dimloom.operators.fact import load_fact
@@ -186,6 +186,19 @@ def fact_lookup_location(spark, sf_dir):
     return _lookup(_events(spark, sf_dir), spark, sf_dir, "DimLocation").select("eventid", "LocationKey")
 
 
+@register("fact_lookup_location_precise", fact_with() + """
+SELECT e.eventid, min(d.LocationKey) AS LocationKey FROM evk e
+JOIN dloc d ON d.country IS NOT DISTINCT FROM e.country AND d.region IS NOT DISTINCT FROM e.region
+  AND d.City IS NOT DISTINCT FROM e.city AND d.Province IS NOT DISTINCT FROM e.provstate
+  AND d.Latitude IS NOT DISTINCT FROM e.latitude AND d.Longitude IS NOT DISTINCT FROM e.longitude
+GROUP BY e.eventid""")
+def fact_lookup_location_precise(spark, sf_dir):
+    """J3 (precise, T8): the location matched on all six columns, NULL-safely."""
+    keyed = dimension(spark, sf_dir, "DimLocation")
+    return lookup(_events(spark, sf_dir), keyed.df, PRECISE_LOCATION, keyed.rows, keyed.text_bytes).select(
+        "eventid", "LocationKey")
+
+
 @register("fact_lookup_event_type", fact_with() + """
 SELECT e.eventid, e.multiple, evt.EventTypeKey FROM evk e LEFT JOIN uevt evt ON evt.IsMultiple = e.multiple""")
 def fact_lookup_event_type(spark, sf_dir):

@@ -152,6 +152,15 @@ LOOKUPS = [
 ]
 LOOKUP_BY_DIM = {lk.dim: lk for lk in LOOKUPS}
 
+# The default location lookup matches on (country, region, city) and takes the
+# smallest key, so events in one city share a location whatever their
+# coordinates. The precise variant matches all six columns, NULL-safely.
+PRECISE_LOCATION = LookupSpec(
+    "DimLocation", "LocationKey",
+    (("country", "country"), ("region", "region"), ("City", "city"), ("Province", "provstate"),
+     ("Latitude", "latitude"), ("Longitude", "longitude")),
+    how="inner", null_safe=True)
+
 MEASURES = ["num_killed", "num_wounded", "num_us_killed", "num_us_wounded",
             "num_terrorists_killed", "num_terrorists_wounded"]
 FACT_COLUMNS = ["eventid", "DateKey", "LocationKey", "CountryKey", "CountryName", "GTDCountryCode",
