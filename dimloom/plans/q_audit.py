@@ -17,7 +17,7 @@ from dimloom.plans.pipeline import raw, stage
 from dimloom.plans.q_dims import star_ctes
 from dimloom.plans.q_fact import _DIM_CTE, fact_with
 from dimloom.plans.registry import register
-from dimloom.plans.specs import BY_NAME, DEDUPE_ORDER, DIMENSIONS
+from dimloom.plans.specs import DEDUPE_ORDER, DIMENSIONS
 from dimloom.plans.star import date_dimension, dimension, star_fact
 from dimloom.sources.contracts import FACT_RENAMES, FOREIGN_KEYS, SCHEMAS, conform, not_null_columns
 
@@ -230,5 +230,3 @@ def audit_fact_contract(spark, sf_dir):
     fact = conform(star_fact(spark, sf_dir).withColumnsRenamed(FACT_RENAMES), SCHEMAS["Fact_Terror_Events"])
     return A.null_violations({"Fact_Terror_Events": fact}, {"Fact_Terror_Events": not_null_columns("Fact_Terror_Events")})
 
-
-__all__ = ["BY_NAME"]

@@ -1,9 +1,8 @@
 """Cleaning steps: order (T11), absent columns (P9), sparse drop with protection."""
 
-from pyspark.sql import functions as F
 
 from dimloom.operators import audit as A
-from dimloom.operators.clean import CleanConfig, clean, drop_sparse, null_profile
+from dimloom.operators.clean import clean, drop_sparse, null_profile
 
 SCHEMA = ("eventid long, iyear int, imonth int, iday int, city string, provstate string, gname string, "
           "latitude double, longitude double, nkill string, ishostkid string, summary string, ransomamt double")

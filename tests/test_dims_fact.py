@@ -2,7 +2,6 @@
 
 from dataclasses import replace
 
-from pyspark.sql import functions as F
 
 from dimloom.operators.dims import build_dimension, keyed_dimension, members_in_use, new_rows
 from dimloom.operators.fact import LookupSpec, dedupe, lookup, prepare_events
