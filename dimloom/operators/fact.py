@@ -97,16 +97,20 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
 
     The dimension is first reduced to one key per natural key (the smallest,
     A2), so a dimension holding two labels for one code cannot multiply fact
-    rows. It is broadcast when its exact size is known to be small; otherwise
-    the join is left to the planner (sort-merge, AQE skew handling).
+    rows. It is broadcast when its measured size is small; otherwise it is a
+    sort-merge join, whose hot keys AQE's skew-join handling splits.
     """
     dcols = [d for d, _ in spec.pairs]
     aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
     reduced = dim.groupBy(*dcols).agg(*aggs)
     side = reduced.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
     # The reduced side has no more rows and no more text than the dimension.
+    # Otherwise a merge hint keeps the planner from broadcasting on its own
+    # static estimate (compressed file sizes are no bound on memory).
     if fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes):
         side = F.broadcast(side)
+    else:
+        side = side.hint("merge")
     if spec.null_safe:
         cond = [spec.fact_expr(i).eqNullSafe(side[f"__d{i}"]) for i in range(len(dcols))]
     else:

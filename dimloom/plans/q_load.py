@@ -144,8 +144,8 @@ def star_by_category(spark, sf_dir):
                              ("DimTargetType", "TargetTypeKey", "TargetTypeLabel")):
         keyed = dimension(spark, sf_dir, name)
         side = keyed.df.select(key, label)
-        if fits_broadcast(spark, keyed.rows, side.schema, keyed.text_bytes):
-            side = F.broadcast(side)
+        side = F.broadcast(side) if fits_broadcast(spark, keyed.rows, side.schema, keyed.text_bytes) \
+            else side.hint("merge")
         out = out.join(side, key, "left")
     return out.groupBy("AttackTypeLabel", "TargetTypeLabel").agg(
         F.count(F.lit(1)).alias("events"), F.sum("num_killed").alias("killed"))
