@@ -30,45 +30,53 @@ WAREHOUSE_COLUMNS = (
 )
 
 _lock = threading.Lock()
-_staged: dict[tuple, tuple[str, list[str]]] = {}
+# (app, input folder) -> path of the cleaned table written up to the drop list
+_renamed: dict[tuple[str, str], str] = {}
+# (app, input folder, protected columns) -> sparse columns to drop on read
+_dropped: dict[tuple, list[str]] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_incidents(spark, sf_dir)
 
 
-def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None,
-                  protect=WAREHOUSE_COLUMNS) -> tuple[str, list[str]]:
-    """Clean the raw table and write it as the staging table.
+def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
+    """Clean the raw table up to the drop list and write it; returns its path.
 
-    The table is written once, up to the drop list; the NULL-share profile for
-    the sparse drop then runs over that columnar copy instead of recomputing
-    the raw joins, and the sparse columns are dropped on read (column pruning
-    makes that free). Returns (path, dropped columns).
+    The sparse-column decision is left to the reader: it depends on which
+    columns are protected, the written table does not.
     """
-    cfg = CleanConfig(protect=tuple(protect))
     path = path or new_scratch_path(spark, "staging")
-    clean(raw(spark, sf_dir), "rename", cfg).write.mode("errorifexists").parquet(path)
-    dropped, _ = sparse_columns(spark.read.parquet(path), cfg.sparse_threshold, cfg.protect)
-    return path, dropped
+    clean(raw(spark, sf_dir), "rename").write.mode("errorifexists").parquet(path)
+    return path
 
 
 def stage(spark: SparkSession, sf_dir: str, protect=WAREHOUSE_COLUMNS) -> DataFrame:
     """The staging table for ``sf_dir``, built on first use in this session.
 
-    ``protect`` lists columns the sparse drop must keep (default: the ones the
-    warehouse reads)."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), tuple(protect))
+    The table is written once; the NULL-share profile for the sparse drop runs
+    over that columnar copy (not the raw joins again) and the sparse columns
+    are dropped on read, which column pruning makes free. ``protect`` lists
+    columns the sparse drop must keep (default: the ones the warehouse reads).
+    """
+    base = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _lock:
-        hit = _staged.get(key)
-        if hit is None or not path_exists(spark, hit[0]):
-            hit = build_staging(spark, sf_dir, protect=protect)
-            _staged[key] = hit
-    path, dropped = hit
+        path = _renamed.get(base)
+        if path is None or not path_exists(spark, path):
+            path = build_staging(spark, sf_dir)
+            _renamed[base] = path
+            for k in [k for k in _dropped if k[:2] == base]:
+                del _dropped[k]
+        key = base + (tuple(protect),)
+        if key not in _dropped:
+            cfg = CleanConfig(protect=tuple(protect))
+            _dropped[key] = sparse_columns(spark.read.parquet(path), cfg.sparse_threshold, cfg.protect)[0]
+        dropped = _dropped[key]
     return spark.read.parquet(path).drop(*dropped)
 
 
 def forget_staging() -> None:
     """Drop the memo (bench uses it to time staging from scratch)."""
     with _lock:
-        _staged.clear()
+        _renamed.clear()
+        _dropped.clear()

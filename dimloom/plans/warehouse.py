@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -206,16 +207,21 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
     log = EtlLog(wh)
     results: list[StepResult] = []
 
-    def run(name, fn):
+    def attempt(name, fn) -> StepResult:
         try:
-            res = fn()
+            return fn()
         except Exception as e:  # noqa: BLE001 -- recorded as a failed step
-            res = StepResult(name, -1, 0, f"{type(e).__name__}: {e}"[:2000])
             traceback.print_exc()
+            return StepResult(name, -1, 0, f"{type(e).__name__}: {e}"[:2000])
+
+    def record(res: StepResult) -> bool:
         results.append(res)
         log.append(res.step, res.message)
         return res.status >= 0
 
+    def run(name, fn):
+        return record(attempt(name, fn))
+
     staging_path = f"{wh.root}/_staging/v{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}"
 
     dropped: list[str] = []
@@ -236,8 +242,12 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
         names = [FACT] + [s.name for s in specs] + ["DimDate"]
         run("reset", lambda: (wh.reset(names), StepResult("reset", 1, 0, "tables emptied"))[1])
     dims_ok = run("DimDate", lambda: load_date_dimension(wh))
-    for spec in specs:
-        dims_ok = run(spec.name, lambda spec=spec: load_dimension(wh, staging, spec)) and dims_ok
+    # Dimension loads are independent small jobs: run them concurrently, then
+    # record results (and log lines) in spec order.
+    with ThreadPoolExecutor(max_workers=min(8, max(1, len(specs)))) as pool:
+        done = list(pool.map(lambda spec: attempt(spec.name, lambda: load_dimension(wh, staging, spec)), specs))
+    for res in done:
+        dims_ok = record(res) and dims_ok
     if dims_ok:
         run(FACT, lambda: load_fact_table(wh, staging, specs, lookups, columns, order_by))
     return _as_frame(spark, results)
