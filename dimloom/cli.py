@@ -38,7 +38,11 @@ def cmd_clean(spark: SparkSession, args) -> int:
     raw = read_incidents(spark, args.input, encoding=args.encoding)
     cfg = CleanConfig(protect=tuple(args.protect or ()))
     A.row_accounting(clean(raw, "text", cfg), GEO_COLUMNS).show(truncate=False)
-    filled = clean(raw, "fill", cfg)
+    # One more pass over the raw file writes the table cleaned up to the
+    # defaults; the audits, the quarantine and the rest of the cleaning read it.
+    filled_path = f"{args.output.rstrip('/')}_filled.parquet"
+    clean(raw, "fill", cfg).write.mode("overwrite").parquet(filled_path)
+    filled = spark.read.parquet(filled_path)
     present = [p for p in ALIGNMENT_PAIRS if p[0] in filled.columns and p[1] in filled.columns]
     if present:
         A.code_label_conflicts(filled, present).show(50, truncate=False)
@@ -46,7 +50,7 @@ def cmd_clean(spark: SparkSession, args) -> int:
     if args.quarantine:
         write_quarantine(A.bad_rows(filled, NUMERIC_COLUMNS), args.quarantine, mode="overwrite")
     renamed_path = f"{args.output.rstrip('/')}_renamed.parquet"
-    clean(raw, "rename", cfg).write.mode("overwrite").parquet(renamed_path)
+    clean(filled, "rename", cfg, start="numeric").write.mode("overwrite").parquet(renamed_path)
     renamed = spark.read.parquet(renamed_path)
     dropped, kept = sparse_columns(renamed, cfg.sparse_threshold, cfg.protect)
     print(f"sparse columns dropped: {dropped}; protected: {kept}")

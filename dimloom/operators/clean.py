@@ -168,8 +168,10 @@ class CleanConfig:
     protect: tuple[str, ...] = ()
 
 
-def clean(df: DataFrame, upto: str = "sparse", config: CleanConfig | None = None) -> DataFrame:
-    """Run the cleaning steps in their fixed order up to and including ``upto``.
+def clean(df: DataFrame, upto: str = "sparse", config: CleanConfig | None = None,
+          start: str = "text") -> DataFrame:
+    """Run the cleaning steps in their fixed order from ``start`` up to and
+    including ``upto`` (``start`` lets a saved intermediate continue).
 
     Order matters: text first (so placeholders are recognised), binary codes,
     coordinates, defaults, then the numeric columns -- after the numeric audit
@@ -177,20 +179,25 @@ def clean(df: DataFrame, upto: str = "sparse", config: CleanConfig | None = None
     the sparse drop.
     """
     cfg = config or CleanConfig()
-    if upto not in STEPS:
-        raise ValueError(f"unknown cleaning step {upto!r}; expected one of {STEPS}")
-    stop = STEPS.index(upto)
-    out = normalize_text(df)
-    if stop >= 1:
+    for step in (upto, start):
+        if step not in STEPS:
+            raise ValueError(f"unknown cleaning step {step!r}; expected one of {STEPS}")
+    first, stop = STEPS.index(start), STEPS.index(upto)
+
+    def wanted(i: int) -> bool:
+        return first <= i <= stop
+
+    out = normalize_text(df) if wanted(0) else df
+    if wanted(1):
         out = coerce_numeric(out, cfg.binary)
-    if stop >= 2:
+    if wanted(2):
         out = require_not_null(out, cfg.geo)
-    if stop >= 3:
+    if wanted(3):
         out = fill_defaults(out, cfg.fill)
-    if stop >= 4:
+    if wanted(4):
         out = coerce_numeric(out, cfg.numeric)
-    if stop >= 5:
+    if wanted(5):
         out = drop_columns(rename(out, cfg.renames), cfg.drop)
-    if stop >= 6:
+    if wanted(6):
         out, _ = drop_sparse(out, cfg.sparse_threshold, cfg.protect)
     return out

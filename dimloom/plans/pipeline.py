@@ -29,7 +29,9 @@ WAREHOUSE_COLUMNS = (
     "tie1", "tie2", "tie3",
 )
 
-_lock = threading.Lock()
+_lock = threading.RLock()
+# (app, input folder) -> path of the table cleaned up to the defaults (audit input)
+_filled: dict[tuple[str, str], str] = {}
 # (app, input folder) -> path of the cleaned table written up to the drop list
 _renamed: dict[tuple[str, str], str] = {}
 # (app, input folder, protected columns) -> sparse columns to drop on read
@@ -40,14 +42,31 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_incidents(spark, sf_dir)
 
 
+def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table cleaned up to the defaults (text, codes, coordinates,
+    defaults), numbers still as text: the input of the alignment and numeric
+    audits and of the quarantine. Written once per session, so the audits and
+    the rest of the cleaning read one columnar copy instead of re-running the
+    raw joins each."""
+    base = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    with _lock:
+        path = _filled.get(base)
+        if path is None or not path_exists(spark, path):
+            path = new_scratch_path(spark, "filled")
+            clean(raw(spark, sf_dir), "fill").write.mode("errorifexists").parquet(path)
+            _filled[base] = path
+    return spark.read.parquet(path)
+
+
 def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
-    """Clean the raw table up to the drop list and write it; returns its path.
+    """Continue cleaning from the filled table up to the drop list and write
+    it; returns its path.
 
     The sparse-column decision is left to the reader: it depends on which
     columns are protected, the written table does not.
     """
     path = path or new_scratch_path(spark, "staging")
-    clean(raw(spark, sf_dir), "rename").write.mode("errorifexists").parquet(path)
+    clean(filled(spark, sf_dir), "rename", start="numeric").write.mode("errorifexists").parquet(path)
     return path
 
 
@@ -78,5 +97,6 @@ def stage(spark: SparkSession, sf_dir: str, protect=WAREHOUSE_COLUMNS) -> DataFr
 def forget_staging() -> None:
     """Drop the memo (bench uses it to time staging from scratch)."""
     with _lock:
+        _filled.clear()
         _renamed.clear()
         _dropped.clear()

@@ -13,7 +13,7 @@ from dimloom.operators.clean import ALIGNMENT_PAIRS, GEO_COLUMNS, NUMERIC_COLUMN
 from dimloom.operators.dims import candidates
 from dimloom.operators.fact import prepare_events
 from dimloom.plans import oracle_base as O
-from dimloom.plans.pipeline import raw, stage
+from dimloom.plans.pipeline import filled, raw, stage
 from dimloom.plans.q_dims import star_ctes
 from dimloom.plans.q_fact import _DIM_CTE, fact_with
 from dimloom.plans.registry import register
@@ -26,7 +26,7 @@ _BAD = "{c} IS NOT NULL AND NOT regexp_matches(trim({c}, " + O.WS + "), " + O.NU
 
 
 def _filled(spark, sf_dir) -> DataFrame:
-    return clean(raw(spark, sf_dir), "fill")
+    return filled(spark, sf_dir)
 
 
 # ---- Q1 / A3 / A6 / A9 ---------------------------------------------------

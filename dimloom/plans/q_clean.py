@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from dimloom.operators.clean import clean
 from dimloom.plans import oracle_base as O
-from dimloom.plans.pipeline import raw, stage
+from dimloom.plans.pipeline import filled, raw, stage
 from dimloom.plans.registry import register
 
 _GEO_ONLY = O.select_over(
@@ -27,20 +27,20 @@ def clean_drop_null_geo(spark, sf_dir):
 
 @register("clean_fill", O.with_(O.RAW, O.NORM, O.FILLED) + "SELECT * FROM filled")
 def clean_fill(spark, sf_dir):
-    """P5: NULL city / province filled with the default."""
-    return clean(raw(spark, sf_dir), "fill")
+    """P5: NULL city / province filled with the default (the saved audit input)."""
+    return filled(spark, sf_dir)
 
 
 @register("clean_numeric", O.with_(O.RAW, O.NORM, O.FILLED, O.NUMBERS) + "SELECT * FROM numbers")
 def clean_numeric(spark, sf_dir):
     """P3 over the numeric columns: numeric text converted, the rest NULL."""
-    return clean(raw(spark, sf_dir), "numeric")
+    return clean(filled(spark, sf_dir), "numeric", start="numeric")
 
 
 @register("clean_rename", O.with_(O.RAW, O.NORM, O.FILLED, O.NUMBERS, O.RENAMED) + "SELECT * FROM renamed")
 def clean_rename(spark, sf_dir):
     """P6 + P7: renamed columns, drop list applied."""
-    return clean(raw(spark, sf_dir), "rename")
+    return clean(filled(spark, sf_dir), "rename", start="numeric")
 
 
 @register("clean_sparse_columns", O.staged() + "SELECT * FROM stage")
