@@ -61,3 +61,14 @@ def test_membership_and_new_rows(spark):
     assert used == {1, 2}                                  # NULL coordinates compare as 0
     incoming = spark.createDataFrame([(1,), (4,), (None,)], "a int")
     assert sorted((r.a is None, r.a) for r in new_rows(incoming, dim, ["a"]).collect()) == [(False, 4), (True, None)]
+
+
+def test_reference_audit_counts_orphans(spark):
+    from dimloom.operators.audit import reference_violations
+
+    fact = spark.createDataFrame([(1, 10), (2, None), (99, 10), (99, 11), (None, 12)], "a int, b int")
+    dim_a = spark.createDataFrame([(1,), (2,), (2,)], "ka int")          # a repeated key must not inflate counts
+    dim_b = spark.createDataFrame([(10,), (11,), (12,)], "kb int")
+    got = {r.fk_column: (r.checked_rows, r.null_rows, r.orphan_rows) for r in reference_violations(
+        fact, [("a", "DimA", dim_a, "ka", 3), ("b", "DimB", dim_b, "kb", 3)]).collect()}
+    assert got == {"a": (4, 1, 2), "b": (4, 1, 0)}
