@@ -65,3 +65,20 @@ def test_row_accounting_and_alignment(spark):
     got = A.code_label_conflicts(df, [("code", "label"), ("absent", "x")], list_labels=True).collect()
     assert sorted((r.code, r.label, r.n_labels) for r in got) == [("1", "a", 2), ("1", "b", 2)]
     assert [(r.code, r.n_labels) for r in A.code_label_conflicts(df, [("code", "label")]).collect()] == [("1", 2)]
+
+
+def test_audits_find_planted_problems(spark):
+    df = spark.createDataFrame([(1, 1900, 0, "x" * 7, None), (1, 2101, 12, "ok", "a"), (2, 2000, 13, None, "b")],
+                               "id int, year int, month int, name string, label string")
+    rng = {r.column_name: r.bad_rows for r in A.range_violations(df, {"year": (1900, 2100), "month": (1, 12)}).collect()}
+    assert rng == {"year": 1, "month": 2}
+    wid = [(r.column_name, r.max_length, r.over_width) for r in A.width_violations(df, {"name": 5}).collect()]
+    assert wid == [("name", 7, 1)]
+    nn = {(r.table_name, r.column_name): r.null_rows for r in A.null_violations(
+        {"T": df}, {"T": ["name", "label", "absent"]}).collect()}
+    assert nn == {("T", "name"): 1, ("T", "label"): 1}
+    dup = [(r.id, r.n_rows) for r in A.unique_violations(df, "id").collect()]
+    assert dup == [(1, 2)]
+    bad = sorted((r.column_name, r.bad_value, r.rank) for r in A.sample_bad_values(
+        spark.createDataFrame([(f"x{i}",) for i in range(15)] + [("3",)], "v string"), ["v"], 10).collect())
+    assert len(bad) == 10 and bad[0] == ("v", "x0", 1) and all(b[1] != "3" for b in bad)
