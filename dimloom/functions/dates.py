@@ -23,7 +23,8 @@ def parts_date(year: Column, month: Column, day: Column) -> Column:
     impossible dates into NULL instead of raising under ANSI mode.
     """
     y, m, d = (c.cast("int") for c in (year, month, day))
-    text = F.concat(y.cast("string"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string"))
+    # Spark parses four-digit years only: pad years 1-999.
+    text = F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string"))
     guarded = F.when(y.isNotNull() & m.isNotNull() & d.isNotNull() & (y >= 1) & (y <= 9999), text)
     return guarded.try_cast("date")
 

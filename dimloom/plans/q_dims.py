@@ -178,7 +178,7 @@ SELECT DISTINCT
   CAST(year AS INT) AS year, CAST(month AS SMALLINT) AS month, CAST(day AS SMALLINT) AS day
 FROM stage
 WHERE year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL
-  AND TRY_CAST(CAST(year AS INT) || '-' || CAST(month AS INT) || '-' || CAST(day AS INT) AS DATE) IS NOT NULL
+  AND TRY_CAST(lpad(CAST(CAST(year AS INT) AS VARCHAR), 4, '0') || '-' || CAST(month AS INT) || '-' || CAST(day AS INT) AS DATE) IS NOT NULL
   AND year BETWEEN 1900 AND 2100 AND month BETWEEN 1 AND 12 AND day BETWEEN 1 AND 31
 """
 

@@ -28,7 +28,7 @@ _DIM_CTE = {
     "DimEventType": "devt", "DimExtendedIncident": "dext", "DimAttackSuccessType": "dasx",
 }
 
-_DATE = ("TRY_CAST(CAST(year AS INT) || '-' || CAST(month AS INT) || '-' || CAST(day AS INT) AS DATE)")
+_DATE = ("TRY_CAST(lpad(CAST(CAST(year AS INT) AS VARCHAR), 4, '0') || '-' || CAST(month AS INT) || '-' || CAST(day AS INT) AS DATE)")
 _EVENTS = [
     "ranked AS (SELECT *, row_number() OVER (PARTITION BY eventid ORDER BY tie1, tie2, tie3) AS rn FROM stage)",
     "dedup AS (SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1)",
