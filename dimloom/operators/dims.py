@@ -107,21 +107,36 @@ def keyed_dimension(staging: DataFrame, spec: DimSpec, start: int = 0,
     return assign_keys(build_dimension(staging, spec), spec.ordering, spec.key, start, bucket_rows)
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, on) -> DataFrame:
+def new_rows(incoming: DataFrame, existing: DataFrame, on, incoming_rows: int | None = None) -> DataFrame:
     """Incoming rows whose natural key is not present yet (left anti join).
 
     NULL keys never match, so they pass -- as NOT EXISTS behaves.
+
+    When the incoming batch has a known row count whose keys fit the broadcast
+    budget, the (possibly huge) existing table is never shuffled: its key
+    columns are semi-joined against the broadcast batch keys (a scan), and the
+    batch is anti-joined against those hits, of which there are at most as
+    many as distinct batch keys. Otherwise both sides are shuffled (sort-merge).
     """
+    from dimloom.operators.fact import fits_broadcast
+
     on = [on] if isinstance(on, str) else list(on)
-    cond = [incoming[c] == existing[c] for c in on]
-    return incoming.join(existing.select(*on), cond, "left_anti")
+    keys = incoming.select(*on)
+    if fits_broadcast(incoming.sparkSession, incoming_rows, keys.schema):
+        batch_keys = F.broadcast(keys)
+        hits = existing.select(*on).join(batch_keys, [existing[c] == batch_keys[c] for c in on], "left_semi")
+        hits = F.broadcast(hits.distinct())
+        return incoming.join(hits, [incoming[c] == hits[c] for c in on], "left_anti")
+    old = existing.select(*on).hint("merge")
+    return incoming.join(old, [incoming[c] == old[c] for c in on], "left_anti")
 
 
 def insert_new(staging: DataFrame, spec: DimSpec, existing: DataFrame,
                bucket_rows: int | None = DEFAULT_BUCKET_ROWS) -> Keyed:
     """D1 + K2: members not in ``existing`` (by natural key), numbered after its
     largest key. Returns only the rows to append."""
-    fresh = new_rows(build_dimension(staging, spec), existing, list(spec.natural))
+    members = build_dimension(staging, spec)
+    fresh = new_rows(members, existing, list(spec.natural), members.count())
     return continue_keys(fresh, existing, spec.ordering, spec.key, bucket_rows)
 
 

@@ -150,10 +150,12 @@ def fact_view(staging: DataFrame, dims: dict, lookups, columns, order_by,
 
 
 def load_fact(view: DataFrame, existing: DataFrame, contract: T.StructType,
-              renames: dict[str, str], id_col: str = "EventID") -> DataFrame:
+              renames: dict[str, str], id_col: str = "EventID", view_rows: int | None = None) -> DataFrame:
     """rows of ``view`` whose event is not yet in ``existing``, renamed and
-    conformed to the fact contract (the rows to append)."""
+    conformed to the fact contract (the rows to append). With ``view_rows``
+    known, the existing fact is only scanned, never shuffled (see new_rows)."""
+    from dimloom.operators.dims import new_rows
     from dimloom.sources.contracts import conform
 
     shaped = conform(view.withColumnsRenamed(renames), contract)
-    return shaped.join(existing.select(id_col), on=id_col, how="left_anti")
+    return new_rows(shaped, existing, [id_col], view_rows)

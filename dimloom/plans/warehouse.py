@@ -175,15 +175,21 @@ def load_date_dimension(wh: Warehouse) -> StepResult:
 
 def load_fact_table(wh: Warehouse, staging: DataFrame, specs, lookups, columns, order_by) -> StepResult:
     """F1 + F2: resolve events against the published dimensions and append the
-    events not yet in the fact. Rows breaking a NOT NULL key are not loaded."""
+    events not yet in the fact. Rows breaking a NOT NULL key are not loaded.
+
+    The resolved batch is written first: its exact size then decides how the
+    existing fact is consulted (a scan against the broadcast batch ids rather
+    than a shuffle of the whole fact), and the fact is never read and appended
+    by the same lazy plan twice."""
     dims = {spec.name: wh.keyed(spec.name) for spec in specs}
     view = fact_view(staging, dims, lookups, columns, order_by)
-    rows = load_fact(view, wh.table(FACT), SCHEMAS[FACT], FACT_RENAMES)
-    ok = rows.where(F.col("DateKey").isNotNull() & F.col("LocationKey").isNotNull())
-    path = wh.current_path(FACT)
-    # Materialise the batch first: the fact is read (anti join) and appended in one run.
-    batch = wh.spark.read.parquet(_stage_batch(wh, ok))
+    shaped = conform(view.withColumnsRenamed(FACT_RENAMES), SCHEMAS[FACT])
+    ok = shaped.where(F.col("DateKey").isNotNull() & F.col("LocationKey").isNotNull())
+    candidates = wh.spark.read.parquet(_stage_batch(wh, ok))
+    fresh = load_fact(candidates, wh.table(FACT), SCHEMAS[FACT], {}, view_rows=candidates.count())
+    batch = wh.spark.read.parquet(_stage_batch(wh, fresh))
     n = batch.count()
+    path = wh.current_path(FACT)
     if n:
         wh.append(FACT, batch)
     return StepResult(FACT, 1, n, f"inserted into {path or 'new table'}")

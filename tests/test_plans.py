@@ -44,3 +44,16 @@ def test_keys_window_is_partitioned(spark):
     plan = _plan(keyed.df)
     assert "SinglePartition" not in plan
     assert sorted(r.k for r in keyed.df.collect()) == list(range(1, 20001))
+
+
+def test_new_rows_scans_existing_without_shuffle(spark):
+    from dimloom.operators.dims import new_rows
+
+    existing = spark.range(200000).select(F.col("id").alias("k"))
+    incoming = spark.createDataFrame([(5,), (300000,), (None,)], "k long")
+    fresh = new_rows(incoming, existing, ["k"], 3)
+    plan = _plan(fresh)
+    assert "SortMergeJoin" not in plan and "LeftSemi" in plan and "LeftAnti" in plan
+    assert sorted((r.k is None, r.k) for r in fresh.collect()) == [(False, 300000), (True, None)]
+    unbounded = _plan(new_rows(incoming, existing, ["k"]))
+    assert "SortMergeJoin" in unbounded
