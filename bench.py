@@ -56,10 +56,14 @@ def main() -> None:
     t0 = time.perf_counter()
     star.dimensions(spark, sf_dir, [lk.dim for lk in LOOKUPS] + ["DimRegion"])
     times["dimensions"] = time.perf_counter() - t0
+    errors: dict[str, str] = {}
     for name in HEADLINE:
         t0 = time.perf_counter()
-        _materialise(catalog.QUERIES[name](spark, sf_dir))
-        times[name] = time.perf_counter() - t0
+        try:
+            _materialise(catalog.QUERIES[name](spark, sf_dir))
+            times[name] = time.perf_counter() - t0
+        except Exception as e:  # noqa: BLE001 -- reported, and the JSON line still printed
+            errors[name] = f"{type(e).__name__}: {e}"[:300]
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
         "metric": "pipeline_and_headline_total",
@@ -68,6 +72,7 @@ def main() -> None:
         "queries": {k: round(v, 3) for k, v in times.items()},
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": int(cpus),
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -196,7 +197,7 @@ def load_fact_table(wh: Warehouse, staging: DataFrame, specs, lookups, columns,
 
 
 def _stage_batch(wh: Warehouse, df: DataFrame) -> str:
-    path = f"{wh.root}/_batches/{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}"
+    path = f"{wh.root}/_batches/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return path
 
@@ -228,7 +229,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
     def run(name, fn):
         return record(attempt(name, fn))
 
-    staging_path = f"{wh.root}/_staging/v{dt.datetime.now(dt.timezone.utc).strftime('%Y%m%dT%H%M%S%f')}"
+    staging_path = f"{wh.root}/_staging/{uuid.uuid4().hex}"
 
     dropped: list[str] = []
 
