@@ -3,8 +3,10 @@ and the incremental fact load (F2, J8)."""
 
 from __future__ import annotations
 
+import operator
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -91,14 +93,40 @@ def dedupe(df: DataFrame, keys, order_by) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
+HOT_SHARE = 0.01        # a key holding at least 1% of sampled rows is hot
+HOT_SAMPLE = 0.01       # fraction of the source sampled to find hot keys
+SALTS = 32              # ways a hot key is split
+
+
+def hot_keys(source: DataFrame, exprs: list[Column], share: float = HOT_SHARE,
+             fraction: float = HOT_SAMPLE, seed: int = 11) -> list[tuple]:
+    """Key values holding at least ``share`` of a sample of ``source``.
+
+    Two small jobs over a sample; at most 1/share rows reach the driver.
+    """
+    sample = source.sample(False, fraction, seed).select(*[e.alias(f"__h{i}") for i, e in enumerate(exprs)])
+    total = sample.count()
+    if total == 0:
+        return []
+    names = [f"__h{i}" for i in range(len(exprs))]
+    rows = (sample.groupBy(*names).count().where(F.col("count") >= F.lit(max(1.0, share * total)))
+            .select(*names).collect())
+    return [tuple(r) for r in rows if all(v is not None for v in r)]
+
+
 def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None,
-           dim_text_bytes: int | None = None) -> DataFrame:
+           dim_text_bytes: int | None = None, hot: list[tuple] | None = None,
+           salts: int = SALTS) -> DataFrame:
     """Add ``spec.key`` (and carried columns) to every fact row.
 
     The dimension is first reduced to one key per natural key (the smallest,
     A2), so a dimension holding two labels for one code cannot multiply fact
-    rows. It is broadcast when its measured size is small; otherwise it is a
-    sort-merge join, whose hot keys AQE's skew-join handling splits.
+    rows. It is broadcast when its measured size is small. Otherwise it is a
+    sort-merge join; keys listed in ``hot`` (and NULL keys, which never match)
+    are salted: those fact rows are spread over ``salts`` reducers by a hash of
+    the row, and the dimension rows of hot keys are repeated once per salt, so
+    no reducer receives a hot key's rows alone. AQE's skew handling covers
+    hot keys not listed.
     """
     dcols = [d for d, _ in spec.pairs]
     aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
@@ -107,16 +135,30 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     # The reduced side has no more rows and no more text than the dimension.
     # Otherwise a merge hint keeps the planner from broadcasting on its own
     # static estimate (compressed file sizes are no bound on memory).
-    if fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes):
-        side = F.broadcast(side)
-    else:
-        side = side.hint("merge")
+    broadcast = fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes)
+    side = F.broadcast(side) if broadcast else side.hint("merge")
     if spec.null_safe:
         cond = [spec.fact_expr(i).eqNullSafe(side[f"__d{i}"]) for i in range(len(dcols))]
     else:
         cond = [spec.fact_expr(i) == side[f"__d{i}"] for i in range(len(dcols))]
+    drop = [f"__d{i}" for i in range(len(dcols))]
+    if not broadcast and hot is not None and not spec.null_safe:
+        fact_key = F.struct(*[spec.fact_expr(i).alias(f"k{i}") for i in range(len(dcols))])
+        dim_key = F.struct(*[F.col(f"__d{i}").alias(f"k{i}") for i in range(len(dcols))])
+        hot_lits = [F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(h)]) for h in hot]
+        any_null = reduce(operator.or_, [spec.fact_expr(i).isNull() for i in range(len(dcols))])
+        spread = any_null | (fact_key.isin(*hot_lits) if hot_lits else F.lit(False))
+        # deterministic salt: a recomputed task sends each row to the same reducer
+        salted_fact = fact.withColumn("__salt", F.when(spread, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
+                                      .otherwise(F.lit(0)).cast("int"))
+        replicas = F.when(dim_key.isin(*hot_lits), F.sequence(F.lit(0), F.lit(salts - 1))) if hot_lits else None
+        salted_side = side.withColumn(
+            "__salt", F.explode(replicas.otherwise(F.array(F.lit(0)))) if replicas is not None else F.lit(0))
+        cond = [spec.fact_expr(i) == salted_side[f"__d{i}"] for i in range(len(dcols))]
+        joined = salted_fact.join(salted_side, cond + [salted_fact["__salt"] == salted_side["__salt"]], spec.how)
+        return joined.drop(*drop, "__salt")
     joined = fact.join(side, cond, spec.how)
-    return joined.drop(*[f"__d{i}" for i in range(len(dcols))])
+    return joined.drop(*drop)
 
 
 def prepare_events(staging: DataFrame, order_by, dedupe_first: bool = True) -> DataFrame:
@@ -133,12 +175,22 @@ def prepare_events(staging: DataFrame, order_by, dedupe_first: bool = True) -> D
     return events.withColumn("DateKey", date_key(F.col("year"), F.col("month"), F.col("day")))
 
 
-def resolve_star(events: DataFrame, dims: dict, lookups) -> DataFrame:
-    """Every lookup in turn; ``dims`` maps dimension name to a Keyed table."""
+def resolve_star(events: DataFrame, dims: dict, lookups, hot_source: DataFrame | None = None) -> DataFrame:
+    """Every lookup in turn; ``dims`` maps dimension name to a Keyed table.
+
+    For a dimension too large to broadcast, hot fact keys are found on a
+    sample of ``hot_source`` (the staging table: a cheap columnar scan with
+    the same key distribution as the events) and salted.
+    """
     out = events
     for spec in lookups:
         keyed = dims[spec.dim]
-        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes)
+        hot = None
+        if hot_source is not None:
+            probe = keyed.df.groupBy(*[d for d, _ in spec.pairs]).agg(F.min(spec.key).alias(spec.key))
+            if not fits_broadcast(events.sparkSession, keyed.rows, probe.schema, keyed.text_bytes):
+                hot = hot_keys(hot_source, [spec.fact_expr(i) for i in range(len(spec.pairs))])
+        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot)
     return out
 
 
@@ -146,7 +198,7 @@ def fact_view(staging: DataFrame, dims: dict, lookups, columns, order_by,
               dedupe_first: bool = True) -> DataFrame:
     """de-duplicated, dated events resolved to all dimension keys."""
     events = prepare_events(staging, order_by, dedupe_first).withColumn("GTDCountryCode", F.col("country"))
-    return resolve_star(events, dims, lookups).select(*columns)
+    return resolve_star(events, dims, lookups, hot_source=staging).select(*columns)
 
 
 def load_fact(view: DataFrame, existing: DataFrame, contract: T.StructType,

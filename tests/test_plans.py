@@ -57,3 +57,31 @@ def test_new_rows_scans_existing_without_shuffle(spark):
     assert sorted((r.k is None, r.k) for r in fresh.collect()) == [(False, 300000), (True, None)]
     unbounded = _plan(new_rows(incoming, existing, ["k"]))
     assert "SortMergeJoin" in unbounded
+
+
+def test_salted_lookup_equals_plain_join(spark):
+    from dimloom.operators.fact import hot_keys
+
+    n = 6000
+    fact = spark.range(n).select(
+        F.col("id").alias("eventid"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 40).cast("string"))).alias("g"))
+    dim = spark.range(41).select(F.col("id").cast("int").alias("k"),
+                                 F.when(F.col("id") == 40, F.lit("hot")).otherwise(
+                                     F.concat(F.lit("g"), F.col("id").cast("string"))).alias("g"))
+    spec = LookupSpec("G", "k", (("g", "g"),))
+    hot = hot_keys(fact, [F.col("g")], share=0.05, fraction=0.5)
+    assert ("hot",) in hot
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        salted = lookup(fact, dim, spec, 41, 200, hot=hot, salts=8)
+        plan = _plan(salted)
+        assert "SortMergeJoin" in plan and "xxhash64" in plan
+        got = {r.eventid: r.k for r in salted.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    plain = {r.eventid: r.k for r in lookup(fact, dim, spec, 41, 200).collect()}
+    assert len(got) == n and got == plain
+    assert got[0] == 40 and got[7] is None and got[1] == 1
