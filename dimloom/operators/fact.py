@@ -143,11 +143,17 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
         cond = [spec.fact_expr(i) == side[f"__d{i}"] for i in range(len(dcols))]
     drop = [f"__d{i}" for i in range(len(dcols))]
     if not broadcast and hot is not None and not spec.null_safe:
-        fact_key = F.struct(*[spec.fact_expr(i).alias(f"k{i}") for i in range(len(dcols))])
-        dim_key = F.struct(*[F.col(f"__d{i}").alias(f"k{i}") for i in range(len(dcols))])
-        hot_lits = [F.struct(*[F.lit(v).alias(f"k{i}") for i, v in enumerate(h)]) for h in hot]
-        any_null = reduce(operator.or_, [spec.fact_expr(i).isNull() for i in range(len(dcols))])
-        spread = any_null | (fact_key.isin(*hot_lits) if hot_lits else F.lit(False))
+        k = range(len(dcols))
+        fact_key = F.struct(*[spec.fact_expr(i).alias(f"k{i}") for i in k])
+        dim_key = F.struct(*[F.col(f"__d{i}").alias(f"k{i}") for i in k])
+        # literals typed as each side's key, so the struct comparisons line up
+        ftypes = fact.select(*[spec.fact_expr(i) for i in k]).schema.fields
+        dtypes = side.select(*[f"__d{i}" for i in k]).schema.fields
+        hot_f = [F.struct(*[F.lit(v).cast(ftypes[i].dataType).alias(f"k{i}") for i, v in enumerate(h)]) for h in hot]
+        hot_lits = [F.struct(*[F.lit(v).cast(dtypes[i].dataType).alias(f"k{i}") for i, v in enumerate(h)])
+                    for h in hot]
+        any_null = reduce(operator.or_, [spec.fact_expr(i).isNull() for i in k])
+        spread = any_null | (fact_key.isin(*hot_f) if hot_f else F.lit(False))
         # deterministic salt: a recomputed task sends each row to the same reducer
         salted_fact = fact.withColumn("__salt", F.when(spread, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
                                       .otherwise(F.lit(0)).cast("int"))

@@ -85,3 +85,18 @@ def test_salted_lookup_equals_plain_join(spark):
     plain = {r.eventid: r.k for r in lookup(fact, dim, spec, 41, 200).collect()}
     assert len(got) == n and got == plain
     assert got[0] == 40 and got[7] is None and got[1] == 1
+
+
+def test_salted_lookup_mixed_key_types(spark):
+    fact = spark.range(3000).select(F.col("id").alias("eventid"),
+                                    F.when(F.col("id") % 2 == 0, F.lit(9.0)).otherwise((F.col("id") % 5).cast("double"))
+                                    .alias("code"))
+    dim = spark.range(10).select(F.col("id").cast("int").alias("k"), F.col("id").cast("short").alias("code"))
+    spec = LookupSpec("C", "k", (("code", "code"),))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = {r.eventid: r.k for r in lookup(fact, dim, spec, 10, 0, hot=[(9.0,)], salts=4).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert len(got) == 3000 and got[0] == 9 and got[1] == 1 and got[3] == 3
