@@ -114,6 +114,15 @@ def hot_keys(source: DataFrame, exprs: list[Column], share: float = HOT_SHARE,
     return [tuple(r) for r in rows if all(v is not None for v in r)]
 
 
+def reduced_side(dim: DataFrame, spec: LookupSpec) -> DataFrame:
+    """A2 for a lookup: one row per natural key (smallest key, its carried
+    columns), natural key columns renamed __d0, __d1, ..."""
+    dcols = [d for d, _ in spec.pairs]
+    aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
+    reduced = dim.groupBy(*dcols).agg(*aggs)
+    return reduced.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
+
+
 def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None,
            dim_text_bytes: int | None = None, hot: list[tuple] | None = None,
            salts: int = SALTS) -> DataFrame:
@@ -129,9 +138,7 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     hot keys not listed.
     """
     dcols = [d for d, _ in spec.pairs]
-    aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
-    reduced = dim.groupBy(*dcols).agg(*aggs)
-    side = reduced.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
+    side = reduced_side(dim, spec)
     # The reduced side has no more rows and no more text than the dimension.
     # Otherwise a merge hint keeps the planner from broadcasting on its own
     # static estimate (compressed file sizes are no bound on memory).
@@ -193,7 +200,7 @@ def resolve_star(events: DataFrame, dims: dict, lookups, hot_source: DataFrame |
         keyed = dims[spec.dim]
         hot = None
         if hot_source is not None:
-            probe = keyed.df.groupBy(*[d for d, _ in spec.pairs]).agg(F.min(spec.key).alias(spec.key))
+            probe = reduced_side(keyed.df, spec)
             if not fits_broadcast(events.sparkSession, keyed.rows, probe.schema, keyed.text_bytes):
                 hot = hot_keys(hot_source, [spec.fact_expr(i) for i in range(len(spec.pairs))])
         out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot)
