@@ -121,14 +121,15 @@ class EtlLog:
     def __init__(self, wh: Warehouse):
         self.wh = wh
 
-    def append(self, action: str, message: str, now: dt.datetime | None = None) -> bool:
+    def append(self, action: str, message: str, now: dt.datetime | None = None, rows: int | None = None) -> bool:
         try:
             existing = self.wh.table(LOG)
             next_id = (existing.agg(F.max("ETLLogID")).first()[0] or 0) + 1
             ts = F.lit(now) if now is not None else F.current_timestamp()
             row = self.wh.spark.range(1).select(
                 F.lit(next_id).cast("long").alias("ETLLogID"), ts.cast("timestamp").alias("ETLDateAndTime"),
-                F.lit(action[:100]).alias("ETLAction"), F.lit(message[:2000]).alias("ETLLogMessage"))
+                F.lit(action[:100]).alias("ETLAction"),
+                F.lit((message if rows is None else f"{message} ({rows} rows)")[:2000]).alias("ETLLogMessage"))
             self.wh.append(LOG, row)
             return True
         except Exception:  # noqa: BLE001 -- logging is best effort by design
@@ -185,15 +186,22 @@ def load_fact_table(wh: Warehouse, staging: DataFrame, specs, lookups, columns,
     dims = {spec.name: wh.keyed(spec.name) for spec in specs}
     view = fact_view(staging, dims, lookups, columns, order_by)
     shaped = conform(view.withColumnsRenamed(FACT_RENAMES), SCHEMAS[FACT])
-    ok = shaped.where(F.col("DateKey").isNotNull() & F.col("LocationKey").isNotNull())
-    candidates = wh.spark.read.parquet(_stage_batch(wh, ok))
-    fresh = load_fact(candidates, wh.table(FACT), SCHEMAS[FACT], {}, view_rows=candidates.count())
+    required = F.col("DateKey").isNotNull() & F.col("LocationKey").isNotNull()
+    candidates = wh.spark.read.parquet(_stage_batch(wh, shaped))
+    # Rows breaking a NOT NULL key (a date outside the calendar) go to a
+    # rejects folder and are counted, instead of failing the whole load.
+    rejects = candidates.where(~required)
+    n_rejects = rejects.count()
+    if n_rejects:
+        rejects.write.mode("errorifexists").parquet(f"{wh.root}/_rejects/{FACT}/{uuid.uuid4().hex}")
+    ok = candidates.where(required)
+    fresh = load_fact(ok, wh.table(FACT), SCHEMAS[FACT], {}, view_rows=candidates.count() - n_rejects)
     batch = wh.spark.read.parquet(_stage_batch(wh, fresh))
     n = batch.count()
     path = wh.current_path(FACT)
     if n:
         wh.append(FACT, batch)
-    return StepResult(FACT, 1, n, f"inserted into {path or 'new table'}")
+    return StepResult(FACT, 1, n, f"inserted into {path or 'new table'}; rejected {n_rejects}")
 
 
 def _stage_batch(wh: Warehouse, df: DataFrame) -> str:
@@ -223,7 +231,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
 
     def record(res: StepResult) -> bool:
         results.append(res)
-        log.append(res.step, res.message)
+        log.append(res.step, res.message, rows=res.rows)
         return res.status >= 0
 
     def run(name, fn):

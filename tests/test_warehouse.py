@@ -52,3 +52,25 @@ def test_whole_run_and_rerun(spark, tmp_path):
     assert again["DimLocation"].status == 0 and again["DimDate"].status == 0
     assert wh.table("Fact_Terror_Events").count() == fact_rows
     assert wh.table("ETLLog").count() == len(status) + len(again)
+
+
+def test_fact_rejects_out_of_range_dates(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from dimloom.plans.warehouse import load_date_dimension, load_dimension, load_fact_table
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    raw = raw_incidents(spark, SF_TINY)
+    from dimloom.operators.clean import clean
+
+    staging = clean(raw, "rename").withColumn(
+        "year", F.when(F.col("eventid") % 2 == 0, F.lit(1850)).otherwise(F.col("year")))
+    load_date_dimension(wh)
+    for spec in DIMENSIONS:
+        load_dimension(wh, staging, spec)
+    res = load_fact_table(wh, staging, DIMENSIONS, LOOKUPS, FACT_COLUMNS, DEDUPE_ORDER)
+    rejected = int(res.message.rsplit(" ", 1)[-1])
+    assert res.rows > 0 and rejected > 0
+    fact = wh.table("Fact_Terror_Events")
+    assert fact.where("DateKey IS NULL").count() == 0 and fact.count() == res.rows
+    assert spark.read.parquet(f"{wh.root}/_rejects/Fact_Terror_Events/*").count() == rejected
