@@ -11,7 +11,7 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -183,7 +183,3 @@ def reference_violations(fact: DataFrame, refs) -> DataFrame:
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     return out.select(F.col("fk").alias("fk_column"), "dimension", z("checked_rows").alias("checked_rows"),
                       z("null_rows").alias("null_rows"), (z("checked_rows") - z("found_rows")).alias("orphan_rows"))
-
-
-def any_violation(report: DataFrame, count_col: str) -> Column:
-    return F.col(count_col) > 0
