@@ -100,3 +100,15 @@ def test_salted_lookup_mixed_key_types(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert len(got) == 3000 and got[0] == 9 and got[1] == 1 and got[3] == 3
+
+
+def test_hot_keys_bound(spark):
+    from dimloom.operators.fact import hot_keys
+
+    uniform = spark.range(200000).select((F.col("id") % 5000).alias("g"))
+    assert hot_keys(uniform, [F.col("g")], share=0.01, fraction=0.2) == []
+    skewed = spark.range(200000).select(F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("g"))
+    assert hot_keys(skewed, [F.col("g")], share=0.01, fraction=0.2) == [(-1,)]
+    few = spark.range(100000).select((F.col("id") % 20).alias("g"))
+    got = hot_keys(few, [F.col("g")], share=0.04, fraction=0.5)
+    assert len(got) <= 25 and len(got) == 20
