@@ -120,17 +120,20 @@ class EtlLog:
 
     def __init__(self, wh: Warehouse):
         self.wh = wh
+        self._next_id: int | None = None  # read once, then counted locally
 
     def append(self, action: str, message: str, now: dt.datetime | None = None, rows: int | None = None) -> bool:
         try:
-            existing = self.wh.table(LOG)
-            next_id = (existing.agg(F.max("ETLLogID")).first()[0] or 0) + 1
+            if self._next_id is None:
+                self._next_id = (self.wh.table(LOG).agg(F.max("ETLLogID")).first()[0] or 0) + 1
+            next_id = self._next_id
             ts = F.lit(now) if now is not None else F.current_timestamp()
             row = self.wh.spark.range(1).select(
                 F.lit(next_id).cast("long").alias("ETLLogID"), ts.cast("timestamp").alias("ETLDateAndTime"),
                 F.lit(action[:100]).alias("ETLAction"),
                 F.lit((message if rows is None else f"{message} ({rows} rows)")[:2000]).alias("ETLLogMessage"))
             self.wh.append(LOG, row)
+            self._next_id += 1
             return True
         except Exception:  # noqa: BLE001 -- logging is best effort by design
             return False
