@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,6 +83,23 @@ def mix64(x: np.ndarray) -> np.ndarray:
 _R = np.uint64(0x9E3779B97F4A7C15 | 1)
 
 
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the polynomial's base and of its inverse, kept between calls up to a few million."""
+    if _POWERS and len(_POWERS[0]) >= n:
+        return _POWERS
+    made = []
+    for base in (_R, np.uint64(pow(int(_R), -1, 1 << 64))):
+        p = np.full(max(n, 1 << 18), base)
+        p[0] = 1
+        made.append(np.multiply.accumulate(p))
+    if n <= 1 << 22:
+        _POWERS[:] = made
+    return made
+
+
 def word_hashes(data: np.ndarray, is_space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hash, first and last byte (exclusive) of every word in a byte array; is_space marks separators by byte value.
 
@@ -94,17 +112,9 @@ def word_hashes(data: np.ndarray, is_space: np.ndarray) -> tuple[np.ndarray, np.
     sep = is_space[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], sep, [True])).view(np.int8)))
     first, last = edge[0::2], edge[1::2]
-    power = np.empty(n + 1, np.uint64)
-    power[0] = 1
-    power[1:] = _R
-    np.multiply.accumulate(power, out=power)
+    power, back = _powers(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    inverse = np.uint64(pow(int(_R), -1, 1 << 64))
-    back = np.empty(n + 1, np.uint64)
-    back[0] = 1
-    back[1:] = inverse
-    np.multiply.accumulate(back, out=back)
     h = (total[last] - total[first]) * back[first]
     return mix64(h + (last - first).astype(np.uint64) * _M2), first, last
 
@@ -120,3 +130,28 @@ def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
         out = out * _M1 + words[j : n - k + 1 + j]
         out ^= out >> np.uint64(29)
     return mix64(out)
+
+
+_READY: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let tasks import this package: where the workers can't already, Spark's file server hands them a zip of it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _READY:
+        return
+    name = __name__.split(".")[0]
+
+    def importable(_: object) -> bool:
+        import importlib.util
+
+        return importlib.util.find_spec(name) is not None
+
+    if not sc.parallelize([0], 1).map(importable).first():
+        import os
+        import shutil
+        import tempfile
+
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(), name), "zip", root, name))
+    _READY.add(sc.applicationId)

@@ -2,17 +2,39 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .common import ship_package
+from .decontaminate import op2_decontamination
+from .fingerprint import op5_fingerprints
+from .jaccard_join import op7_jaccard_join
+from .language_id import op4_language_id
 from .packing import op10_best_fit_packing
 from .token_count import op9_token_counts
+from .toxicity import op6_toxicity
 from .url_rules import OP8_SQL, op8_url_rules
 
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: shipped(f)
     for f in (
+        op2_decontamination,
+        op4_language_id,
+        op5_fingerprints,
+        op6_toxicity,
+        op7_jaccard_join,
         op8_url_rules,
         op9_token_counts,
         op10_best_fit_packing,

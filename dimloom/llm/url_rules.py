@@ -61,10 +61,12 @@ def _bounds(points: DataFrame, key: str, row: Column) -> list[str]:
     return [keys[i * len(keys) // RANGES] for i in range(1, RANGES)] if keys else []
 
 
-def _slot(key: Column, bounds: list[str], strict: bool) -> Column:
-    """How many bounds are <= key (strict: < key), by binary search over a constant array."""
-    held = F.array(*[F.lit(b) for b in bounds])
-    steps = F.sequence(F.lit(1), F.lit(max(1, len(bounds).bit_length())))
+def slot(key: Column, bounds: list[Column], strict: bool = False) -> Column:
+    """How many of the sorted bounds are <= key (strict: < key), by binary search over a constant array."""
+    if not bounds:
+        return F.lit(0)
+    held = F.array(*bounds)
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
 
     def halve(s: Column, _: Column) -> Column:
         lo, hi = s["lo"], s["hi"]
@@ -80,14 +82,14 @@ def _innermost(points: DataFrame, rules: DataFrame, row: Column) -> DataFrame:
     """points (key, ...) with `stack`: the rules (array of structs, field `lo`) whose interval [lo, lo + LAST) holds key.
 
     rules: (lo, stack), distinct lo; its stack holds the rule itself and the rules around it, outermost first."""
-    bounds = _bounds(points, "key", row)
+    bounds = [F.lit(b) for b in _bounds(points, "key", row)]
     kept = [c for c in points.columns]
     if bounds:
-        first, last = _slot(F.col("key"), bounds, True), _slot(F.col("key"), bounds, False)
+        first, last = slot(F.col("key"), bounds, True), slot(F.col("key"), bounds, False)
         points = points.withColumns({"_first": first, "_last": last})
         points = points.withColumn("_range", (F.col("_first") + F.pmod(F.xxhash64(row, F.col("key")), F.col("_last") - F.col("_first") + 1)).cast("int")).drop("_first", "_last")
         end = F.concat("lo", F.lit(LAST))
-        rules = rules.withColumn("_range", F.explode(F.sequence(_slot(F.col("lo"), bounds, True), _slot(end, bounds, False))))
+        rules = rules.withColumn("_range", F.explode(F.sequence(slot(F.col("lo"), bounds, True), slot(end, bounds, False))))
     else:
         points, rules = points.withColumn("_range", F.lit(0)), rules.withColumn("_range", F.lit(0))
     starts = rules.select("_range", F.col("lo").alias("key"), F.lit(0).alias("_kind"), F.col("stack").alias("_stack"))
