@@ -66,6 +66,18 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
         yield start, len(lengths)
 
 
+def parts_of(text: str, most: int = 1 << 20) -> list[str]:
+    """A whole text in parts of about `most` characters that end at a space."""
+    out, at = [], 0
+    while len(text) - at > most:
+        end = text.find(" ", at + most)
+        if end < 0:
+            break
+        out.append(text[at:end])
+        at = end
+    return [*out, text[at:]]
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

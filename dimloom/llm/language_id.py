@@ -25,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, table
+from .common import parts_of, slices, table
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
@@ -186,8 +186,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 texts = [t or "" for t in rows.column(0).to_pylist()]
                 pieces, of = [], []
                 for i, t in enumerate(texts):
-                    for at in range(0, max(1, len(t)), part):
-                        pieces.append(t[at : at + part])
+                    for p in parts_of(t, part):
+                        pieces.append(p)
                         of.append(i)
                 total = np.zeros((len(texts), n_langs + 1))
                 for at in range(0, len(pieces), 4096):

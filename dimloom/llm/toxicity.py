@@ -1,127 +1,108 @@
-"""Toxicity of a text by two class-conditional Kneser-Ney models of its characters.
+"""Toxicity of a text by two class-conditional Kneser-Ney models of its words.
 
-Each class, toxic and ordinary, has a model of the byte that follows five bytes. Both interpolate, by absolute discounting, to one
-shared model of the byte that follows three bytes, built of continuation counts (distinct longer pieces that a piece
-ends) over both classes, so an expression that is rare in either class is judged by what both know. A text's two log-likelihoods
-are compared per byte and per square root of bytes; a logistic regression on these, fitted on rows that the counts
-were not taken from, turns them into a score.
+Each class, toxic and ordinary, gives a word the probability
+
+    P_c(w) = max(n_c(w) - D_c, 0) / N_c  +  (share of N_c that the discounts free) * S(w),
+
+where S is one backoff model that both classes share. All counts are Kneser-Ney's kind, of contexts and not of occurrences: n_c(w) is
+the number of documents of the class in which w stands (so one text that repeats a line counts once), N_c their sum over
+all words, and S(w) the share of both classes' counts that is w's. The discounts are in proportion to the classes' sizes, so a
+word must stand in many documents of a class to be judged by that class, and rare expressions are judged by the shared counts
+alone, alike in both. A text's two log-likelihoods (of its distinct words) are compared per word and per square root of
+words; a logistic regression on these, fitted on rows that the counts were not taken from, turns them into a score.
 
 Counts come from every labelled row that may be learned from, but for one fold kept for the regression, which uses a sample of
-about `CALIBRATION_ROWS` of its rows (a documented bound). Counting is a shuffle of distinct pieces, pre-aggregated in each
-task. The model itself is a set of tables of fixed size, indexed by a piece modulo a prime, which bounds what is broadcast.
+about `CALIBRATION_ROWS` of its rows (a documented bound). Counting is a shuffle of distinct words, pre-aggregated in each batch
+and task, and grows with the labelled text. What is broadcast is a table of `SLOTS` log-ratios, by a hash of the word;
+only words above a discount have a slot (the strongest one in case of a clash), all others have one common log-ratio.
 
-Defined results: null, empty and very short texts have no evidence and get the regression's score for none; without
+Defined results: null, empty and word-free texts have no evidence and get the regression's score for none; without
 labelled rows of both classes every score is 0. Repeated rows get equal scores; other columns are not read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import saved, slices, small, table
+from .common import parts_of, saved, slices, small, table, word_hashes
 from .language_id import clean_bytes
 
-#: Table sizes (primes): pieces of six bytes, their contexts, pieces of four bytes, their contexts.
-GRAMS, CONTEXTS, SHORTS, SHORT_CONTEXTS = 2097143, 524287, 262139, 65521
-DISCOUNT = 0.75
+SLOTS = 1 << 21
+#: Discount of the smaller class, in documents; the other's is larger by the ratio of their sizes.
+DISCOUNT = 15.0
 CALIBRATION_ROWS = 20_000
-_ORDER = 6
+_SPACE = np.isin(np.arange(256), (0, 32))
 
 
-def pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Six-byte pieces of some texts as numbers, which of them lie within one text, and where each text starts."""
+def words_of(texts: list[str], of: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the distinct words of each text, and the number of that text; of: the numbers of texts that come in parts."""
     arrays = [clean_bytes(t) for t in texts]
-    starts = np.cumsum([0, *(len(a) for a in arrays)])[:-1]
-    data = np.concatenate([*arrays, np.zeros(_ORDER - 1, np.uint8)])
-    n = len(data) - _ORDER + 1
-    key = np.zeros(n, np.int64)
-    for j in range(_ORDER):
-        key <<= 8
-        key |= data[j : n + j]
-    ends = np.concatenate(([0], np.cumsum(data == 0)))
-    return key, ends[_ORDER:] == ends[:-_ORDER], starts
+    ends = np.cumsum([len(a) for a in arrays])
+    h, first, _ = word_hashes(np.concatenate(arrays), _SPACE)
+    at = np.searchsorted(ends, first, side="right")
+    at = at if of is None else np.array(of, np.int64)[at]
+    order = np.lexsort((at, h))
+    h, at = h[order], at[order]
+    other = np.concatenate(([True], (h[1:] != h[:-1]) | (at[1:] != at[:-1]))) if len(h) else np.empty(0, bool)
+    return h[other], at[other]
 
 
-def count_pieces(rows: DataFrame) -> DataFrame:
-    """(piece, toxic, ordinary) counts of rows (text, toxic)."""
+def count_words(rows: DataFrame) -> DataFrame:
+    """(word, toxic, ordinary): the documents of each class with the word; rows: (text, toxic)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in slices(batch, "text"):
                 part = batch.slice(lo, hi - lo)
-                by: dict[int, list[str]] = {0: [], 1: []}
-                for text, y in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    by[int(y)].append(text or "")
-                for y, texts in by.items():
-                    if texts:
-                        key, ok, _ = pieces(texts)
-                        k, n = np.unique(key[ok], return_counts=True)
-                        zero = np.zeros(len(k), np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n if y else zero), pa.array(zero if y else n)], names=["piece", "t", "o"])
+                h, of = words_of([t or "" for t in part.column(0).to_pylist()])
+                if not len(h):
+                    continue
+                toxic = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)[of]
+                start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+                n, t = np.diff(np.append(start, len(h))), np.add.reduceat(toxic, start)
+                yield pa.RecordBatch.from_arrays([pa.array(h[start].view(np.int64)), pa.array(t), pa.array(n - t)], names=["word", "t", "o"])
 
-    counted = rows.select("text", "toxic").mapInArrow(run, "piece long, t long, o long")
-    return counted.groupBy("piece").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    counted = rows.select("text", "toxic").mapInArrow(run, "word long, t long, o long")
+    return counted.groupBy("word").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
 
 
 class Model:
-    """Tables of both classes' counts and the shared model's, and the regression."""
-
-    def __init__(self, grams: DataFrame):
-        self.t, self.o = self._table(grams, F.col("piece"), GRAMS, F.sum("t"), F.sum("o"))
-        context = F.shiftright("piece", 8)
-        self.ct, self.co, self.kt, self.ko = self._table(grams, context, CONTEXTS, F.sum("t"), F.sum("o"), F.sum((F.col("t") > 0).cast("long")), F.sum((F.col("o") > 0).cast("long")))
-        short = grams.groupBy(F.col("piece").bitwiseAND(F.lit(0xFFFFFFFF)).alias("piece")).agg(F.count("*").alias("n"))
-        (self.n4,) = self._table(short, F.col("piece"), SHORTS, F.sum("n"))
-        self.n3, self.k3 = self._table(short, F.shiftright("piece", 8), SHORT_CONTEXTS, F.sum("n"), F.count("*"))
-        last = self._table(short, F.col("piece").bitwiseAND(F.lit(0xFF)), 256, F.sum("n"))[0]
-        self.p1 = ((last + 0.1) / (last.sum() + 25.6)).astype(np.float32)
+    """Log-ratios by word slot and the regression's weights."""
+
+    def __init__(self, counts: DataFrame):
         self.weights = np.zeros(3)
-        self.known = bool(self.t.sum() > 0 and self.o.sum() > 0)
-
-    @staticmethod
-    def _table(rows: DataFrame, key: Column, size: int, *sums: Column) -> list[np.ndarray]:
-        """Sums by key modulo size, as arrays: at most `size` rows reach the driver."""
-        got = rows.groupBy(F.pmod(key, F.lit(size)).alias("at")).agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).toArrow()
-        out = []
-        for i in range(len(sums)):
-            a = np.zeros(size, np.float32)
-            a[got.column("at").to_numpy()] = got.column(f"s{i}").to_numpy()
-            out.append(a)
-        return out
-
-    def evidence(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Log-likelihood toxic minus ordinary of each text, and its number of pieces."""
-        key, ok, starts = pieces(texts)
-        four = key & 0xFFFFFFFF
-        n3 = self.n3[at3 := (four >> 8) % SHORT_CONTEXTS]
-        d = np.float32(DISCOUNT)
-        shared = self.p1[key & 0xFF]
-        some = np.maximum(n3, 1)
-        shared = np.where(n3 > 0, (np.maximum(self.n4[four % SHORTS] - d, 0) + d * self.k3[at3] * shared) / some, shared)
-        at, context = key % GRAMS, (key >> 8) % CONTEXTS
-        ratio = None
-        for n, c, k in ((self.t[at], self.ct[context], self.kt[context]), (self.o[at], self.co[context], self.ko[context])):
-            p = np.where(c > 0, (np.maximum(n - d, 0) + d * np.maximum(k, 1) * shared) / np.maximum(c, 1), shared)
-            ratio = np.log(np.maximum(p, np.float32(1e-9))) if ratio is None else ratio - np.log(np.maximum(p, np.float32(1e-9)))
-        ratio = np.where(ok, ratio, 0).astype(np.float64)
-        return np.add.reduceat(ratio, starts), np.add.reduceat(ok.astype(np.int64), starts)
-
-    def whole(self, texts: list[str], part: int = 1 << 20) -> np.ndarray:
-        """The regression's inputs for whole texts of any length: evidence per byte and per square root of bytes, and 1."""
-        cut, of = [], []
-        for i, t in enumerate(texts):
-            for at in range(0, max(1, len(t)), part):
-                cut.append(t[at : at + part])
-                of.append(i)
-        total = np.zeros((len(texts), 2))
-        np.add.at(total, of, np.column_stack(self.evidence(cut)))
-        n = np.maximum(1, total[:, 1])
-        return np.column_stack((total[:, 0] / n, total[:, 0] / np.sqrt(n), np.ones(len(texts))))
+        n = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "to"]).first()
+        self.known = n["t"] > 0 and n["o"] > 0
+        self.ratio, self.common = np.zeros(SLOTS, np.float32), 0.0
+        if not self.known:
+            return
+        least = min(n["t"], n["o"])
+        dt, do = (float(DISCOUNT * n[c] / least) for c in "to")
+        freed = counts.agg(F.sum(F.least("t", F.lit(dt))).alias("t"), F.sum(F.least("o", F.lit(do))).alias("o")).first()
+        gt, go = freed["t"] / n["t"], freed["o"] / n["o"]
+        self.common = math.log(gt / go)
+        shared = (F.col("t") + F.col("o")) / F.lit(float(n["t"] + n["o"]))
+        p = lambda c, size, d, g: F.greatest(F.col(c) - F.lit(d), F.lit(0.0)) / F.lit(float(size)) + F.lit(g) * shared
+        ratio = F.log(p("t", n["t"], dt, gt)) - F.log(p("o", n["o"], do, go))
+        slot = F.col("word").bitwiseAND(F.lit(SLOTS - 1))
+        often = counts.filter((F.col("t") > dt) | (F.col("o") > do)).select(slot.alias("at"), ratio.alias("r"))
+        got = often.groupBy("at").agg(F.max_by("r", F.abs(F.col("r"))).alias("r")).toArrow()  # SLOTS rows at most
+        self.ratio[:] = self.common
+        self.ratio[got.column("at").to_numpy()] = got.column("r").to_numpy()
+
+    def inputs(self, texts: list[str]) -> np.ndarray:
+        """The regression's inputs for whole texts: evidence per word and per square root of words, and 1."""
+        cut = [(i, p) for i, t in enumerate(texts) for p in parts_of(t)]
+        h, of = words_of([p for _, p in cut], [i for i, _ in cut])
+        total = np.bincount(of, self.ratio[(h & np.uint64(SLOTS - 1)).astype(np.int64)], len(texts))
+        n = np.maximum(1, np.bincount(of, minlength=len(texts)))
+        return np.column_stack((total / n, total / np.sqrt(n), np.ones(len(texts))))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(x @ self.weights, -30, 30))) if self.known else np.zeros(len(x))
@@ -150,7 +131,7 @@ def _scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for batch in batches:
             for lo, hi in slices(batch, "_text", 1 << 20):
                 part = batch.slice(lo, hi - lo)
-                x = model.whole([t or "" for t in part.column(0).to_pylist()])
+                x = model.inputs([t or "" for t in part.column(0).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(model.score(x))], names=[*part.schema.names[1:], "x0", "x1", "score"])
 
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
@@ -164,7 +145,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("toxic"))
     fold = F.pmod(F.crc32(F.col("id").cast("string")), F.lit(5))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    model = Model(saved(count_pieces(rows.join(small(known.filter(fold != 4), 2_000_000), "id")), "pieces"))
+    model = Model(saved(count_words(rows.join(small(known.filter(fold != 4), 2_000_000), "id")), "words"))
     if model.known:
         rest = known.filter(fold == 4)
         n = max(1, rest.count())
