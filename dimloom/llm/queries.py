@@ -13,6 +13,7 @@ from .fingerprint import op5_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .language_id import op4_language_id
 from .packing import op10_best_fit_packing
+from .suffix_dedup import op1_suffix_dedup
 from .token_count import op9_token_counts
 from .toxicity import op6_toxicity
 from .url_rules import OP8_SQL, op8_url_rules
@@ -30,6 +31,7 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: shipped(f)
     for f in (
+        op1_suffix_dedup,
         op2_decontamination,
         op4_language_id,
         op5_fingerprints,
