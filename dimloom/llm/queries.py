@@ -13,6 +13,7 @@ from .fingerprint import op5_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .language_id import op4_language_id
 from .packing import op10_best_fit_packing
+from .paragraphs import op3_substring_dedup
 from .suffix_dedup import op1_suffix_dedup
 from .token_count import op9_token_counts
 from .toxicity import op6_toxicity
@@ -33,6 +34,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_suffix_dedup,
         op2_decontamination,
+        op3_substring_dedup,
         op4_language_id,
         op5_fingerprints,
         op6_toxicity,

@@ -243,7 +243,9 @@ def kept_bytes(raw: bytes, runs: list[tuple[int, int]]) -> bytes:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept): what is left of each row's text, as bytes."""
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) of every row.
+
+    kept_sha256 is of the remaining bytes; kept_text is their text, without parts of characters that a cut has left."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,13 +258,13 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
                 gone.append(len(raw) - len(rest))
                 count.append(len(runs))
                 sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in (n, gone, count)), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+                kept.append(rest.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in (n, gone, count)), pa.array(sha, pa.string()), pa.array(kept, pa.string())], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     found = repeated_spans(docs, length, id_col, text_col).select("id", "text", "spans")
-    return found.mapInArrow(run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary").withColumnRenamed("id", id_col)
+    return found.mapInArrow(run, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string").withColumnRenamed("id", id_col)
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What 400-byte repeats leave of every document."""
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
