@@ -13,19 +13,20 @@ CALENDAR_START = _dt.date(1900, 1, 1)
 CALENDAR_END = _dt.date(2100, 12, 31)
 DATE_KEY_MIN = 19000101
 DATE_KEY_MAX = 21001231
+# Fixed value: the first year that the warehouse's date type holds.
+FIRST_YEAR = 1753
 
 
 def parts_date(year: Column, month: Column, day: Column) -> Column:
     """The calendar date of three integer parts, NULL when any part is NULL or
-    the combination does not exist (day 0, month 0, 30 February ...).
+    the combination does not exist (day 0, month 0, 30 February ...) or lies before FIRST_YEAR.
 
     ``concat`` propagates NULL (unlike ``concat_ws``), and ``try_cast`` turns
     impossible dates into NULL instead of raising under ANSI mode.
     """
     y, m, d = (c.cast("int") for c in (year, month, day))
-    # Spark parses four-digit years only: pad years 1-999.
-    text = F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string"))
-    guarded = F.when(y.isNotNull() & m.isNotNull() & d.isNotNull() & (y >= 1) & (y <= 9999), text)
+    text = F.concat(y.cast("string"), F.lit("-"), m.cast("string"), F.lit("-"), d.cast("string"))
+    guarded = F.when(y.isNotNull() & m.isNotNull() & d.isNotNull() & (y >= FIRST_YEAR) & (y <= 9999), text)
     return guarded.try_cast("date")
 
 

@@ -125,6 +125,19 @@ def null_violations(tables: dict[str, DataFrame], required: dict[str, list[str]]
     return out.select("table_name", "column_name", F.coalesce("null_rows", F.lit(0)).cast("long").alias("null_rows"))
 
 
+def conditional_nulls(df: DataFrame, checks) -> DataFrame:
+    """Q7 over one source: for each (table, column, rows that count, value), the rows
+    that count whose value is NULL. All checks are one aggregation, so one scan.
+
+    Output: table_name, column_name, null_rows.
+    """
+    aggs = [F.sum((F.coalesce(rows, F.lit(False)) & value.isNull()).cast("long")).alias(f"__n{i}")
+            for i, (_, _, rows, value) in enumerate(checks)]
+    triples = ", ".join(f"'{t}', '{c}', __n{i}" for i, (t, c, _, _) in enumerate(checks))
+    out = df.agg(*aggs).selectExpr(f"stack({len(checks)}, {triples}) AS (table_name, column_name, null_rows)")
+    return out.select("table_name", "column_name", F.coalesce("null_rows", F.lit(0)).cast("long").alias("null_rows"))
+
+
 def range_violations(df: DataFrame, bounds: dict[str, tuple]) -> DataFrame:
     """Per column, non-NULL values outside [lo, hi] (one pass).
 

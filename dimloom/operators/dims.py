@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.operators.keys import DEFAULT_BUCKET_ROWS, Keyed, assign_keys, continue_keys
+from dimloom.operators.keys import DEFAULT_BUCKET_ROWS, Keyed, assign_keys, continue_keys, size_stats
 
 
 @dataclass(frozen=True)
@@ -107,7 +107,8 @@ def keyed_dimension(staging: DataFrame, spec: DimSpec, start: int = 0,
     return assign_keys(build_dimension(staging, spec), spec.ordering, spec.key, start, bucket_rows)
 
 
-def new_rows(incoming: DataFrame, existing: DataFrame, on, incoming_rows: int | None = None) -> DataFrame:
+def new_rows(incoming: DataFrame, existing: DataFrame, on, incoming_rows: int | None = None,
+             incoming_text_bytes: int | None = None) -> DataFrame:
     """Incoming rows whose natural key is not present yet (left anti join).
 
     NULL keys never match, so they pass -- as NOT EXISTS behaves.
@@ -122,7 +123,7 @@ def new_rows(incoming: DataFrame, existing: DataFrame, on, incoming_rows: int |
 
     on = [on] if isinstance(on, str) else list(on)
     keys = incoming.select(*on)
-    if fits_broadcast(incoming.sparkSession, incoming_rows, keys.schema):
+    if fits_broadcast(incoming.sparkSession, incoming_rows, keys.schema, incoming_text_bytes):
         batch_keys = F.broadcast(keys)
         hits = existing.select(*on).join(batch_keys, [existing[c] == batch_keys[c] for c in on], "left_semi")
         hits = F.broadcast(hits.distinct())
@@ -136,7 +137,8 @@ def insert_new(staging: DataFrame, spec: DimSpec, existing: DataFrame,
     """D1 + K2: members not in ``existing`` (by natural key), numbered after its
     largest key. Returns only the rows to append."""
     members = build_dimension(staging, spec)
-    fresh = new_rows(members, existing, list(spec.natural), members.count())
+    rows, text_bytes = size_stats(members.select(*spec.natural))
+    fresh = new_rows(members, existing, list(spec.natural), rows, text_bytes)
     return continue_keys(fresh, existing, spec.ordering, spec.key, bucket_rows)
 
 

@@ -114,10 +114,13 @@ def hot_keys(source: DataFrame, exprs: list[Column], share: float = HOT_SHARE,
     return [tuple(r) for r in rows if all(v is not None for v in r)]
 
 
-def reduced_side(dim: DataFrame, spec: LookupSpec) -> DataFrame:
+def reduced_side(dim: DataFrame, spec: LookupSpec, unique_on: tuple[str, ...] = ()) -> DataFrame:
     """A2 for a lookup: one row per natural key (smallest key, its carried
-    columns), natural key columns renamed __d0, __d1, ..."""
+    columns), natural key columns renamed __d0, __d1, ... A dimension known to
+    be unique on them is taken as it is, without a shuffle."""
     dcols = [d for d, _ in spec.pairs]
+    if unique_on and set(unique_on) <= set(dcols):
+        return dim.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
     aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
     reduced = dim.groupBy(*dcols).agg(*aggs)
     return reduced.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
@@ -125,7 +128,7 @@ def reduced_side(dim: DataFrame, spec: LookupSpec) -> DataFrame:
 
 def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None,
            dim_text_bytes: int | None = None, hot: list[tuple] | None = None,
-           salts: int = SALTS) -> DataFrame:
+           salts: int = SALTS, unique_on: tuple[str, ...] = ()) -> DataFrame:
     """Add ``spec.key`` (and carried columns) to every fact row.
 
     The dimension is first reduced to one key per natural key (the smallest,
@@ -138,7 +141,7 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     hot keys not listed.
     """
     dcols = [d for d, _ in spec.pairs]
-    side = reduced_side(dim, spec)
+    side = reduced_side(dim, spec, unique_on)
     # The reduced side has no more rows and no more text than the dimension.
     # Otherwise a merge hint keeps the planner from broadcasting on its own
     # static estimate (compressed file sizes are no bound on memory).
@@ -149,7 +152,7 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     else:
         cond = [spec.fact_expr(i) == side[f"__d{i}"] for i in range(len(dcols))]
     drop = [f"__d{i}" for i in range(len(dcols))]
-    if not broadcast and hot is not None and not spec.null_safe:
+    if not broadcast and hot is not None:
         k = range(len(dcols))
         fact_key = F.struct(*[spec.fact_expr(i).alias(f"k{i}") for i in k])
         dim_key = F.struct(*[F.col(f"__d{i}").alias(f"k{i}") for i in k])
@@ -159,21 +162,33 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
         hot_f = [F.struct(*[F.lit(v).cast(ftypes[i].dataType).alias(f"k{i}") for i, v in enumerate(h)]) for h in hot]
         hot_lits = [F.struct(*[F.lit(v).cast(dtypes[i].dataType).alias(f"k{i}") for i, v in enumerate(h)])
                     for h in hot]
-        any_null = reduce(operator.or_, [spec.fact_expr(i).isNull() for i in k])
-        spread = any_null | (fact_key.isin(*hot_f) if hot_f else F.lit(False))
+        # NULL keys never match, unless equality is NULL-safe: then they stay with their match
+        any_null = F.lit(False) if spec.null_safe else reduce(operator.or_, [spec.fact_expr(i).isNull() for i in k])
+        is_hot = F.coalesce(fact_key.isin(*hot_f), F.lit(False)) if hot_f else F.lit(False)
+        spread = any_null | is_hot
         # deterministic salt: a recomputed task sends each row to the same reducer
         salted_fact = fact.withColumn("__salt", F.when(spread, F.pmod(F.xxhash64(*fact.columns), F.lit(salts)))
                                       .otherwise(F.lit(0)).cast("int"))
         replicas = F.when(dim_key.isin(*hot_lits), F.sequence(F.lit(0), F.lit(salts - 1))) if hot_lits else None
         salted_side = side.withColumn(
             "__salt", F.explode(replicas.otherwise(F.array(F.lit(0)))) if replicas is not None else F.lit(0))
-        cond = [spec.fact_expr(i) == salted_side[f"__d{i}"] for i in range(len(dcols))]
+        equal = (lambda i: spec.fact_expr(i).eqNullSafe(salted_side[f"__d{i}"])) if spec.null_safe \
+            else (lambda i: spec.fact_expr(i) == salted_side[f"__d{i}"])
+        cond = [equal(i) for i in k]
         joined = salted_fact.join(salted_side, cond + [salted_fact["__salt"] == salted_side["__salt"]], spec.how)
         return joined.drop(*drop, "__salt")
     joined = fact.join(side, cond, spec.how)
     return joined.drop(*drop)
 
 
+def hot_for(source: DataFrame, keyed, spec: LookupSpec) -> list[tuple] | None:
+    """Hot fact keys for a lookup whose dimension is too large to broadcast (else None)."""
+    probe = reduced_side(keyed.df, spec, keyed.unique_on)
+    if fits_broadcast(source.sparkSession, keyed.rows, probe.schema, keyed.text_bytes):
+        return None
+    return hot_keys(source, [spec.fact_expr(i) for i in range(len(spec.pairs))])
+
+
 def prepare_events(staging: DataFrame, order_by, dedupe_first: bool = True) -> DataFrame:
     """W1 + P15 + J4: one row per event with a real date, and its date key.
 
@@ -198,12 +213,8 @@ def resolve_star(events: DataFrame, dims: dict, lookups, hot_source: DataFrame |
     out = events
     for spec in lookups:
         keyed = dims[spec.dim]
-        hot = None
-        if hot_source is not None:
-            probe = reduced_side(keyed.df, spec)
-            if not fits_broadcast(events.sparkSession, keyed.rows, probe.schema, keyed.text_bytes):
-                hot = hot_keys(hot_source, [spec.fact_expr(i) for i in range(len(spec.pairs))])
-        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot)
+        hot = hot_for(hot_source, keyed, spec) if hot_source is not None else None
+        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot, unique_on=keyed.unique_on)
     return out
 
 

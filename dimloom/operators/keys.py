@@ -40,6 +40,8 @@ class Keyed:
     rows: int
     key: str
     text_bytes: int | None = None
+    # Columns of which no two rows agree in all (empty: not known).
+    unique_on: tuple[str, ...] = ()
 
 
 def size_stats(df: DataFrame) -> tuple[int, int]:

@@ -94,6 +94,13 @@ def stage(spark: SparkSession, sf_dir: str, protect=WAREHOUSE_COLUMNS) -> DataFr
     return spark.read.parquet(path).drop(*dropped)
 
 
+def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written table before the sparse drop (every column)."""
+    stage(spark, sf_dir)
+    with _lock:
+        return spark.read.parquet(_renamed[spark.sparkContext.applicationId, os.path.abspath(sf_dir)])
+
+
 def forget_staging() -> None:
     """Drop the memo (bench uses it to time staging from scratch)."""
     with _lock:

@@ -7,18 +7,16 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimloom.functions.dates import DATE_KEY_MAX, DATE_KEY_MIN
+from dimloom.functions.dates import DATE_KEY_MAX, DATE_KEY_MIN, valid_date
 from dimloom.operators import audit as A
 from dimloom.operators.clean import ALIGNMENT_PAIRS, GEO_COLUMNS, NUMERIC_COLUMNS, clean
-from dimloom.operators.dims import candidates
-from dimloom.operators.fact import prepare_events
 from dimloom.plans import oracle_base as O
-from dimloom.plans.pipeline import filled, raw, stage
+from dimloom.plans.pipeline import filled, raw, renamed, stage
 from dimloom.plans.q_dims import star_ctes
 from dimloom.plans.q_fact import _DIM_CTE, fact_with
 from dimloom.plans.registry import register
 from dimloom.plans.specs import DEDUPE_ORDER, DIMENSIONS
-from dimloom.plans.star import date_dimension, dimension, star_fact
+from dimloom.plans.star import date_dimension, dimension, saved_fact
 from dimloom.sources.contracts import FACT_RENAMES, FOREIGN_KEYS, SCHEMAS, conform, not_null_columns
 
 _FILLED = [O.RAW, O.NORM, O.FILLED]
@@ -106,14 +104,14 @@ def audit_row_counts(spark, sf_dir):
     acct = A.row_accounting(clean(raw(spark, sf_dir), "text"), GEO_COLUMNS) \
         .select(F.col("stage").alias("step"), F.col("rows").alias("row_count"))
     s = stage(spark, sf_dir)
-    dated = prepare_events(s, DEDUPE_ORDER)
     from dimloom.operators.fact import dedupe
 
+    is_dated = valid_date(F.col("year"), F.col("month"), F.col("day"))
+    survivors = dedupe(s, ["eventid"], DEDUPE_ORDER).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(is_dated.cast("long")).alias("d"))
     counts = [
-        dedupe(s, ["eventid"], DEDUPE_ORDER).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit("distinct_events").alias("step"), "row_count"),
-        dated.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("dated_events").alias("step"), "row_count"),
-        star_fact(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count")).select(
+        survivors.selectExpr("stack(2, 'distinct_events', n, 'dated_events', coalesce(d, 0)) AS (step, row_count)"),
+        saved_fact(spark, sf_dir).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit("fact_rows").alias("step"), "row_count"),
     ]
     return reduce(DataFrame.unionByName, [acct, *counts])
@@ -132,7 +130,7 @@ def audit_null_profile(spark, sf_dir):
     """Q4: NULL share of every column before the sparse drop."""
     from dimloom.operators.clean import null_profile
 
-    return null_profile(clean(raw(spark, sf_dir), "rename"))
+    return null_profile(renamed(spark, sf_dir))
 
 
 # ---- Q5 ------------------------------------------------------------------
@@ -151,12 +149,30 @@ def _ref_sql(col: str, dim: str) -> str:
 @register("audit_references", fact_with(_CALENDAR) + " UNION ALL ".join(_ref_sql(c, d) for c, d, _ in FOREIGN_KEYS))
 def audit_references(spark, sf_dir):
     """Q5: per foreign key of the fact, rows checked, NULL keys, orphan keys."""
-    fact = star_fact(spark, sf_dir)
+    return A.reference_violations(saved_fact(spark, sf_dir), _references(spark, sf_dir))
+
+
+# Planted orphans: each foreign key is moved out of its dimension in some rows.
+_PLANT = [(col, 50 + i) for i, (col, _, _) in enumerate(FOREIGN_KEYS)]
+_ORPHANS = "planted AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN eventid % {n} = 0 THEN {c} + 1000000000 ELSE {c} END AS {c}" for c, n in _PLANT) + ") FROM fact)"
+
+
+@register("audit_references_planted", fact_with(_CALENDAR, _ORPHANS) + " UNION ALL ".join(
+    _ref_sql(c, d).replace("FROM fact", "FROM planted") for c, d, _ in FOREIGN_KEYS))
+def audit_references_planted(spark, sf_dir):
+    """Q5 over a fact in which every foreign key has orphans."""
+    fact = saved_fact(spark, sf_dir)
+    moved = {c: F.when(F.col("eventid") % n == 0, F.col(c) + 1000000000).otherwise(F.col(c)) for c, n in _PLANT}
+    return A.reference_violations(fact.withColumns(moved), _references(spark, sf_dir))
+
+
+def _references(spark, sf_dir):
     refs = []
     for col, dim, key in FOREIGN_KEYS:
         keyed = date_dimension(spark) if dim == "DimDate" else dimension(spark, sf_dir, dim)
         refs.append((col, dim, keyed.df, key, keyed.rows))
-    return A.reference_violations(fact, refs)
+    return refs
 
 
 # ---- Q6 / Q7 / Q8 / Q9 ---------------------------------------------------
@@ -183,10 +199,10 @@ def _nn_sql() -> str:
 @register("audit_not_null", _nn_sql())
 def audit_not_null(spark, sf_dir):
     """Q7: NULLs in NOT NULL columns of every dimension's candidate rows (before
-    members with a NULL code are left out)."""
-    s = stage(spark, sf_dir)
-    tables = {spec.name: candidates(s, spec) for spec in DIMENSIONS}
-    return A.null_violations(tables, {spec.name: not_null_columns(spec.name) for spec in DIMENSIONS})
+    members with a NULL code are left out), in one scan of staging."""
+    return A.conditional_nulls(stage(spark, sf_dir), [
+        (spec.name, out.name, spec.where() if spec.where else F.lit(True), out.column())
+        for spec in DIMENSIONS for out in spec.columns if out.name in not_null_columns(spec.name)])
 
 
 _RANGES = {"year": (1900, 2100), "month": (1, 12), "day": (1, 31)}
@@ -201,7 +217,7 @@ _RANGES = {"year": (1900, 2100), "month": (1, 12), "day": (1, 31)}
 def audit_range(spark, sf_dir):
     """Date parts of staging outside their ranges; fact date keys outside the CHECK range."""
     parts = A.range_violations(stage(spark, sf_dir), _RANGES).select(F.lit("staging").alias("table_name"), "*")
-    keys = A.range_violations(star_fact(spark, sf_dir), {"DateKey": (DATE_KEY_MIN, DATE_KEY_MAX)}) \
+    keys = A.range_violations(saved_fact(spark, sf_dir), {"DateKey": (DATE_KEY_MIN, DATE_KEY_MAX)}) \
         .select(F.lit("fact").alias("table_name"), "*")
     return parts.unionByName(keys)
 
@@ -212,12 +228,21 @@ _FEEDS = {"country_txt": 100, "region_txt": 100, "attacktype1_txt": 100, "targty
           "city": 200, "provstate": 200}
 
 
-@register("audit_width", O.staged() + " UNION ALL ".join(
+# Planted long text, past the declared widths of the keys it feeds.
+_LONG = {"city": (2, 250), "gname": (3, 300)}
+_LENGTHENED = "longer AS (SELECT * REPLACE (" + ", ".join(
+    f"CASE WHEN tie1 % {m} = 0 THEN {c} || repeat('x', {n}) ELSE {c} END AS {c}" for c, (m, n) in _LONG.items()) \
+    + ") FROM stage)"
+
+
+@register("audit_width", O.staged(_LENGTHENED) + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, {w} AS width, CAST(max(length({c})) AS INT) AS max_length, "
-    f"count(*) FILTER (WHERE length({c}) > {w}) AS over_width FROM stage" for c, w in _FEEDS.items()))
+    f"count(*) FILTER (WHERE length({c}) > {w}) AS over_width FROM longer" for c, w in _FEEDS.items()))
 def audit_width(spark, sf_dir):
-    """Q9: staging text longer than the warehouse column it feeds."""
-    return A.width_violations(stage(spark, sf_dir), _FEEDS)
+    """Q9: staging text longer than the warehouse column it feeds (with long cities
+    and group names planted)."""
+    longer = {c: F.when(F.col("tie1") % m == 0, F.concat(c, F.lit("x" * n))).otherwise(F.col(c)) for c, (m, n) in _LONG.items()}
+    return A.width_violations(stage(spark, sf_dir).withColumns(longer), _FEEDS)
 
 
 @register("audit_fact_contract", fact_with(
@@ -227,6 +252,6 @@ UNION ALL SELECT 'Fact_Terror_Events', 'DateKey', count(*) - count(DateKey) FROM
 UNION ALL SELECT 'Fact_Terror_Events', 'LocationKey', count(*) - count(LocationKey) FROM conformed""")
 def audit_fact_contract(spark, sf_dir):
     """Q7 on the fact: NULLs in the fact contract's NOT NULL columns."""
-    fact = conform(star_fact(spark, sf_dir).withColumnsRenamed(FACT_RENAMES), SCHEMAS["Fact_Terror_Events"])
+    fact = conform(saved_fact(spark, sf_dir).withColumnsRenamed(FACT_RENAMES), SCHEMAS["Fact_Terror_Events"])
     return A.null_violations({"Fact_Terror_Events": fact}, {"Fact_Terror_Events": not_null_columns("Fact_Terror_Events")})
 

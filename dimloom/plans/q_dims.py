@@ -55,6 +55,7 @@ def _lbl(src: str, width: int = 100) -> str:
     return f"substr(CAST({src} AS VARCHAR), 1, {width})"
 
 
+# Columns, codes and labels of the dimensions.
 DIM_DEFS = {
     "DimCountry": _def("CountryKey", [("GTDCountryCode", "CAST(country AS INT)"),
                                          ("CountryName", _lbl("country_txt"))],
@@ -111,7 +112,7 @@ DIM_DEFS = {
                                else_label="Unknown"))], "success IN (0, 1)"),
     "DimLocation": _def("LocationKey", [
         ("country", "CAST(country AS INT)"), ("region", "CAST(region AS INT)"),
-        ("City", _lbl("city", 200)), ("Province", _lbl("provstate", 200)),
+        ("City", "CAST(city AS VARCHAR)"), ("Province", "CAST(provstate AS VARCHAR)"),
         ("Latitude", "CAST(latitude AS DOUBLE)"), ("Longitude", "CAST(longitude AS DOUBLE)")],
         "country IS NOT NULL AND region IS NOT NULL AND city IS NOT NULL", natural=6,
         policy="keep_all", not_null=False),
@@ -177,7 +178,7 @@ SELECT DISTINCT
   make_date(CAST(year AS INT), CAST(month AS INT), CAST(day AS INT)) AS FullDate,
   CAST(year AS INT) AS year, CAST(month AS SMALLINT) AS month, CAST(day AS SMALLINT) AS day
 FROM stage
-WHERE year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL
+WHERE year IS NOT NULL AND month IS NOT NULL AND day IS NOT NULL AND year >= 1753
   AND TRY_CAST(lpad(CAST(CAST(year AS INT) AS VARCHAR), 4, '0') || '-' || CAST(month AS INT) || '-' || CAST(day AS INT) AS DATE) IS NOT NULL
   AND year BETWEEN 1900 AND 2100 AND month BETWEEN 1 AND 12 AND day BETWEEN 1 AND 31
 """

@@ -4,21 +4,24 @@ finished star."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from dimloom.operators.dims import insert_new, keyed_dimension
-from dimloom.operators.fact import fits_broadcast
+from dimloom.operators.fact import fact_view, fits_broadcast
 from dimloom.operators.keys import assign_keys
 from dimloom.plans import oracle_base as O
 from dimloom.plans.pipeline import WAREHOUSE_COLUMNS, raw, stage
 from dimloom.plans.q_dims import star_ctes
-from dimloom.plans.q_fact import fact_with
+from dimloom.plans.q_fact import _DIM_CTE, _EVENTS, fact_with
 from dimloom.plans.registry import register
 from dimloom.plans.specs import BY_NAME, DEDUPE_ORDER, DIMENSIONS, FACT_COLUMNS, LOOKUPS
-from dimloom.plans.star import dimension, star_fact
-from dimloom.plans.warehouse import log_view, run_warehouse
+from dimloom.plans.star import dimension, dimensions, saved_fact
+from dimloom.plans.warehouse import log_view, reject_reason, run_warehouse
+from dimloom.sources.contracts import FACT_RENAMES
 from dimloom.session import new_scratch_path
-from dimloom.sources.files import CSV_NULL_TOKENS, profile_schema, read_incidents, write_clean
+from dimloom.sources.files import CSV_NULL_TOKENS, read_incidents, write_clean
 from dimloom.sources.tables import read_table
 
 # ---- K1 / K2 / D1 --------------------------------------------------------
@@ -88,12 +91,6 @@ def src_csv_roundtrip(spark, sf_dir):
     return read_incidents(spark, path, schema=df.schema, encoding="ISO-8859-1")
 
 
-@register("src_schema_profile")
-def src_schema_profile(spark, sf_dir):
-    """The staging schema as rows (rows-only check: no SQL equivalent)."""
-    return profile_schema(stage(spark, sf_dir))
-
-
 # ---- E2 / E3 -------------------------------------------------------------
 
 @register("log_view", """
@@ -107,13 +104,51 @@ def log_view_query(spark, sf_dir):
     return log_view(log)
 
 
-@register("run_status")
+def _status_sql() -> str:
+    cte = {**_DIM_CTE, "DimRegion": "dreg"}
+    steps = [("staging", "count(*) FROM stage"), ("reset", "0"), ("DimDate", "73414")]
+    steps += [(spec.name, f"count(*) FROM {cte[spec.name]}") for spec in DIMENSIONS]
+    steps += [("Fact_Terror_Events", "count(*) FROM fact WHERE DateKey IS NOT NULL")]
+    steps += [("audit_references", "0"), ("audit_unique", "0"), ("audit_not_null", "0")]
+    return fact_with(*star_ctes("DimRegion", "dreg")) + " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS INT) AS seq, '{name}' AS step, CAST(1 AS INT) AS status, CAST({rows.split(' FROM ')[0]} AS BIGINT) AS rows"
+        + (" FROM " + rows.split(" FROM ", 1)[1] if " FROM " in rows else "") for i, (name, rows) in enumerate(steps))
+
+
+@register("run_status", _status_sql())
 def run_status(spark, sf_dir):
-    """A full warehouse run into a fresh folder; one status row per step
-    (rows-only check: statuses depend on the run)."""
+    """A full warehouse run into a fresh folder, with the key audits of what it
+    published; one status row per step."""
     root = new_scratch_path(spark, "warehouse")
     return run_warehouse(spark, raw(spark, sf_dir), root, DIMENSIONS, LOOKUPS, FACT_COLUMNS, DEDUPE_ORDER,
-                         protect=WAREHOUSE_COLUMNS)
+                         protect=WAREHOUSE_COLUMNS).drop("message")
+
+
+# Planted rows that a load must reject: no event id, one that is too long, no city, a year outside the calendar.
+_BROKEN = """broken AS (SELECT * REPLACE (
+  CASE WHEN tie1 % 97 = 0 THEN NULL WHEN tie1 % 89 = 0 THEN CAST(eventid AS VARCHAR) || repeat('9', 60)
+       ELSE CAST(eventid AS VARCHAR) END AS eventid,
+  CASE WHEN tie1 % 83 = 0 THEN NULL ELSE city END AS city, CASE WHEN tie1 % 79 = 0 THEN 1850 ELSE year END AS year) FROM stage)"""
+
+
+@register("fact_rejects", fact_with(events=[_BROKEN, *[e.replace("FROM stage", "FROM broken") for e in _EVENTS]]) + """
+SELECT reason, count(*) AS rows FROM (
+  SELECT CASE WHEN e.eventid IS NULL THEN 'no event id' WHEN length(e.eventid) > 50 THEN 'event id over width'
+    WHEN e.DateKey IS NULL THEN 'date outside the calendar' WHEN loc.LocationKey IS NULL THEN 'no location' END AS reason
+  FROM evk e LEFT JOIN uloc loc ON loc.country = e.country AND loc.region = e.region AND loc.City = e.city)
+WHERE reason IS NOT NULL GROUP BY reason""")
+def fact_rejects(spark, sf_dir):
+    """events that the load rejects, by reason (rows planted for each reason)."""
+    tie, text = F.col("tie1"), F.col("eventid").cast("string")
+    broken = stage(spark, sf_dir).withColumns({
+        "eventid": F.when(tie % 97 == 0, None).when(tie % 89 == 0, F.concat(text, F.lit("9" * 60))).otherwise(text),
+        "city": F.when(tie % 83 == 0, None).otherwise(F.col("city")),
+        "year": F.when(tie % 79 == 0, 1850).otherwise(F.col("year")),
+    })
+    lookups = [replace(lk, how="left") for lk in LOOKUPS]
+    view = fact_view(broken, dimensions(spark, sf_dir), lookups, FACT_COLUMNS, DEDUPE_ORDER)
+    named = view.withColumnsRenamed(FACT_RENAMES).withColumn("reason", reject_reason())
+    return named.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
 # ---- roll-ups over the finished star ---------------------------------------
@@ -124,7 +159,7 @@ SELECT CAST(DateKey / 10000 AS INT) AS year, CountryName, count(*) AS events,
 FROM fact GROUP BY CAST(DateKey / 10000 AS INT), CountryName""")
 def star_by_year_country(spark, sf_dir):
     """Events, killed and wounded by year and country over the fact view."""
-    f = star_fact(spark, sf_dir)
+    f = saved_fact(spark, sf_dir)
     return (f.groupBy((F.col("DateKey") / 10000).cast("int").alias("year"), "CountryName")
             .agg(F.count(F.lit(1)).alias("events"), F.sum("num_killed").alias("killed"),
                  F.sum("num_wounded").alias("wounded")))
@@ -138,7 +173,7 @@ GROUP BY a.AttackTypeLabel, t.TargetTypeLabel""")
 def star_by_category(spark, sf_dir):
     """Events and killed by attack type and target type labels (star join back to
     the dimensions by surrogate key)."""
-    f = star_fact(spark, sf_dir)
+    f = saved_fact(spark, sf_dir)
     out = f
     for name, key, label in (("DimAttackType", "AttackTypeKey", "AttackTypeLabel"),
                              ("DimTargetType", "TargetTypeKey", "TargetTypeLabel")):

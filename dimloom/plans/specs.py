@@ -103,8 +103,8 @@ LOCATION = DimSpec(
     name="DimLocation", key="LocationKey",
     columns=(Out("country", lambda: c("country"), "int"),
              Out("region", lambda: c("region"), "int"),
-             Out("City", lambda: c("city"), "string", 200),
-             Out("Province", lambda: c("provstate"), "string", 200),
+             Out("City", lambda: c("city"), "string"),
+             Out("Province", lambda: c("provstate"), "string"),
              Out("Latitude", lambda: c("latitude"), "double"),
              Out("Longitude", lambda: c("longitude"), "double")),
     natural=("country", "region", "City", "Province", "Latitude", "Longitude"),
@@ -129,6 +129,7 @@ def bit_compat(spec: DimSpec) -> DimSpec:
 
 # Fact lookups, in the fact's column order. Every lookup reduces its dimension
 # to one key per natural key first (smallest key), so no lookup can fan out.
+# Which columns a lookup matches, the measures and the fact's column order.
 LOOKUPS = [
     LookupSpec("DimLocation", "LocationKey", (("country", "country"), ("region", "region"), ("City", "city")),
                how="inner"),

@@ -43,7 +43,8 @@ def dimension(spark: SparkSession, sf_dir: str, name: str) -> Keyed:
             keyed.df.write.parquet(path)
             hit = (path, keyed.rows, keyed.text_bytes)
             _dims[key] = hit
-    return Keyed(spark.read.parquet(hit[0]), hit[1], spec.key, hit[2])
+    unique = spec.natural if spec.on_conflict == "min_label" else ()
+    return Keyed(spark.read.parquet(hit[0]), hit[1], spec.key, hit[2], unique)
 
 
 def dimensions(spark: SparkSession, sf_dir: str, names=None) -> dict[str, Keyed]:
@@ -69,6 +70,25 @@ def star_fact(spark: SparkSession, sf_dir: str, dedupe_first: bool = True) -> Da
                      DEDUPE_ORDER, dedupe_first)
 
 
+_facts: dict[tuple[str, str, str], str] = {}
+
+
+def saved_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact view, resolved and written once per session: what audits, loads and
+    roll-ups over the finished star read."""
+    key = _memo_key(spark, sf_dir, "fact")
+    with _lock:
+        lock = _name_locks.setdefault(key, threading.Lock())
+    with lock:
+        path = _facts.get(key)
+        if path is None or not path_exists(spark, path):
+            path = new_scratch_path(spark, "fact")
+            star_fact(spark, sf_dir).write.parquet(path)
+            _facts[key] = path
+    return spark.read.parquet(path)
+
+
 def forget() -> None:
     with _lock:
         _dims.clear()
+        _facts.clear()

@@ -14,17 +14,21 @@ import datetime as dt
 import traceback
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimloom.functions.dates import calendar
+from dimloom.operators import audit as A
 from dimloom.operators.clean import CleanConfig, clean, sparse_columns
 from dimloom.operators.dims import DimSpec, insert_new, keyed_dimension
 from dimloom.operators.fact import fact_view, load_fact
 from dimloom.operators.keys import Keyed, size_stats
-from dimloom.sources.contracts import FACT_RENAMES, SCHEMAS, WIDTHS, conform
+from dimloom.session import remove_path
+from dimloom.sources.contracts import (
+    FACT_RENAMES, FOREIGN_KEYS, PRIMARY_KEYS, SCHEMAS, WIDTHS, cast_losses, conform, cut_widths, not_null_columns)
 
 FACT = "Fact_Terror_Events"
 LOG = "ETLLog"
@@ -46,9 +50,9 @@ class Warehouse:
         out = []
         for st in self._fs.listStatus(base):
             p = st.getPath()
-            if st.isDirectory() and p.getName().startswith("v") and self._fs.exists(self._Path(p, "_SUCCESS")):
+            if st.isDirectory() and p.getName()[1:].isdigit() and p.getName().startswith("v") and self._fs.exists(self._Path(p, "_SUCCESS")):
                 out.append(p.getName())
-        return sorted(out)
+        return sorted(out, key=lambda v: int(v[1:]))
 
     def current_path(self, name: str) -> str | None:
         versions = self._versions(name)
@@ -89,12 +93,12 @@ class Warehouse:
     def publish(self, name: str, df: DataFrame) -> str:
         """Overwrite by writing a new version; the old one stays readable until done."""
         path = self._next_path(name)
-        conform(df, SCHEMAS[name], WIDTHS.get(name)).write.mode("errorifexists").parquet(path)
+        conform(df, SCHEMAS[name], cut_widths(name)).write.mode("errorifexists").parquet(path)
         return path
 
     def append(self, name: str, df: DataFrame) -> None:
         """Add rows to the current version (first version if none)."""
-        shaped = conform(df, SCHEMAS[name], WIDTHS.get(name))
+        shaped = conform(df, SCHEMAS[name], cut_widths(name))
         path = self.current_path(name)
         if path is None:
             shaped.write.mode("errorifexists").parquet(self._next_path(name))
@@ -180,37 +184,78 @@ def load_date_dimension(wh: Warehouse) -> StepResult:
 
 def load_fact_table(wh: Warehouse, staging: DataFrame, specs, lookups, columns, order_by) -> StepResult:
     """F1 + F2: resolve events against the published dimensions and append the
-    events not yet in the fact. Rows breaking a NOT NULL key are not loaded.
+    events not yet in the fact. Rows that can't be loaded (``reject_reason``) are
+    written to a rejects folder with their reason and counted in the message.
 
     The resolved batch is written first: its exact size then decides how the
     existing fact is consulted (a scan against the broadcast batch ids rather
     than a shuffle of the whole fact), and the fact is never read and appended
     by the same lazy plan twice."""
     dims = {spec.name: wh.keyed(spec.name) for spec in specs}
-    view = fact_view(staging, dims, lookups, columns, order_by)
-    shaped = conform(view.withColumnsRenamed(FACT_RENAMES), SCHEMAS[FACT])
-    required = F.col("DateKey").isNotNull() & F.col("LocationKey").isNotNull()
-    candidates = wh.spark.read.parquet(_stage_batch(wh, shaped))
-    # Rows breaking a NOT NULL key (a date outside the calendar) go to a
-    # rejects folder and are counted, instead of failing the whole load.
-    rejects = candidates.where(~required)
-    n_rejects = rejects.count()
+    # No lookup drops events: what an inner one would lose is rejected with a reason.
+    lookups = [replace(lk, how="left") for lk in lookups]
+    view = fact_view(staging, dims, lookups, columns, order_by).withColumnsRenamed(FACT_RENAMES)
+    shaped = conform(view.withColumn("__lost", cast_losses(view, SCHEMAS[FACT])), _BATCH)
+    batches: list[str] = []
+    candidates = _stage_batch(wh, shaped, batches)
+    reason = reject_reason()
+    # Rows that break the contract go to a rejects folder and are counted,
+    # instead of failing the whole load.
+    rejects = candidates.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    totals = candidates.agg(F.count(F.lit(1)).alias("n"), F.sum(reason.isNotNull().cast("long")).alias("r"),
+                            F.sum("__lost").alias("lost")).first()
+    n_rejects, lost = int(totals["r"] or 0), int(totals["lost"] or 0)
     if n_rejects:
-        rejects.write.mode("errorifexists").parquet(f"{wh.root}/_rejects/{FACT}/{uuid.uuid4().hex}")
-    ok = candidates.where(required)
-    fresh = load_fact(ok, wh.table(FACT), SCHEMAS[FACT], {}, view_rows=candidates.count() - n_rejects)
-    batch = wh.spark.read.parquet(_stage_batch(wh, fresh))
+        rejects.drop("__lost").write.mode("errorifexists").parquet(f"{wh.root}/_rejects/{FACT}/{uuid.uuid4().hex}")
+    ok = candidates.where(reason.isNull()).drop("__lost")
+    fresh = load_fact(ok, wh.table(FACT), SCHEMAS[FACT], {}, view_rows=int(totals["n"]) - n_rejects)
+    batch = _stage_batch(wh, fresh, batches)
     n = batch.count()
     path = wh.current_path(FACT)
     if n:
         wh.append(FACT, batch)
-    return StepResult(FACT, 1, n, f"inserted into {path or 'new table'}; rejected {n_rejects}")
+    for written in batches:
+        remove_path(wh.spark, written)
+    return StepResult(FACT, 1, n, f"inserted into {path or 'new table'}; values lost in casts {lost}; rejected {n_rejects}")
 
 
-def _stage_batch(wh: Warehouse, df: DataFrame) -> str:
+# The fact's columns, all nullable, as a batch holds them before rejects are taken out.
+_BATCH = T.StructType([T.StructField(f.name, f.dataType, True) for f in SCHEMAS[FACT].fields]
+                      + [T.StructField("__lost", T.IntegerType(), True)])
+
+
+def reject_reason() -> Column:
+    """Why a resolved event can't be a fact row, or NULL (the first reason that holds)."""
+    return (F.when(F.col("EventID").isNull(), F.lit("no event id"))
+            .when(F.length("EventID") > WIDTHS[FACT]["EventID"], F.lit("event id over width"))
+            .when(F.col("DateKey").isNull(), F.lit("date outside the calendar"))
+            .when(F.col("LocationKey").isNull(), F.lit("no location")))
+
+
+def audit_keys(wh: Warehouse, specs) -> list[StepResult]:
+    """Q5-Q7 on what was published: foreign keys, primary key and NOT NULL columns of
+    the fact. A step's rows are its violations; any violation fails the step."""
+    fact = wh.table(FACT)
+    refs = []
+    for column, dim, key in FOREIGN_KEYS:
+        if dim == "DimDate" or any(s.name == dim for s in specs):
+            refs.append((column, dim, wh.table(dim), key, None))
+
+    def step(name: str, bad: int, what: str) -> StepResult:
+        return StepResult(name, -1 if bad else 1, bad, f"{what}: {bad}")
+
+    orphans = A.reference_violations(fact, refs).agg(F.sum("orphan_rows")).first()[0] or 0
+    repeated = A.unique_violations(fact, PRIMARY_KEYS[FACT]).count()
+    nulls = A.null_violations({FACT: fact}, {FACT: not_null_columns(FACT)}).agg(F.sum("null_rows")).first()[0] or 0
+    return [step("audit_references", int(orphans), "orphan keys"), step("audit_unique", repeated, "repeated event ids"),
+            step("audit_not_null", int(nulls), "missing required values")]
+
+
+def _stage_batch(wh: Warehouse, df: DataFrame, written: list[str]) -> DataFrame:
     path = f"{wh.root}/_batches/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return path
+    written.append(path)
+    return wh.spark.read.parquet(path)
 
 
 def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups, columns, order_by,
@@ -230,7 +275,7 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
             return fn()
         except Exception as e:  # noqa: BLE001 -- recorded as a failed step
             traceback.print_exc()
-            return StepResult(name, -1, 0, f"{type(e).__name__}: {e}"[:2000])
+            return StepResult(name, -1, 0, f"{type(e).__name__}: {e}")
 
     def record(res: StepResult) -> bool:
         results.append(res)
@@ -256,6 +301,8 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
     if not run("staging", do_stage):
         return _as_frame(spark, results)
     staging = spark.read.parquet(staging_path).drop(*dropped)
+    if callable(order_by):  # an order over whatever columns the staging table has
+        order_by = order_by(staging.columns)
     if refresh:
         names = [FACT] + [s.name for s in specs] + ["DimDate"]
         run("reset", lambda: (wh.reset(names), StepResult("reset", 1, 0, "tables emptied"))[1])
@@ -267,7 +314,16 @@ def run_warehouse(spark: SparkSession, raw: DataFrame, root: str, specs, lookups
     for res in done:
         dims_ok = record(res) and dims_ok
     if dims_ok:
-        run(FACT, lambda: load_fact_table(wh, staging, specs, lookups, columns, order_by))
+        loaded = run(FACT, lambda: load_fact_table(wh, staging, specs, lookups, columns, order_by))
+        if loaded:
+            try:
+                audits = audit_keys(wh, specs)
+            except Exception as e:  # noqa: BLE001 -- recorded as a failed step
+                traceback.print_exc()
+                audits = [StepResult("audit_references", -1, 0, f"{type(e).__name__}: {e}")]
+            for res in audits:
+                record(res)
+    remove_path(spark, staging_path)
     return _as_frame(spark, results)
 
 

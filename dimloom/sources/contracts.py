@@ -26,6 +26,7 @@ def _flag(key, code, label="Description", code_type=SH, code_null=False):
     return _schema((key, I, False), (code, code_type, code_null), (label, S, False))
 
 
+# Table columns.
 SCHEMAS: dict[str, T.StructType] = {
     "DimDate": _schema(("DateKey", I, False), ("FullDate", DT, False), ("year", I, False),
                        ("month", SH, False), ("day", SH, False)),
@@ -86,6 +87,20 @@ WIDTHS: dict[str, dict[str, int]] = {
     "ETLLog": {"ETLAction": 100, "ETLLogMessage": 2000},
 }
 
+# Text that lookups and anti joins match: kept whole whatever its declared width
+# (the width audit counts it), since a cut key would no longer match its source.
+KEY_TEXT: dict[str, set[str]] = {
+    "DimPerpetratorGroup": {"GroupName"},
+    "DimLocation": {"City", "Province"},
+    "Fact_Terror_Events": {"EventID"},
+}
+
+
+def cut_widths(name: str) -> dict[str, int]:
+    """Declared widths of a table's text columns that are no part of a key."""
+    return {c: w for c, w in WIDTHS.get(name, {}).items() if c not in KEY_TEXT.get(name, ())}
+
+
 # Fact foreign keys, (fact column, dimension, dimension key).
 FOREIGN_KEYS = [
     ("DateKey", "DimDate", "DateKey"),
@@ -109,7 +124,7 @@ FOREIGN_KEYS = [
 
 PRIMARY_KEYS = {name: [schema.fields[0].name] for name, schema in SCHEMAS.items()}
 
-# Fact view column -> fact table column.
+# Fact view column -> fact table column.
 FACT_RENAMES = {
     "eventid": "EventID",
     "num_killed": "NumKilled",
@@ -149,5 +164,13 @@ def conform(df: DataFrame, schema: T.StructType, widths: dict[str, int] | None =
     return df.select(*cols)
 
 
+def cast_losses(df: DataFrame, schema: T.StructType) -> Column:
+    """Per row, how many values ``conform`` would turn into NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    lost = [(F.col(f.name).isNotNull() & _shape(F.col(f.name), have[f.name], f.dataType).isNull()).cast("int")
+            for f in schema.fields if f.name in have and have[f.name] != f.dataType]
+    return sum(lost, F.lit(0))
+
+
 def not_null_columns(name: str) -> list[str]:
     return [f.name for f in SCHEMAS[name].fields if not f.nullable]

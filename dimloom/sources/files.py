@@ -18,13 +18,14 @@ CSV_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 
 
 def read_incidents(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   encoding: str = "ISO-8859-1", null_tokens=None) -> DataFrame:
+                   encoding: str = "ISO-8859-1", null_tokens=None, multi_line: bool = True) -> DataFrame:
     """A headed CSV file (or folder) in the given encoding; quoted
     fields may hold newlines and doubled quotes. ``schema=None`` infers types
-    (one extra pass over the data; avoid it for large inputs).
+    (one extra pass over the data; avoid it for large inputs). ``multi_line=False``,
+    for files whose fields hold no newline, lets Spark split a file over tasks.
     """
     reader = (spark.read.option("header", True).option("encoding", encoding)
-              .option("multiLine", True).option("quote", '"').option("escape", '"')
+              .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
               .option("mode", "PERMISSIVE"))
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)

@@ -74,3 +74,68 @@ def test_fact_rejects_out_of_range_dates(spark, tmp_path):
     fact = wh.table("Fact_Terror_Events")
     assert fact.where("DateKey IS NULL").count() == 0 and fact.count() == res.rows
     assert spark.read.parquet(f"{wh.root}/_rejects/Fact_Terror_Events/*").count() == rejected
+
+
+def test_long_names_reload_adds_nothing(spark, tmp_path):
+    """Cities and group names past their declared widths stay whole: every lookup still
+    finds them, and a second load adds no members."""
+    from pyspark.sql import functions as F
+
+    from dimloom.operators.clean import clean
+    from dimloom.plans.warehouse import load_date_dimension, load_fact_table
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    staging = clean(raw_incidents(spark, SF_TINY), "rename").withColumns({
+        "city": F.when(F.col("tie1") % 2 == 0, F.concat("city", F.lit("x" * 250))).otherwise(F.col("city")),
+        "gname": F.when(F.col("tie1") % 3 == 0, F.concat("gname", F.lit("y" * 300))).otherwise(F.col("gname"))})
+    load_date_dimension(wh)
+    for spec in DIMENSIONS:
+        load_dimension(wh, staging, spec)
+    res = load_fact_table(wh, staging, DIMENSIONS, LOOKUPS, FACT_COLUMNS, DEDUPE_ORDER)
+    fact = wh.table("Fact_Terror_Events")
+    assert res.message.endswith("rejected 0") and fact.count() == res.rows > 0
+    assert fact.where("PerpetratorGroupKey IS NULL OR LocationKey IS NULL").count() == 0
+    for name in ("DimLocation", "DimPerpetratorGroup"):
+        assert load_dimension(wh, staging, BY_NAME[name], mode="insert_new").rows == 0
+
+
+def test_bad_load_fails_the_key_audit(spark, tmp_path):
+    from dimloom.plans.warehouse import audit_keys
+
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    run_warehouse(spark, raw_incidents(spark, SF_TINY), wh.root, DIMENSIONS, LOOKUPS, FACT_COLUMNS, DEDUPE_ORDER,
+                  protect=WAREHOUSE_COLUMNS)
+    assert [r.status for r in audit_keys(wh, DIMENSIONS)] == [1, 1, 1]
+    wh.append("Fact_Terror_Events", wh.table("Fact_Terror_Events").limit(1).selectExpr("* except (CountryKey)", "-7 AS CountryKey"))
+    assert [(r.step, r.status, r.rows) for r in audit_keys(wh, DIMENSIONS)] == [
+        ("audit_references", -1, 1), ("audit_unique", -1, 1), ("audit_not_null", 1, 0)]
+
+
+def test_versions_sort_by_number(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    for v in ("v99999", "v100000"):
+        spark.range(int(v[1:]) % 7).write.parquet(f"{wh.root}/t/{v}")
+    assert wh.current_path("t").endswith("v100000")
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    import pytest
+
+    from dimloom.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802 -- Spark's name
+            return None
+
+    class Session:
+        sparkContext = Context()  # noqa: N815 -- Spark's name
+
+        class conf:  # noqa: N801 -- Spark's name
+            @staticmethod
+            def get(_, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
