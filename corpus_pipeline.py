@@ -13,7 +13,7 @@ All stages but the last return the columns that they were given (n_chars follows
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimloom.llm.common import saved, ship_package, small, table
@@ -26,7 +26,8 @@ from dimloom.llm.suffix_dedup import remove_repeats
 #: No SQL can train a classifier or sort suffixes; tests hold the stages against brute force.
 ORACLE_SQL = None
 
-_ROW = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
+def _row() -> Column:
+    return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,11 +38,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    rows = similar_groups(docs.select(_ROW.alias("_row"), "text"), id_col="_row")
+    rows = similar_groups(docs.select(_row().alias("_row"), "text"), id_col="_row")
     named = rows.filter("_row.id is not null")
     goes = saved(named.filter("_row != component_id").select("_row").distinct(), "linked")
     twice = saved(named.filter("_row = component_id").groupBy("_row").count().filter("count > 1").select("_row"), "equal-rows")
-    kept = docs.withColumn("_row", _ROW).join(small(goes), "_row", "left_anti")
+    kept = docs.withColumn("_row", _row()).join(small(goes), "_row", "left_anti")
     if not twice.isEmpty():  # equal rows: one of them stays
         equal = kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
         kept = kept.join(twice, "_row", "left_anti").unionByName(equal)
@@ -59,9 +60,9 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = found_items(docs.select(_ROW.alias("_row"), "text"), table(spark, sf_dir, "benchmark"), id_col="_row")
+    found = found_items(docs.select(_row().alias("_row"), "text"), table(spark, sf_dir, "benchmark"), id_col="_row")
     held = saved(found.select("_row").distinct(), "contaminated")
-    rows = docs.withColumn("_row", _ROW)
+    rows = docs.withColumn("_row", _row())
     return rows.join(small(held), rows["_row"].eqNullSafe(held["_row"]), "left_anti").select(*docs.columns)
 
 

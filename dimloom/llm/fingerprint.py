@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 from .common import table, text_bytes
 from .neighbours import in_ranges
 
-MIN, TARGET, MAX = 32, 96, 512
+MIN, TARGET, MAX = 24, 64, 512
 #: Top bits that must be zero: before the target size and beyond it.
-HARD, EASY = 8, 5
+HARD, EASY = 7, 5
 #: A random 32-bit number for each byte value.
 GEAR = np.random.default_rng(20).integers(0, 1 << 32, 256, np.uint32)
 

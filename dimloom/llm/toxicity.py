@@ -122,7 +122,7 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 30) ->
     return w
 
 
-def _scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def scored(rows: DataFrame, model: Model, keep: list[str]) -> DataFrame:
     """x0, x1 and score beside the columns of `keep`."""
     share = rows.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
 
@@ -150,7 +150,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         rest = known.filter(fold == 4)
         n = max(1, rest.count())
         drawn = rest.filter(F.pmod(F.xxhash64(F.lit("toxic"), "id"), F.lit(1 << 20)) < int(min(1, CALIBRATION_ROWS / n) * (1 << 20)))
-        got = _scored(rows.join(small(drawn), "id"), model, ["toxic"]).select("toxic", "x0", "x1").toArrow()
+        got = scored(rows.join(small(drawn), "id"), model, ["toxic"]).select("toxic", "x0", "x1").toArrow()
         x, y = np.column_stack((got.column("x0").to_numpy(), got.column("x1").to_numpy(), np.ones(len(got)))), got.column("toxic").to_numpy().astype(float)
         order = np.lexsort((y, x[:, 1], x[:, 0]))
         if 0 < y.sum() < len(y):
@@ -165,5 +165,5 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = learn(docs, table(spark, sf_dir, "labels"))
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False))
-    out = _scored(docs, model, ["doc_id"])
+    out = scored(docs, model, ["doc_id"])
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
