@@ -2,11 +2,11 @@
 
 Dense keys 1..n in a fixed order, without a single-partition window:
 
-1. count the rows (one small job);
+1. write the rows once and count them there (small jobs);
 2. if more than one bucket is needed, sample the ordering columns (a bounded
    sample, sorted by Spark) and pick bucket bounds from it; the bucket of a
-   row is found by binary search over the bounds, as a nested ``when`` over
-   struct comparisons (NULL fields sort first, as in the window order);
+   row is found by binary search over the bounds, an array of structs (NULL
+   fields sort first, as in the window order);
 3. count rows per bucket (one row per bucket reaches the driver) and turn the
    counts into cumulative offsets;
 4. ``row_number()`` within each bucket, plus the bucket's offset.
@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dimloom.session import new_scratch_path
+
 # Rows per bucket: about one bucket per shuffle partition, never tiny ones.
 DEFAULT_BUCKET_ROWS = None
 MIN_BUCKET_ROWS = 1000
@@ -70,16 +72,20 @@ def _names(df: DataFrame, order_by) -> list[str]:
 
 
 def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
-    """Index of the bucket holding ``key``: number of bounds <= key (binary search)."""
+    """Index of the bucket holding ``key``: number of bounds <= key, by binary search
+    over one constant array (the expression doesn't grow with the bounds)."""
+    if not bounds:
+        return F.lit(0)
+    held = F.array(*bounds)
 
-    def search(lo: int, hi: int) -> Column:
-        # bucket is in [lo, hi]; bounds[i] is the first key of bucket i + 1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(key >= bounds[mid - 1], search(mid, hi)).otherwise(search(lo, mid - 1))
+    def halve(s: Column, _: Column) -> Column:
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        up = F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))
+        down = F.struct(s["lo"].alias("lo"), mid.alias("hi"))
+        return F.when(s["lo"] >= s["hi"], s).when(F.element_at(held, mid + 1) <= key, up).otherwise(down)
 
-    return search(0, len(bounds))
+    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
+    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve)["lo"]
 
 
 def bucket_count(rows: int, bucket_rows: int) -> int:
@@ -92,12 +98,16 @@ def auto_bucket_rows(df: DataFrame, rows: int) -> int:
 
 
 def assign_keys(df: DataFrame, order_by, key: str, start: int = 0,
-                bucket_rows: int | None = DEFAULT_BUCKET_ROWS, rows: int | None = None) -> Keyed:
+                bucket_rows: int | None = DEFAULT_BUCKET_ROWS, rows: int | None = None, key_type: str = "int") -> Keyed:
     """K1: add ``key`` = start + 1, start + 2, ... in ``order_by`` order.
 
-    ``order_by`` must be a total order over the rows of ``df``.
+    ``order_by`` must be a total order over the rows of ``df``, which is written
+    once: sizing, sampling, counting and numbering read that copy, not its source.
     """
     names = _names(df, order_by)
+    path = new_scratch_path(df.sparkSession, "members")
+    df.write.parquet(path)
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     text_bytes = None
     if rows is None:
         n, text_bytes = size_stats(df)
@@ -122,7 +132,7 @@ def assign_keys(df: DataFrame, order_by, key: str, start: int = 0,
             total += counts.get(b, 0)
     offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), bucket + 1)
     w = Window.partitionBy(bucket).orderBy(*_cols(names))
-    keyed = df.withColumn(key, (F.row_number().over(w) + offset + F.lit(start)).cast("int"))
+    keyed = df.withColumn(key, (F.row_number().over(w) + offset + F.lit(start)).cast(key_type))
     return Keyed(keyed.select(key, *df.columns), n, key, text_bytes)
 
 

@@ -27,13 +27,13 @@ from dimloom.sources.tables import read_table
 # ---- K1 / K2 / D1 --------------------------------------------------------
 
 @register("key_dense", O.staged() + """
-SELECT CAST(row_number() OVER (ORDER BY eventid) AS INT) AS EventKey, eventid
+SELECT row_number() OVER (ORDER BY eventid) AS EventKey, eventid
 FROM (SELECT DISTINCT eventid FROM stage)""")
 def key_dense(spark, sf_dir):
     """K1: dense keys 1..n for the distinct event ids, in id order (range buckets,
     no single-partition window)."""
     events = stage(spark, sf_dir).select("eventid").distinct()
-    return assign_keys(events, ["eventid"], "EventKey").df
+    return assign_keys(events, ["eventid"], "EventKey", key_type="long").df
 
 
 # The incremental scenario: a first load saw the rows dated before 1998.
