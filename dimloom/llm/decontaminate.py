@@ -72,8 +72,9 @@ def _permuted(h: np.ndarray, j: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _keys(least: np.ndarray, size: int, j: int) -> np.ndarray:
-    return mix64(least * np.uint64(31) + np.uint64(size * 1000 + j)).view(np.int64)
+def _seed(size: int, j: int) -> np.uint64:
+    """Tells keys of different size classes and permutations apart."""
+    return mix64(np.array([size * 1000 + j], np.uint64))[0]
 
 
 def item_keys(text: str | None) -> np.ndarray:
@@ -82,21 +83,27 @@ def item_keys(text: str | None) -> np.ndarray:
     if not len(h):
         return np.empty(0, np.int64)
     c = size_class(len(h))
-    return np.array([_keys(_permuted(h, j).min(keepdims=True), c, j)[0] for j in range(PERMUTATIONS)])
-
-
-def window_keys(h: np.ndarray, classes: list[int]) -> Iterator[np.ndarray]:
-    """Keys of all windows of a document's shingles, for each size class."""
-    if not len(h):
-        return
-    starts = {c: np.arange(0, len(h), 1 << c) for c in classes}  # half a window of 2 * 2**c
+    return np.array([_permuted(h, j).min() ^ _seed(c, j) for j in range(PERMUTATIONS)], np.uint64).view(np.int64)
+
+
+def window_keys(texts: list[np.ndarray], classes: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of all windows of some texts' shingles, by size class and permutation, and the number of each window's text."""
+    h = np.concatenate(texts)
+    lengths = np.array([len(t) for t in texts])
+    begin = np.cumsum(lengths) - lengths
+    cuts = {}
+    for c in classes:  # half windows of 2**c shingles; a window is one with the next of its text
+        halves = -(-lengths // (1 << c))
+        of = np.repeat(np.arange(len(texts)), halves)
+        start = begin[of] + (np.arange(len(of)) - np.repeat(np.cumsum(halves) - halves, halves) << c)
+        cuts[c] = (start, of, np.flatnonzero(of[:-1] == of[1:]))
     for j in range(PERMUTATIONS):
         g = _permuted(h, j)
-        for c in classes:
-            least = np.minimum.reduceat(g, starts[c])
-            if len(least) > 1:
-                least = np.minimum(least[:-1], least[1:])
-            yield _keys(least, c, j)
+        for c, (start, of, more) in cuts.items():
+            least = np.minimum.reduceat(g, start)
+            whole = least.copy()
+            whole[more] = np.minimum(least[more], least[more + 1])
+            yield (whole ^ _seed(c, j)).view(np.int64), of
 
 
 def found_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -121,17 +128,38 @@ def found_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
     def of_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = only.value if only is not None else None
+        maybe = None
+        if known is not None:  # a small table that rules most keys out
+            maybe = np.zeros(1 << 22, bool)
+            maybe[known & (1 << 22) - 1] = True
+
+        def keys_of(rows: list[int], held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+            keys, of = [], []
+            for k, t in window_keys(held, classes):
+                if maybe is not None:
+                    at = np.flatnonzero(maybe[k & (1 << 22) - 1])
+                    k, t = k[at], t[at]
+                    at = np.minimum(np.searchsorted(known, k), len(known) - 1)
+                    k, t = k[known[at] == k], t[known[at] == k]
+                keys.append(k)
+                of.append(t)
+            got = np.unique(np.column_stack((np.array(rows)[np.concatenate(of)], np.concatenate(keys))), axis=0)
+            return got[:, 0], got[:, 1]
+
         for batch in batches:
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            rows, held, total = [], [], 0
+            texts = batch.column(1).to_pylist() if classes else []
+            for i, text in enumerate(texts):
                 h = shingles(text)
-                if not len(h) or not classes:
-                    continue
-                k = np.unique(np.concatenate([*window_keys(h, classes)]))
-                if known is not None:
-                    at = np.minimum(np.searchsorted(known, k), len(known) - 1)
-                    k = k[known[at] == k] if len(known) else k[:0]
-                if len(k):
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(k))), pa.array(k)], names=["doc", "key"])
+                if len(h):
+                    rows.append(i)
+                    held.append(h)
+                    total += len(h)
+                if held and (total > 100_000 or i == len(texts) - 1):
+                    row, k = keys_of(rows, held)
+                    if len(k):
+                        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(k)], names=["doc", "key"])
+                    rows, held, total = [], [], 0
 
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     hits = texts.mapInArrow(of_docs, f"doc {doc_kind}, key long")
