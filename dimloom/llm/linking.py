@@ -11,16 +11,15 @@ from pyspark.sql import Window
 from .common import saved
 
 #: Groups of at most this many members are compared pair by pair at once.
-SMALL_GROUP = 6
+SMALL_GROUP = 8
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """(node, component) of every node of edges (a, b): component is the smallest node that can be reached.
 
     Alternates large-star and small-star steps: each node's neighbours are handed to its smallest one. All is grouped
-    minima and joins, so a node with very many neighbours isn't gathered anywhere; steps end when nothing changes."""
-    now = saved(edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
-    mark = None
+    minima and joins, so a node with very many neighbours isn't gathered anywhere; steps end when only stars are left."""
+    now = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     while True:
         both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -29,10 +28,11 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         small = large.join(least, "a").select("a", "b", "m")
         step = small.select("a", F.col("m").alias("b")).union(small.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))).distinct()
         now = saved(step, name)
-        got = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if got == mark:
+        # all are stars around a smallest node when no node has both a smaller and a larger neighbour, or two smaller ones
+        chained = now.select(F.col("a").alias("node")).join(now.select(F.col("b").alias("node")), "node", "left_semi")
+        forked = now.groupBy("a").count().filter("count > 1").select(F.col("a").alias("node"))
+        if chained.union(forked).isEmpty():
             break
-        mark = got
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
@@ -40,27 +40,26 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], na
     """Components of the links that `verify` finds among nodes that share a group; members: a saved table (key, node).
 
     verify: (a, b) pairs, a < b -> those that link. Returns ((node, component) of all member nodes, links checked to hold).
-    Small groups are compared pair by pair. In larger ones a few pivots are compared to every member, in rounds, until
-    all members are in one component or every member has been a pivot. So pairs in one component already are never formed,
-    yet no two nodes of a group end in different components unless they were compared or linked with nothing there."""
-    node = members.select("node").distinct()
-    comp = saved(node.select("node", F.col("node").alias("component")), name)
-    seen, used, links, pivots, turn = None, None, None, 1, 0
+    Small groups are compared pair by pair. In a larger one some members are pivots, those of its smallest components first: they are
+    compared to every other member and leave the group. Rounds go on, with four times the pivots each, until what is left of
+    each group is one component. So two nodes of a group have been compared, or are in one component anyway."""
+    comp = saved(members.select("node").distinct().withColumn("component", F.col("node")), name)
+    left, seen, links, pivots, first = members, None, None, 4, True
     while True:
-        now = members.join(comp, "node") if turn else members.withColumn("component", F.col("node"))
-        groups = now.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-        open_ = saved(groups.select("key", "n"), name)
-        large = now.join(open_.filter(F.col("n") > SMALL_GROUP).select("key"), "key")
-        free = large if used is None else large.join(used, ["key", "node"], "left_anti")
-        each = free.groupBy("key", "component").agg(F.count("*").alias("n"), F.min("node").alias("pivot"))
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("n", "pivot"))
-        chosen = saved(each.withColumn("r", rank).filter(F.col("r") <= pivots).select("key", "pivot", F.col("component").alias("of")), name)
-        pairs = large.join(chosen, "key").filter("component != of").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        if not turn:
-            few = now.join(open_.filter(F.col("n") <= SMALL_GROUP).select("key"), "key").select("key", "node")
-            pairs = pairs.union(few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b"))
-        elif chosen.isEmpty():
+        now = left.join(comp, "node")
+        groups = now.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        now = saved(now.join(groups.filter("lo != hi").select("key", "n"), "key"), name)  # members of groups that are still open
+        if now.isEmpty():
             break
+        large = now.filter(F.col("n") > SMALL_GROUP) if first else now
+        sizes = large.groupBy("key", "component").agg(F.count("*").alias("of"))
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("of", "component", "node"))
+        ranked = large.join(sizes, ["key", "component"]).withColumn("r", rank).filter(F.col("r") <= pivots)
+        chosen = ranked.select("key", F.col("node").alias("pivot"), F.col("component").alias("its"))
+        pairs = large.join(chosen, "key").filter("component != its").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        if first:
+            few = now.filter(F.col("n") <= SMALL_GROUP)
+            pairs = pairs.union(few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b"))
         pairs = pairs.distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
@@ -68,14 +67,14 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], na
         found = saved(verify(pairs).select("a", "b"), name)
         seen = pairs if seen is None else seen.union(pairs)
         links = found if links is None else links.union(found)
-        mark = chosen.select("key", F.col("pivot").alias("node"))
-        used = mark if used is None else used.union(mark)
+        left = large.join(chosen.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").select("key", "node")
         if not found.isEmpty():
             at = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
             to = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
             joined = components(found.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), name)
             joined = joined.select(F.col("node").alias("component"), F.col("component").alias("new"))
             comp = saved(comp.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component")), name)
-        turn += 1
-        pivots *= 2
+        first, pivots = False, pivots * 4
+    if links is None:
+        links = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     return comp, links
