@@ -13,8 +13,10 @@ Jaccard distance of at most r = 1 - percent / 100. Jaccard distance is a metric,
    windows where the next size is beyond the ratio that a link allows.
 3. The order puts shingles that many documents hold last (counted over all documents, a batch at a time), so that frequent lines
    make no large regions. Any order gives the same links.
-4. Regions join exactly, recursively: small ones pair by pair, larger ones by document pivots in rounds (``link_groups``), where
-   what is known to be one component is not compared again. Pairs are verified on whole sets.
+4. Windows of regions join exactly: small ones pair by pair, larger ones by document pivots in rounds (``link_groups``), where
+   what is known to be one component is not compared again. A pair is first bounded from sketches: a sketch holds for each of
+   `BITS` classes of shingles whether their number is odd, so two sketches differ in no more bits than the sets in shingles. Pairs
+   that the bound leaves are verified on whole sets.
 
 Equal sets are one node from the start. Defined results: null, empty and word-free texts have an empty set and link with nothing, not
 even with each other; fewer words than a shingle has are one shingle; rows with a null id form their own components, with null
@@ -32,13 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix64, partitions, saved, shingle_hashes, small, table, text_bytes, word_hashes
-from .linking import link_groups
+from .linking import SMALL_GROUP, components, link_groups
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _PIECE = 1 << 20
-#: A shingle that more documents of a batch hold than this, and than 1 in BATCH_SHARE of them, is counted as frequent.
-BATCH_LEAST, BATCH_SHARE = 3, 500
+#: A shingle that more different documents of a batch hold than this is counted as frequent.
+BATCH_LEAST = 2
+#: Bits of a set's sketch.
+BITS = 1024
 #: Most frequent shingles that are ranked last; it bounds what is broadcast and changes no result.
 RANKED_LAST = 200_000
 
@@ -63,12 +67,12 @@ def _node(s: np.ndarray) -> int:
 
 
 def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
-    """(id, n, node, hot, times): each row's set size and set hash; a batch's frequent shingles and their counts, on its last row."""
+    """(id, n, node, bits, hot, times): each row's set size, hash and sketch; a batch's frequent shingles and their counts, on its last row."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, node, group, total = [], [], [], 0
+            n, node, bits, group, total = [], [], [], [], 0
             hot: dict[int, int] = {}
             held = set()
 
@@ -81,6 +85,8 @@ def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
                 s = shingles(text, k)
                 n.append(len(s))
                 node.append(_node(s))
+                odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+                bits.append(np.packbits(odd.astype(bool)).tobytes())
                 if len(s) and node[-1] not in held:
                     held.add(node[-1])
                     group.append(s)
@@ -90,15 +96,14 @@ def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
                         group, total = [], 0
             if group:
                 count()
-            least = max(BATCH_LEAST, len(n) // BATCH_SHARE)
-            often = sorted((np.uint64(s).astype(np.int64).item(), c) for s, c in hot.items() if c > least)
+            often = sorted((np.uint64(s).astype(np.int64).item(), c) for s, c in hot.items() if c > BATCH_LEAST)
             blank = [None] * (len(n) - 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array([*blank, [s for s, _ in often]], pa.list_(pa.int64())), pa.array([*blank, [c for _, c in often]], pa.list_(pa.int64()))],
-                names=["id", "n", "node", "hot", "times"],
+                [batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(bits, pa.binary()), pa.array([*blank, [s for s, _ in often]], pa.list_(pa.int64())), pa.array([*blank, [c for _, c in often]], pa.list_(pa.int64()))],
+                names=["id", "n", "node", "bits", "hot", "times"],
             )
 
-    return docs.mapInArrow(run, f"id {kind}, n long, node long, hot array<long>, times array<long>")
+    return docs.mapInArrow(run, f"id {kind}, n long, node long, bits binary, hot array<long>, times array<long>")
 
 
 def _regions(docs: DataFrame, k: int, percent: int, last: np.ndarray, shingles=shingle_set) -> DataFrame:
@@ -131,37 +136,69 @@ def _regions(docs: DataFrame, k: int, percent: int, last: np.ndarray, shingles=s
     return docs.select("text").mapInArrow(run, "key long, n long, node long")
 
 
-def _windows(rows: DataFrame, percent: int) -> DataFrame:
-    """(key, node): members of regions, cut into windows of sizes that links allow; windows of one node are left out.
+def _candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(large, a, b): the pairs of nodes of each small window of a region; of a large one its members, as (window, node).
 
-    A region's rows are sorted by size and read in a stream that holds one row. A row stands alone in its window if it
-    starts one and so does the next row."""
+    A region's rows come sorted by size and are cut into windows where the next size is beyond the ratio that links allow. They
+    are read in a stream that holds the rows of one small window or the last row of a large one."""
     rows = rows.repartition(partitions(rows), "key").sortWithinPartitions("key", "n", "node")
+    places = {s: np.triu_indices(s, 1) for s in range(2, SMALL_GROUP + 1)}
+
+    def give(pairs: list[np.ndarray], members: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for large, parts in ((False, pairs), (True, members)):
+            if parts:
+                got = np.concatenate(parts)
+                got = got if large else np.unique(got, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), large)), pa.array(got[:, 0]), pa.array(got[:, 1])], names=["large", "a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the last row so far: key, n, node, its window, whether it starts it
+        held = np.empty((0, 3), np.int64)  # rows (key, n, node) of the last window: all, or the last one if it is large
+        window = None  # the number of a large last window
         for batch in batches:
-            key, n, node = (c.to_numpy() for c in batch.columns)
-            if not len(key):
-                continue
-            if held:
-                key, n, node = (np.concatenate(([h], c)) for h, c in zip(held[:3], (key, n, node), strict=True))
-            other = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))  # repeated sets stand together
-            key, n, node = key[other], n[other], node[other]
-            start = np.concatenate(([held[4] if held else True], (key[1:] != key[:-1]) | (n[1:] * percent > n[:-1] * 100)))
-            window = mix64(key.view(np.uint64) * np.uint64(31) + n.astype(np.uint64)).view(np.int64)
-            if held:
-                window[0] = held[3]
-            at = np.where(start, np.arange(len(key)), 0)
-            window = window[np.maximum.accumulate(at)]
-            give = ~start[:-1] | ~start[1:]
-            if give.any():
-                yield pa.RecordBatch.from_arrays([pa.array(window[:-1][give]), pa.array(node[:-1][give])], names=["key", "node"])
-            held = (key[-1], n[-1], node[-1], window[-1], start[-1])
-        if held and not held[4]:
-            yield pa.RecordBatch.from_arrays([pa.array([held[3]]), pa.array([held[2]])], names=["key", "node"])
-
-    return rows.mapInArrow(run, "key long, node long")
+            now = np.concatenate((held, np.column_stack([c.to_numpy() for c in batch.columns])))
+            held, window, pairs, members = step(now, window, False)
+            yield from give(pairs, members)
+        _, _, pairs, members = step(held, window, True)
+        yield from give(pairs, members)
+
+    def step(now: np.ndarray, window: int | None, over: bool):
+        if not len(now):
+            return now, window, [], []
+        other = np.ones(len(now), bool)  # repeated sets stand together
+        other[1:] = (now[1:, 0] != now[:-1, 0]) | (now[1:, 2] != now[:-1, 2])
+        now = now[other]
+        key, n, node = now.T
+        start = np.ones(len(now), bool)
+        start[1:] = (key[1:] != key[:-1]) | (n[1:] * percent > n[:-1] * 100)
+        first = np.flatnonzero(start)
+        size = np.diff(np.append(first, len(now)))
+        name = mix64(key[first].view(np.uint64) * np.uint64(31) + n[first].astype(np.uint64)).view(np.int64)
+        pairs, members, known = [], [], window is not None
+        if known:
+            name[0] = window
+            members.append(np.column_stack((np.full(size[0] - 1, window), node[1 : size[0]])))  # its last row was given before
+        last = len(first) - 1
+        done = np.arange(len(first)) if over else np.arange(last)
+        done = done[1:] if known else done
+        for s, (i, j) in places.items():
+            at = first[done[size[done] == s]]
+            if len(at):
+                x, y = at[:, None] + i, at[:, None] + j
+                near = n[y] * percent <= n[x] * 100
+                x, y = node[x[near]], node[y[near]]
+                pairs.append(np.column_stack((np.minimum(x, y), np.maximum(x, y))))
+        for w in done[size[done] > SMALL_GROUP]:
+            members.append(np.column_stack((np.full(size[w], name[w]), node[first[w] : first[w] + size[w]])))
+        if over:
+            return now[:0], None, pairs, members
+        if known and last == 0:
+            return now[-1:], window, pairs, members
+        if size[last] > SMALL_GROUP:
+            members.append(np.column_stack((np.full(size[last], name[last]), node[first[last] :])))
+            return now[-1:], int(name[last]), pairs, members
+        return now[first[last] :], None, pairs, members
+
+    return rows.mapInArrow(run, "large boolean, a long, b long")
 
 
 def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
@@ -175,8 +212,27 @@ def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
     return texts.select("text").mapInArrow(run, "node long, members binary")
 
 
-def verifier(sets: DataFrame, percent: int):
-    """A function (pairs) -> the pairs whose sets have 100 * |a & b| >= percent * |a | b|; sets: (node, members)."""
+def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can link as far as their sketches (node, n, bits) tell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5))
+            most = (n - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2  # shingles that both can hold
+            keep = 100 * most >= percent * (n - most)
+            if keep.any():
+                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
+
+    for end, other in (("a", "x"), ("b", "y")):
+        pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"n{other}"), F.col("bits").alias(other)), end)
+    return saved(pairs.select("a", "b", "nx", "ny", "x", "y").mapInArrow(run, "a long, b long"), "bounded")
+
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets (node, members) have 100 * |a & b| >= percent * |a | b|."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,12 +248,9 @@ def verifier(sets: DataFrame, percent: int):
             if any(keep):
                 yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-        both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-        return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
-
-    return verify
+    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
+    both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", shingles=shingle_set) -> DataFrame:
@@ -207,12 +260,22 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str =
     often = sized.filter("size(hot) > 0").select(F.explode(F.arrays_zip("hot", "times")).alias("h"))
     often = often.groupBy(F.col("h.hot").alias("s")).agg(F.sum("h.times").alias("c")).orderBy(F.desc("c"), "s").limit(RANKED_LAST).toArrow()
     last = often.column("s").to_numpy().view(np.uint64)[::-1].copy()
-    members = saved(_windows(_regions(rows, k, percent, last, shingles), percent), "members")
+    found = saved(_candidates(_regions(rows, k, percent, last, shingles), percent), "candidates")
+    members = found.filter("large").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    pairs = saved(found.filter("not large").select("a", "b").distinct(), "pairs")
+    ends = lambda p: p.select(F.explode(F.array("a", "b")).alias("node"))
+    nodes = saved(ends(pairs).union(members.select("node")).distinct(), "nodes")
+    sketches = saved(sized.join(nodes, "node").groupBy("node").agg(F.first("n").alias("n"), F.first("bits").alias("bits")), "sketches")
+    pairs = bounded(pairs, sketches, percent)
     classes = sized.filter("n > 0").groupBy("node").agg(F.min("id").alias("first"))
-    asked = classes.join(members.select("node").distinct(), "node").filter("first is not null")
-    texts = rows.join(small(saved(asked.select("first"), "asked")), F.col("id") == F.col("first"))
-    whole = saved(_sets(texts, k, shingles).dropDuplicates(["node"]), "whole-sets")
-    comp, _ = link_groups(members, verifier(whole, percent))
+    wanted = classes.join(ends(pairs).union(members.select("node")).distinct(), "node").filter("first is not null")
+    texts = rows.join(small(saved(wanted.select("first"), "wanted")), F.col("id") == F.col("first"))
+    whole = saved(_sets(texts, k, shingles), "whole-sets")
+    # links of small windows, then what large ones add
+    links = saved(linked(pairs, whole, percent), "links")
+    if not members.isEmpty():
+        links = links.union(link_groups(members, lambda p: linked(bounded(p, sketches, percent), whole, percent))[1])
+    comp = components(links)
     at = classes.join(comp, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     named = at.join(at.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("node", "component_id")
     out = sized.select("id", "n", "node").join(named, "node", "left")
