@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from .common import saved
 
 #: Groups of at most this many members are compared pair by pair at once.
-SMALL_GROUP = 8
+SMALL_GROUP = 5
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -44,7 +44,7 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], na
     compared to every other member and leave the group. Rounds go on, with four times the pivots each, until what is left of
     each group is one component. So two nodes of a group have been compared, or are in one component anyway."""
     comp = saved(members.select("node").distinct().withColumn("component", F.col("node")), name)
-    left, seen, links, pivots, first = members, None, None, 4, True
+    left, seen, links, pivots, first = members, None, None, 1, True
     while True:
         now = left.join(comp, "node")
         groups = now.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
