@@ -1,7 +1,7 @@
 """From documents to packed training sequences, in five stages; each works on all that its predecessor kept.
 
 1. language_id: documents without a letter, or with a language that is too uncertain, go.
-2. jaccard_join: of each group of linked documents the one of smallest id stays (rows without an id stay).
+2. jaccard_join: of each group of documents linked by five-word shingles at a Jaccard similarity of 0.8 the one of smallest id stays (rows without an id stay).
 3. suffix_dedup: stretches of 400 bytes that repeat are cut from the texts; a text with nothing left goes.
 4. decontamination: documents that hold a benchmark item go.
 5. best_fit_packing: the rest is tokenized and packed.
@@ -25,6 +25,8 @@ from dimloom.llm.suffix_dedup import remove_repeats
 
 #: No SQL can train a classifier or sort suffixes; tests hold the stages against brute force.
 ORACLE_SQL = None
+#: Stage 2 links documents by five-word shingles at a Jaccard similarity of 0.8 (op7's query has its own contract).
+SHINGLE_WORDS, SHINGLE_PERCENT = 5, 80
 
 def _row() -> Column:
     return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
@@ -38,7 +40,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    rows = similar_groups(docs.select(_row().alias("_row"), "text"), id_col="_row")
+    rows = similar_groups(docs.select(_row().alias("_row"), "text"), k=SHINGLE_WORDS, percent=SHINGLE_PERCENT, id_col="_row")
     named = rows.filter("_row.id is not null")
     goes = saved(named.filter("_row != component_id").select("_row").distinct(), "linked")
     twice = saved(named.filter("_row = component_id").groupBy("_row").count().filter("count > 1").select("_row"), "equal-rows")
