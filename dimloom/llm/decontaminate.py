@@ -6,10 +6,12 @@ shingles are among the document's.
 A short item has a tiny Jaccard similarity to a long document, so domains are made of like size first: items fall in classes by
 number of shingles (powers of two), and for each class every whole document is read as windows of twice the class's upper size,
 half a window apart. A passage as long as any item of the class lies whole in some window, and its Jaccard similarity there
-is at least threshold * q / (w + (1 - threshold) * q), over 0.19 (q of the item's, w of the window's shingles).
+is at least threshold * q / (w + (1 - threshold) * q), over 0.19 (q of the item's, w of the window's shingles; items of 1 to 4
+shingles have classes of their own for that).
 `PERMUTATIONS` MinHash values of each window and item are compared one by one (bands of one row, the tuning for recall): at
 that similarity the chance of no common value is below 0.001, for a class's largest items below 0.00001. Scattered shingles of
-an item may reach the threshold over a whole document without such a window; those are found only if a window collides.
+an item may reach the threshold over a whole document without such a window, so candidates by exact counts of shared shingles (or
+by each item's rarest shingles, where the items are too many for a broadcast) are added: none is missed.
 Candidates are verified over whole documents by the words themselves.
 
 Defined results: items of fewer than five words have no shingle and are never found; null or empty texts hold nothing; repeated
@@ -18,12 +20,13 @@ documents are one result for each id (the highest containment); ids may be null;
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import mix64, saved, shingle_hashes, small, table, word_hashes
@@ -63,8 +66,8 @@ def shingles(text: str | None) -> np.ndarray:
 
 
 def size_class(n: int) -> int:
-    """Items of 2**(c-1) < n <= 2**c shingles are in class c (3 at least)."""
-    return max(3, int(n - 1).bit_length())
+    """Items of 2**(c-1) < n <= 2**c shingles are in class c."""
+    return int(n - 1).bit_length()
 
 
 def _permuted(h: np.ndarray, j: int) -> np.ndarray:
@@ -106,6 +109,66 @@ def window_keys(texts: list[np.ndarray], classes: list[int]) -> Iterator[tuple[n
             yield (whole ^ _seed(c, j)).view(np.int64), of
 
 
+def _exact_pairs(texts: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
+    """(doc, item) of the documents that can reach the threshold, wherever an item's shingles stand in them.
+
+    With items that can be broadcast, each document counts the shingles that it shares with each of them. With more, documents are joined
+    to the rarest shingles of each item, `spare` of them: a document with none of these can't reach the threshold."""
+    doc_kind, item_kind = texts.schema["doc"].dataType.simpleString(), items.schema["item"].dataType.simpleString()
+
+    def of_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                h = np.unique(shingles(text))
+                if len(h):
+                    of = int.from_bytes(hashlib.blake2b(h.tobytes(), digest_size=8).digest(), "little", signed=True)
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(h))), pa.array([of] * len(h)), pa.array([len(h)] * len(h), pa.int64()), pa.array(h.view(np.int64))], names=["item", "of", "size", "shingle"])
+
+    held = saved(items.mapInArrow(of_items, f"item {item_kind}, of long, size long, shingle long").distinct(), "item-shingles")
+    sets, share = held.select("of", "size", "shingle").distinct(), None
+    if sets.count() <= BROADCAST_KEYS:
+        got = sets.orderBy("shingle", "of").toArrow()
+        known, start = np.unique(got.column("shingle").to_numpy(), return_index=True)
+        ofs, at = np.unique(got.column("of").to_numpy(), return_inverse=True)
+        size = np.zeros(len(ofs), np.int64)
+        size[at] = got.column("size").to_numpy()
+        share = texts.sparkSession.sparkContext.broadcast((known, np.append(start, len(at)), at, ofs, size))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, start, at, ofs, size = share.value
+        for batch in batches if len(known) else ():
+            row, found = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                h = shingles(text).view(np.int64)
+                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                place = np.unique(place[known[place] == h])
+                if len(place):
+                    n, shared = np.unique(np.concatenate([at[start[p] : start[p + 1]] for p in place]), return_counts=True)
+                    n = n[shared >= threshold * size[n] - 1e-9]
+                    row += [i] * len(n)
+                    found.append(ofs[n])
+            if row:
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(np.concatenate(found))], names=["doc", "of"])
+
+    def of_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                h = np.unique(shingles(text))
+                if len(h):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(h))), pa.array(h.view(np.int64))], names=["doc", "shingle"])
+
+    if share is not None:
+        found = texts.mapInArrow(counted, f"doc {doc_kind}, of long")
+    else:
+        hits = saved(texts.mapInArrow(of_docs, f"doc {doc_kind}, shingle long").join(sets.select("shingle").distinct(), "shingle"), "item-hits")
+        often = hits.groupBy("shingle").agg(F.count("*").alias("n"))
+        rank = F.row_number().over(Window.partitionBy("of").orderBy("n", "shingle"))
+        ranked = sets.join(often, "shingle", "left").select("of", "size", "shingle", F.coalesce("n", F.lit(0)).alias("n")).withColumn("r", rank)
+        spare = F.col("size") - F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)) + 1
+        found = hits.join(ranked.filter((F.col("r") <= spare) & (F.col("n") > 0)).select("shingle", "of"), "shingle").select("doc", "of")
+    return found.join(held.select("of", "item").distinct(), "of").select("doc", "item")
+
+
 def found_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """(id, item id, n_item, n_shared, containment) of each item found in a document."""
     doc_kind, item_kind = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
@@ -163,7 +226,8 @@ def found_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
 
     texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
     hits = texts.mapInArrow(of_docs, f"doc {doc_kind}, key long")
-    pairs = saved(hits.join(keys.select("key", "item"), "key").select("doc", "item").distinct(), "candidates")
+    near = hits.join(keys.select("key", "item"), "key").select("doc", "item")
+    pairs = saved(near.union(_exact_pairs(texts, items, threshold)).distinct(), "candidates")
 
     # Verification: each candidate document's text meets the texts of its items, not more than it has candidates for.
     asked = pairs.join(items, pairs["item"].eqNullSafe(items["item"])).select(pairs["doc"].alias("_doc"), pairs["item"], "item_text")
