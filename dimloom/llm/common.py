@@ -8,13 +8,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 
-#: A table is broadcast only when its counted rows are at most this many (a few tens of MB at most).
+#: A table is broadcast only when its counted rows are at most this many, and their summed bytes as well.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +35,26 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, marked for broadcast if a count shows at most `rows` rows; as it is otherwise. df should be cheap to count."""
-    return F.broadcast(df) if df.count() <= rows else df
+def width(column: Column, kind: T.DataType) -> Column:
+    """Bytes of a value, of what texts and arrays hold in it as well."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+        size = F.aggregate(column, F.lit(0).cast("long"), lambda n, x: n + width(x, kind.elementType))
+    elif isinstance(kind, T.ArrayType):
+        size = F.size(column) * 8
+    elif isinstance(kind, T.StructType):
+        size = sum((width(column[f.name], f.dataType) for f in kind.fields), F.lit(0))
+    else:
+        size = F.lit(0)
+    return F.coalesce(size.cast("long"), F.lit(0).cast("long")) + F.lit(8)
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """df, marked for broadcast if one aggregation shows at most `rows` rows of `most` bytes together; as it is otherwise. df should be cheap to count."""
+    size = sum((width(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0))
+    got = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("size")).first()
+    return F.broadcast(df) if got["n"] <= rows and got["size"] <= most else df
 
 
 def partitions(df: DataFrame, at_least: int = 1) -> int:
