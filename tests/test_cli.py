@@ -7,7 +7,7 @@ from dimloom.plans.warehouse import Warehouse
 from dimloom.sources.files import write_clean
 from dimloom.sources.fixtures import raw_incidents
 
-from conftest import SF_TINY
+from paths import SF_TINY
 
 
 def test_clean_stage_build(spark, tmp_path):

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_TINY
+from paths import SF_TINY
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 

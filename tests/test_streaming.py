@@ -10,7 +10,7 @@ from dimloom.plans.warehouse import Warehouse
 from dimloom.sources.fixtures import raw_incidents
 from dimloom.streaming.incremental import start_incremental_load
 
-from conftest import SF_TINY
+from paths import SF_TINY
 
 
 def test_two_batches_then_nothing(spark, tmp_path):

@@ -7,7 +7,7 @@ from dimloom.plans.specs import BY_NAME, DEDUPE_ORDER, DIMENSIONS, FACT_COLUMNS,
 from dimloom.plans.warehouse import EtlLog, Warehouse, load_dimension, log_view, run_warehouse
 from dimloom.sources.fixtures import raw_incidents
 
-from conftest import SF_TINY
+from paths import SF_TINY
 
 
 def test_load_modes_twice(spark, tmp_path):
