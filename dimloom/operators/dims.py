@@ -128,8 +128,12 @@ def new_rows(incoming: DataFrame, existing: DataFrame, on, incoming_rows: int |
         hits = existing.select(*on).join(batch_keys, [existing[c] == batch_keys[c] for c in on], "left_semi")
         hits = F.broadcast(hits.distinct())
         return incoming.join(hits, [incoming[c] == hits[c] for c in on], "left_anti")
+    # NULL keys would all go to one reducer of the join, to match nothing: they pass beside it.
+    known = reduce(operator.and_, [F.col(c).isNotNull() for c in on])
+    rest = incoming.where(known)
     old = existing.select(*on).hint("merge")
-    return incoming.join(old, [incoming[c] == old[c] for c in on], "left_anti")
+    fresh = rest.join(old, [rest[c] == old[c] for c in on], "left_anti")
+    return fresh.unionByName(incoming.where(~known))
 
 
 def insert_new(staging: DataFrame, spec: DimSpec, existing: DataFrame,

@@ -1,37 +1,35 @@
 """Surrogate keys (K1, K2) and key reduction (A2).
 
-Dense keys 1..n in a fixed order, without a single-partition window:
-
-1. write the rows once and count them there (small jobs);
-2. if more than one bucket is needed, sample the ordering columns (a bounded
-   sample, sorted by Spark) and pick bucket bounds from it; the bucket of a
-   row is found by binary search over the bounds, an array of structs (NULL
-   fields sort first, as in the window order);
-3. count rows per bucket (one row per bucket reaches the driver) and turn the
-   counts into cumulative offsets;
-4. ``row_number()`` within each bucket, plus the bucket's offset.
-
-The result equals a global ``row_number() OVER (ORDER BY ...)`` whatever the
-bounds are, provided the ordering is total (dimension members are distinct).
-Keys never depend on partition ids or ``monotonically_increasing_id``, so a
-recomputation after a lost executor yields the same keys.
+Dense keys 1..n in a fixed order, from one range sort and no single-partition window:
+
+1. sort the rows by range (sampled bounds, one shuffle) and write them once: the files of the
+   written table, in the order of their numbers, hold the rows in order;
+2. count rows and text bytes by file (one row per file reaches the driver) and turn the counts
+   into cumulative offsets;
+3. a row's key is its file's offset (a broadcast join with one row per file) plus its place
+   in the file.
+
+The result equals a global ``row_number() OVER (ORDER BY ...)`` wherever the bounds fall,
+provided the ordering is total (dimension members are distinct). Keys are read off the
+written files, so a recomputation after a lost executor yields the same keys.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimloom.session import new_scratch_path
 
-# Rows per bucket: about one bucket per shuffle partition, never tiny ones.
+# Rows per range: None leaves the number of ranges to the session's shuffle partitions.
 DEFAULT_BUCKET_ROWS = None
-MIN_BUCKET_ROWS = 1000
 MAX_BUCKETS = 4096
-SAMPLES_PER_BUCKET = 32
 
 
 @dataclass
@@ -46,94 +44,81 @@ class Keyed:
     unique_on: tuple[str, ...] = ()
 
 
-def size_stats(df: DataFrame) -> tuple[int, int]:
-    """(rows, total UTF-8 bytes of all text columns) in one aggregation."""
-    from pyspark.sql import types as T
-
+def _size_aggregates(df: DataFrame) -> list:
+    """Row count and total UTF-8 bytes of all text columns, as aggregates."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    aggs = [F.count(F.lit(1)).alias("n")]
-    if text:
-        aggs.append(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))).alias("b"))
-    row = df.agg(*aggs).first()
-    return int(row["n"]), int(row["b"] or 0) if text else 0
-
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size.cast("long")), F.lit(0)).alias("b")]
 
-def _cols(order_by) -> list[Column]:
-    return [F.col(c) if isinstance(c, str) else c for c in order_by]
 
+def size_stats(df: DataFrame) -> tuple[int, int]:
+    """(rows, total UTF-8 bytes of all text columns) in one aggregation."""
+    row = df.agg(*_size_aggregates(df)).first()
+    return int(row["n"]), int(row["b"])
 
-def _names(df: DataFrame, order_by) -> list[str]:
-    out = []
-    for c in order_by:
-        if not isinstance(c, str):
-            raise TypeError("order_by must name columns")
-        out.append(c)
-    return out
 
+def _names(order_by) -> list[str]:
+    if not all(isinstance(c, str) for c in order_by):
+        raise TypeError("order_by must name columns")
+    return list(order_by)
 
-def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
-    """Index of the bucket holding ``key``: number of bounds <= key, by binary search
-    over one constant array (the expression doesn't grow with the bounds)."""
-    if not bounds:
-        return F.lit(0)
-    held = F.array(*bounds)
 
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-        up = F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))
-        down = F.struct(s["lo"].alias("lo"), mid.alias("hi"))
-        return F.when(s["lo"] >= s["hi"], s).when(F.element_at(held, mid + 1) <= key, up).otherwise(down)
+def bucket_count(rows: int, bucket_rows: int) -> int:
+    return max(1, min(MAX_BUCKETS, math.ceil(rows / max(1, bucket_rows))))
 
-    steps = F.sequence(F.lit(1), F.lit(len(bounds).bit_length()))
-    return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve)["lo"]
 
+def _file_number(name: str) -> tuple[int, str]:
+    """Order of a sorted table's files: the number of the writing task, then that of its file."""
+    return int(re.match(r"part-(\d+)", name).group(1)), name
 
-def bucket_count(rows: int, bucket_rows: int) -> int:
-    return max(1, min(MAX_BUCKETS, math.ceil(rows / max(1, bucket_rows))))
 
+@dataclass
+class Numbered:
+    """A table written in sorted order, with its rows' places."""
 
-def auto_bucket_rows(df: DataFrame, rows: int) -> int:
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(MIN_BUCKET_ROWS, math.ceil(rows / max(1, parts)))
+    df: DataFrame
+    rows: int
+    text_bytes: int
+
+
+def number_rows(df: DataFrame, order_by, place: str, ranges: int | None = None) -> Numbered:
+    """Write df sorted by ``order_by`` and add ``place`` = 0, 1, 2, ... (long) in that order.
+
+    ``ranges``: how many ranges to sort by (None: the session's shuffle partitions,
+    small ones merged by AQE). Rows that agree in all of ``order_by`` come in any order,
+    which is fixed from then on."""
+    names = _names(order_by)
+    spark = df.sparkSession
+    path = new_scratch_path(spark, "sorted")
+    ordered = df.orderBy(*names) if ranges is None else df.repartitionByRange(ranges, *names).sortWithinPartitions(*names)
+    ordered.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    rows = written.withColumns({"__file": F.col("_metadata.file_name"), place: F.col("_metadata.row_index")})
+    files = sorted(rows.groupBy("__file").agg(*_size_aggregates(df)).collect(), key=lambda r: _file_number(r["__file"]))
+    starts, total = [], 0
+    for r in files:
+        starts.append(total)
+        total += r["n"]
+    text_bytes = sum(int(r["b"]) for r in files)
+    if len(files) > 1:
+        offsets = spark.createDataFrame(pa.table({"__file": [r["__file"] for r in files], "__start": pa.array(starts, pa.int64())}))
+        rows = rows.join(F.broadcast(offsets), "__file").withColumn(place, F.col("__start") + F.col(place))
+    return Numbered(rows.select(*df.columns, place), total, text_bytes)
 
 
 def assign_keys(df: DataFrame, order_by, key: str, start: int = 0,
                 bucket_rows: int | None = DEFAULT_BUCKET_ROWS, rows: int | None = None, key_type: str = "int") -> Keyed:
     """K1: add ``key`` = start + 1, start + 2, ... in ``order_by`` order.
 
-    ``order_by`` must be a total order over the rows of ``df``, which is written
-    once: sizing, sampling, counting and numbering read that copy, not its source.
+    ``order_by`` must be a total order over the rows of ``df``. ``bucket_rows`` asks for
+    ranges of about so many rows (``rows``, if known, spares the count that this takes).
     """
-    names = _names(df, order_by)
-    path = new_scratch_path(df.sparkSession, "members")
-    df.write.parquet(path)
-    df = df.sparkSession.read.schema(df.schema).parquet(path)
-    text_bytes = None
-    if rows is None:
-        n, text_bytes = size_stats(df)
-    else:
-        n = rows
-    buckets = bucket_count(n, bucket_rows or auto_bucket_rows(df, n))
-    if buckets == 1:
-        bucket = F.lit(0)
-        offsets = [0]
-    else:
-        fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / max(n, 1))
-        sample = df.select(*names).sample(False, fraction, seed=17).orderBy(*names).collect()
-        step = max(1, len(sample) // buckets)
-        picks = [sample[i] for i in range(step, len(sample), step)][: buckets - 1]
-        schema = {f.name: f.dataType for f in df.schema.fields}
-        bounds = [F.struct(*[F.lit(r[c]).cast(schema[c]).alias(c) for c in names]) for r in picks]
-        bucket = _bucket_expr(F.struct(*[F.col(c) for c in names]), bounds)
-        counts = dict(df.groupBy(bucket.alias("b")).count().collect())
-        offsets, total = [], 0
-        for b in range(len(bounds) + 1):
-            offsets.append(total)
-            total += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), bucket + 1)
-    w = Window.partitionBy(bucket).orderBy(*_cols(names))
-    keyed = df.withColumn(key, (F.row_number().over(w) + offset + F.lit(start)).cast(key_type))
-    return Keyed(keyed.select(key, *df.columns), n, key, text_bytes)
+    ranges = None
+    if bucket_rows is not None:
+        ranges = bucket_count(df.count() if rows is None else rows, bucket_rows)
+    numbered = number_rows(df, order_by, "__place", ranges)
+    keyed = numbered.df.select((F.col("__place") + F.lit(start + 1)).cast(key_type).alias(key), *df.columns)
+    return Keyed(keyed, numbered.rows, key, numbered.text_bytes)
 
 
 def max_key(df: DataFrame, key: str) -> int:
