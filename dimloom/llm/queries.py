@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship_package
 from .decontaminate import op2_decontamination
+from .embedding_dedup import op11_embedding_dedup
 from .fingerprint import op5_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .language_id import op4_language_id
+from .merkle import op12_merkle_manifest
 from .packing import op10_best_fit_packing
 from .paragraphs import op3_substring_dedup
 from .suffix_dedup import op1_suffix_dedup
 from .token_count import op9_token_counts
 from .toxicity import op6_toxicity
 from .url_rules import OP8_SQL, op8_url_rules
+from .whitening import op13_embedding_whitening
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -42,6 +45,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_rules,
         op9_token_counts,
         op10_best_fit_packing,
+        op11_embedding_dedup,
+        op12_merkle_manifest,
+        op13_embedding_whitening,
     )
 }
 
