@@ -284,3 +284,19 @@ def similar_vectors(docs: DataFrame, least: float = 0.98, id_col: str = "vec_id"
 def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of embeddings of one label at a cosine of 0.98."""
     return similar_vectors(table(spark, sf_dir, "embeddings"))
+
+
+#: The same from the definition: all pairs of a label, and what links reach.
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_id AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN least_id r ON r.a = vec_id LEFT JOIN counted c ON c.a = vec_id
+"""

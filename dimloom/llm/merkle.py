@@ -193,3 +193,47 @@ def tampered_manifest(docs: DataFrame) -> DataFrame:
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root and proof of every document, and whether its (in part tampered) text folds to the root."""
     return tampered_manifest(table(spark, sf_dir, "documents"))
+
+
+#: The same from the definition: crc32 bit by bit, trees by grouping level by level, a climb for each leaf.
+OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars::VARCHAR, '-') AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda crc, b:
+      list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) % 5 = 0 AS tampered
+  FROM documents),
+leaves AS (
+  SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    sha256(head || coalesce(strlen(CASE WHEN tampered THEN lowered ELSE text END) || ':' || CASE WHEN tampered THEN lowered ELSE text END, '-')) AS shown
+  FROM d),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+up AS (
+  SELECT source, 0 AS lvl, pos, leaf AS hash, n FROM placed
+  UNION ALL
+  SELECT source, lvl + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (n + 15) // 16 FROM up WHERE n > 1 GROUP BY source, lvl, pos // 16, n),
+sources AS (SELECT source, hash AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (
+  SELECT 0 AS lvl, pos, subroot AS hash, n FROM sources
+  UNION ALL
+  SELECT lvl + 1, pos // 16, sha256(string_agg(hash, '' ORDER BY pos)), (n + 15) // 16 FROM top WHERE n > 1 GROUP BY lvl, pos // 16, n),
+nodes AS (
+  SELECT s.pos AS tree, u.lvl, u.pos, u.hash, u.n FROM up u JOIN sources s ON s.source IS NOT DISTINCT FROM u.source
+  UNION ALL SELECT -1, lvl, pos, hash, n FROM top),
+beside AS (
+  SELECT tree, lvl, pos, n,
+    coalesce(string_agg(hash, '') OVER (PARTITION BY tree, lvl, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(hash, '') OVER (PARTITION BY tree, lvl, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM nodes),
+climb AS (
+  SELECT p.doc_id, p.leaf, s.pos AS source_pos, s.subroot, p.pos AS leaf_pos, s.pos AS tree, 0 AS lvl, p.pos, shown AS folded, '' AS proof
+  FROM placed p JOIN sources s ON s.source IS NOT DISTINCT FROM p.source
+  UNION ALL
+  SELECT doc_id, leaf, source_pos, subroot, leaf_pos, CASE WHEN b.n = 1 THEN -1 ELSE c.tree END, CASE WHEN b.n = 1 THEN 0 ELSE c.lvl + 1 END,
+    CASE WHEN b.n = 1 THEN source_pos ELSE c.pos // 16 END, CASE WHEN b.n = 1 THEN folded ELSE sha256(l || folded || r) END, CASE WHEN b.n = 1 THEN proof ELSE proof || l || r END
+  FROM climb c JOIN beside b ON b.tree = c.tree AND b.lvl = c.lvl AND b.pos = c.pos WHERE b.n > 1 OR c.tree >= 0)
+SELECT c.doc_id, c.leaf, c.subroot, t.hash AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = t.hash AS verified
+FROM climb c JOIN (SELECT lvl, hash FROM top WHERE n = 1) t ON c.tree = -1 AND c.lvl = t.lvl
+"""

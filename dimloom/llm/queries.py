@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import ship_package
 from .decontaminate import op2_decontamination
-from .embedding_dedup import op11_embedding_dedup
+from .embedding_dedup import OP11_SQL, op11_embedding_dedup
 from .fingerprint import op5_fingerprints
 from .jaccard_join import op7_jaccard_join
 from .language_id import op4_language_id
-from .merkle import op12_merkle_manifest
+from .merkle import OP12_SQL, op12_merkle_manifest
 from .packing import op10_best_fit_packing
 from .paragraphs import op3_substring_dedup
 from .suffix_dedup import op1_suffix_dedup
@@ -51,4 +51,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLES: dict[str, str] = {"op8_url_rules": OP8_SQL}
+ORACLES: dict[str, str] = {"op8_url_rules": OP8_SQL, "op11_embedding_dedup": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
