@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from dimloom.operators import audit as A
 from dimloom.operators.clean import (
-    ALIGNMENT_PAIRS, GEO_COLUMNS, NUMERIC_COLUMNS, CleanConfig, clean, sparse_columns)
+    ALIGNMENT_PAIRS, GEO_COLUMNS, NUMERIC_COLUMNS, CleanConfig, clean, write_profiled)
 from dimloom.plans.pipeline import WAREHOUSE_COLUMNS
 from dimloom.plans.specs import DEDUPE_ORDER, DIMENSIONS, FACT_COLUMNS, LOOKUPS
 from dimloom.plans.warehouse import Warehouse, log_view, run_warehouse
@@ -53,9 +53,9 @@ def cmd_clean(spark: SparkSession, args) -> int:
     if args.quarantine:
         write_quarantine(A.bad_rows(filled, NUMERIC_COLUMNS), args.quarantine, mode="overwrite")
     renamed_path = f"{args.output.rstrip('/')}_renamed.parquet"
-    clean(filled, "rename", cfg, start="numeric").write.mode("overwrite").parquet(renamed_path)
+    profile = write_profiled(clean(filled, "rename", cfg, start="numeric"), renamed_path, "overwrite")
     renamed = spark.read.parquet(renamed_path)
-    dropped, kept = sparse_columns(renamed, cfg.sparse_threshold, cfg.protect)
+    dropped, kept = profile.sparse(cfg.sparse_threshold, cfg.protect)
     print(f"sparse columns dropped: {dropped}; protected: {kept}")
     write_clean(renamed.drop(*dropped), args.output, "csv", mode="overwrite")
     for path in (filled_path, renamed_path):

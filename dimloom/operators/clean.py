@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -138,16 +138,41 @@ def null_profile(df: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Profile:
+    """Rows of a table, and NULLs of each of its columns."""
+
+    rows: int
+    nulls: dict[str, int]
+
+    def sparse(self, threshold: float = SPARSE_THRESHOLD, protect=()) -> tuple[list[str], list[str]]:
+        """Columns whose NULL share is >= threshold: (to drop, protected ones)."""
+        hits = [c for c, n in self.nulls.items() if self.rows and n / self.rows >= threshold]
+        return [c for c in hits if c not in protect], [c for c in hits if c in protect]
+
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """The profile as ``null_profile`` returns it."""
+        rows = [(c, n, self.rows, n / self.rows if self.rows else None) for c, n in self.nulls.items()]
+        return spark.createDataFrame(rows, "column_name string, null_rows long, total_rows long, null_share double")
+
+
+def write_profiled(df: DataFrame, path: str, mode: str = "errorifexists") -> Profile:
+    """A5 while writing: the rows and NULLs of each column are counted as the table is written, without a scan of its own."""
+    seen = Observation()
+    counts = [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode(mode).parquet(path)
+    got = seen.get
+    return Profile(got["rows"], {c: got["rows"] - got[f"n{i}"] for i, c in enumerate(df.columns)})
+
+
 def sparse_columns(df: DataFrame, threshold: float = SPARSE_THRESHOLD, protect=()) -> tuple[list[str], list[str]]:
     """Columns whose NULL share is >= threshold; returns (to_drop, protected_hits).
 
     One aggregation; the collected result has one row per column, so its size
     is bounded by the schema, not by the data.
     """
-    rows = null_profile(df).where(F.col("null_share") >= F.lit(threshold)).select("column_name").collect()
-    hits = [r["column_name"] for r in rows]
-    keep = set(protect)
-    return [c for c in hits if c not in keep], [c for c in hits if c in keep]
+    rows = null_profile(df).collect()
+    return Profile(rows[0]["total_rows"] if rows else 0, {r["column_name"]: r["null_rows"] for r in rows}).sparse(threshold, tuple(protect))
 
 
 def drop_sparse(df: DataFrame, threshold: float = SPARSE_THRESHOLD, protect=()) -> tuple[DataFrame, list[str]]:

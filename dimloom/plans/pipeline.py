@@ -14,7 +14,7 @@ import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimloom.operators.clean import CleanConfig, clean, sparse_columns
+from dimloom.operators.clean import SPARSE_THRESHOLD, Profile, clean, write_profiled
 from dimloom.session import new_scratch_path, path_exists
 from dimloom.sources.fixtures import raw_incidents
 
@@ -34,8 +34,8 @@ _lock = threading.RLock()
 _filled: dict[tuple[str, str], str] = {}
 # (app, input folder) -> path of the cleaned table written up to the drop list
 _renamed: dict[tuple[str, str], str] = {}
-# (app, input folder, protected columns) -> sparse columns to drop on read
-_dropped: dict[tuple, list[str]] = {}
+# (app, input folder) -> rows and NULLs of that table, counted while it was written
+_profiles: dict[tuple[str, str], Profile] = {}
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,47 +58,46 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def build_staging(spark: SparkSession, sf_dir: str, path: str | None = None) -> str:
+def build_staging(spark: SparkSession, sf_dir: str) -> tuple[str, Profile]:
     """Continue cleaning from the filled table up to the drop list and write
-    it; returns its path.
+    it; returns its path and its profile, counted while writing.
 
     The sparse-column decision is left to the reader: it depends on which
     columns are protected, the written table does not.
     """
-    path = path or new_scratch_path(spark, "staging")
-    clean(filled(spark, sf_dir), "rename", start="numeric").write.mode("errorifexists").parquet(path)
-    return path
+    path = new_scratch_path(spark, "staging")
+    return path, write_profiled(clean(filled(spark, sf_dir), "rename", start="numeric"), path)
 
 
-def stage(spark: SparkSession, sf_dir: str, protect=WAREHOUSE_COLUMNS) -> DataFrame:
-    """The staging table for ``sf_dir``, built on first use in this session.
-
-    The table is written once; the NULL-share profile for the sparse drop runs
-    over that columnar copy (not the raw joins again) and the sparse columns
-    are dropped on read, which column pruning makes free. ``protect`` lists
-    columns the sparse drop must keep (default: the ones the warehouse reads).
-    """
+def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Profile]:
     base = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _lock:
         path = _renamed.get(base)
         if path is None or not path_exists(spark, path):
-            path = build_staging(spark, sf_dir)
-            _renamed[base] = path
-            for k in [k for k in _dropped if k[:2] == base]:
-                del _dropped[k]
-        key = base + (tuple(protect),)
-        if key not in _dropped:
-            cfg = CleanConfig(protect=tuple(protect))
-            _dropped[key] = sparse_columns(spark.read.parquet(path), cfg.sparse_threshold, cfg.protect)[0]
-        dropped = _dropped[key]
-    return spark.read.parquet(path).drop(*dropped)
+            _renamed[base], _profiles[base] = path, _ = build_staging(spark, sf_dir)
+        return spark.read.parquet(path), _profiles[base]
+
+
+def stage(spark: SparkSession, sf_dir: str, protect=WAREHOUSE_COLUMNS) -> DataFrame:
+    """The staging table for ``sf_dir``, built on first use in this session.
+
+    The table is written once, and its NULLs are counted while it is written; the
+    sparse columns are dropped on read, which column pruning makes free.
+    ``protect`` lists columns the sparse drop must keep (default: the ones the
+    warehouse reads).
+    """
+    written, profile = _staged(spark, sf_dir)
+    return written.drop(*profile.sparse(SPARSE_THRESHOLD, tuple(protect))[0])
+
+
+def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4: the NULL shares of the staging table before the sparse drop, as counted while it was written."""
+    return _staged(spark, sf_dir)[1].frame(spark)
 
 
 def renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written table before the sparse drop (every column)."""
-    stage(spark, sf_dir)
-    with _lock:
-        return spark.read.parquet(_renamed[spark.sparkContext.applicationId, os.path.abspath(sf_dir)])
+    return _staged(spark, sf_dir)[0]
 
 
 def forget_staging() -> None:
@@ -106,4 +105,4 @@ def forget_staging() -> None:
     with _lock:
         _filled.clear()
         _renamed.clear()
-        _dropped.clear()
+        _profiles.clear()

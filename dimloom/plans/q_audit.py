@@ -11,7 +11,7 @@ from dimloom.functions.dates import DATE_KEY_MAX, DATE_KEY_MIN, valid_date
 from dimloom.operators import audit as A
 from dimloom.operators.clean import ALIGNMENT_PAIRS, GEO_COLUMNS, NUMERIC_COLUMNS, clean
 from dimloom.plans import oracle_base as O
-from dimloom.plans.pipeline import filled, raw, renamed, stage
+from dimloom.plans.pipeline import filled, profile, raw, stage
 from dimloom.plans.q_dims import star_ctes
 from dimloom.plans.q_fact import _DIM_CTE, fact_with
 from dimloom.plans.registry import register
@@ -127,10 +127,8 @@ _RENAMED_COLS = [c.split(" AS ")[-1] for c in O.STAGE_COLUMNS] + ["ransomamt"]
     f"CAST(count(*) - count({c}) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS null_share FROM renamed"
     for c in _RENAMED_COLS))
 def audit_null_profile(spark, sf_dir):
-    """Q4: NULL share of every column before the sparse drop."""
-    from dimloom.operators.clean import null_profile
-
-    return null_profile(renamed(spark, sf_dir))
+    """Q4: NULL share of every column before the sparse drop, as counted while staging was written."""
+    return profile(spark, sf_dir)
 
 
 # ---- Q5 ------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 
 from dimloom.operators import audit as A
-from dimloom.operators.clean import clean, drop_sparse, null_profile
+from dimloom.operators.clean import clean, drop_sparse, null_profile, write_profiled
 
 SCHEMA = ("eventid long, iyear int, imonth int, iday int, city string, provstate string, gname string, "
           "latitude double, longitude double, nkill string, ishostkid string, summary string, ransomamt double")
@@ -82,3 +82,13 @@ def test_audits_find_planted_problems(spark):
     bad = sorted((r.column_name, r.bad_value, r.rank) for r in A.sample_bad_values(
         spark.createDataFrame([(f"x{i}",) for i in range(15)] + [("3",)], "v string"), ["v"], 10).collect())
     assert len(bad) == 10 and bad[0] == ("v", "x0", 1) and all(b[1] != "3" for b in bad)
+
+
+def test_nulls_counted_while_writing_equal_the_scan(spark, tmp_path):
+    df = spark.createDataFrame([(i, None if i % 5 else "x", float("nan") if i % 2 else None) for i in range(50)], "a int, b string, c double")
+    profile = write_profiled(df.repartition(6), str(tmp_path / "t"))
+    expect = {tuple(r) for r in null_profile(df).collect()}
+    assert {tuple(r) for r in profile.frame(spark).collect()} == expect and profile.rows == 50
+    assert profile.sparse(0.8, ("c",)) == (["b"], []) and profile.sparse(0.5, ("b", "c")) == ([], ["b", "c"])
+    none = write_profiled(df.limit(0), str(tmp_path / "none"))
+    assert none.sparse() == ([], []) and none.nulls == {"a": 0, "b": 0, "c": 0}
