@@ -20,6 +20,7 @@ from dimloom.functions.text import (
     strip_lower,
     to_number,
 )
+from dimloom.operators.observed import observed
 
 # Column lists and names of the incident cleaning contract.
 BINARY_COLUMNS = ["claimed", "ishostkid", "INT_ANY", "INT_MISC", "INT_IDEO", "INT_LOG",
@@ -161,7 +162,7 @@ def write_profiled(df: DataFrame, path: str, mode: str = "errorifexists") -> Pro
     seen = Observation()
     counts = [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
     df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode(mode).parquet(path)
-    got = seen.get
+    got = observed(seen) or df.sparkSession.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows"), *counts).first()
     return Profile(got["rows"], {c: got["rows"] - got[f"n{i}"] for i, c in enumerate(df.columns)})
 
 

@@ -57,6 +57,12 @@ class DimSpec:
     def out_names(self) -> list[str]:
         return [o.name for o in self.columns]
 
+    @property
+    def unique_on(self) -> tuple[str, ...]:
+        """Columns on which members are unique by the way they are built and appended (none where a
+        NULL may stand in the natural key: it never matches, so it can be appended again)."""
+        return self.natural if self.on_conflict == "min_label" and self.drop_null_natural else ()
+
     @property
     def ordering(self) -> list[str]:
         return list(self.order_by) if self.order_by else self.out_names

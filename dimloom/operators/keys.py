@@ -44,7 +44,7 @@ class Keyed:
     unique_on: tuple[str, ...] = ()
 
 
-def _size_aggregates(df: DataFrame) -> list:
+def size_aggregates(df: DataFrame) -> list:
     """Row count and total UTF-8 bytes of all text columns, as aggregates."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
@@ -53,7 +53,7 @@ def _size_aggregates(df: DataFrame) -> list:
 
 def size_stats(df: DataFrame) -> tuple[int, int]:
     """(rows, total UTF-8 bytes of all text columns) in one aggregation."""
-    row = df.agg(*_size_aggregates(df)).first()
+    row = df.agg(*size_aggregates(df)).first()
     return int(row["n"]), int(row["b"])
 
 
@@ -94,7 +94,7 @@ def number_rows(df: DataFrame, order_by, place: str, ranges: int | None = None)
     ordered.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
     rows = written.withColumns({"__file": F.col("_metadata.file_name"), place: F.col("_metadata.row_index")})
-    files = sorted(rows.groupBy("__file").agg(*_size_aggregates(df)).collect(), key=lambda r: _file_number(r["__file"]))
+    files = sorted(rows.groupBy("__file").agg(*size_aggregates(df)).collect(), key=lambda r: _file_number(r["__file"]))
     starts, total = [], 0
     for r in files:
         starts.append(total)
