@@ -4,8 +4,11 @@ finished star."""
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimloom.operators.dims import insert_new, keyed_dimension
@@ -18,7 +21,7 @@ from dimloom.plans.q_fact import _DIM_CTE, _EVENTS, fact_with
 from dimloom.plans.registry import register
 from dimloom.plans.specs import BY_NAME, DEDUPE_ORDER, DIMENSIONS, FACT_COLUMNS, LOOKUPS
 from dimloom.plans.star import dimension, dimensions, saved_fact
-from dimloom.plans.warehouse import log_view, reject_reason, run_warehouse
+from dimloom.plans.warehouse import FACT, Warehouse, load_dimension, log_view, reject_reason, run_warehouse
 from dimloom.sources.contracts import FACT_RENAMES
 from dimloom.session import new_scratch_path
 from dimloom.sources.files import CSV_NULL_TOKENS, read_incidents, write_clean
@@ -124,6 +127,92 @@ def run_status(spark, sf_dir):
                          protect=WAREHOUSE_COLUMNS).drop("message")
 
 
+# Two runs: a first one over the events dated before 1998, then one over all of them, in which
+# a foreign key is moved out of its dimension in some rows, so that it must publish nothing.
+_PLANTED = "eventid % 10 = 3"
+
+
+def _first(ctes: list[str], names: str) -> list[str]:
+    """CTEs over the first load's rows, their names ending in 1."""
+    return [re.sub(rf"\b(stage|{names})(_cand|_members)?\b", r"\g<1>1\g<2>", c) for c in ctes]
+
+
+def _new_members(cte: str, natural) -> str:
+    same = " AND ".join(f"f.{c} = a.{c}" for c in natural)
+    return f"(SELECT count(*) FROM {cte} a WHERE NOT EXISTS (SELECT 1 FROM {cte}1 f WHERE {same}))"
+
+
+def _rejected_run_sql() -> str:
+    cte = {**_DIM_CTE, "DimRegion": "dreg"}
+    ctes = [f"stage1 AS (SELECT * FROM stage WHERE year < {FIRST_LOAD_YEAR})"]
+    for spec in DIMENSIONS:
+        ctes += star_ctes(spec.name, cte[spec.name])
+        ctes += _first(star_ctes(spec.name, cte[spec.name]), cte[spec.name])
+    located = "EXISTS (SELECT 1 FROM dloc1 l WHERE l.country = e.country AND l.region = e.region AND l.City = e.city)"
+    ctes += [*_EVENTS, *_first(_EVENTS, "ranked|dedup|ev|evk"),
+             f"old AS (SELECT eventid FROM evk1 e WHERE DateKey IS NOT NULL AND {located})",
+             f"fresh AS (SELECT eventid FROM evk e WHERE DateKey IS NOT NULL AND {located} AND eventid NOT IN (SELECT eventid FROM old))"]
+    steps = [("staging", 1, "(SELECT count(*) FROM stage)"), ("DimDate", 0, "0")]
+    for spec in DIMENSIONS:
+        kept = spec.load_mode == "if_empty"
+        steps.append((spec.name, 0 if kept else 1, "0" if kept else _new_members(cte[spec.name], spec.natural)))
+    steps += [(FACT, -1, "0"), ("audit_references", -1, f"(SELECT count(*) FROM fresh WHERE {_PLANTED})"),
+              ("audit_unique", 1, "0"), ("audit_not_null", 1, "0"), ("readable_fact", 1, "(SELECT count(*) FROM old)")]
+    return O.staged(*ctes) + " UNION ALL ".join(
+        f"SELECT CAST({i + 1} AS INT) AS seq, '{name}' AS step, CAST({status} AS INT) AS status, CAST({rows} AS BIGINT) AS rows"
+        for i, (name, status, rows) in enumerate(steps))
+
+
+@register("run_status_rejected", _rejected_run_sql())
+def run_status_rejected(spark, sf_dir):
+    """E3 + Q5: statuses of a second run whose fact rows have orphan keys, and the rows of
+    the fact that readers see after it (the first run's)."""
+    root, rows = new_scratch_path(spark, "warehouse"), raw(spark, sf_dir)
+    run_warehouse(spark, rows.where(F.col("iyear") < FIRST_LOAD_YEAR), root, DIMENSIONS, LOOKUPS, FACT_COLUMNS, DEDUPE_ORDER,
+                  protect=WAREHOUSE_COLUMNS)
+    planted = [F.when(F.expr(_PLANTED), F.lit(-7)).otherwise(F.col(c)).alias(c) if c == "CountryKey" else c for c in FACT_COLUMNS]
+    second = run_warehouse(spark, rows, root, DIMENSIONS, LOOKUPS, planted, DEDUPE_ORDER, refresh=False,
+                           protect=WAREHOUSE_COLUMNS).drop("message")
+    seen = Warehouse(spark, root).table(FACT).agg(F.count(F.lit(1)).alias("rows"))
+    steps = len(DIMENSIONS) + 7
+    return second.unionByName(seen.select(F.lit(steps).alias("seq"), F.lit("readable_fact").alias("step"), F.lit(1).alias("status"), "rows"))
+
+
+# Dimensions loaded twice in each mode: over the first load's rows, then over all.
+_MODES = {"DimCountry": "dcty", "DimTargetSubType": "dtsub", "DimLocation": "dloc"}
+
+
+def _modes_sql() -> str:
+    ctes = [f"stage1 AS (SELECT * FROM stage WHERE year < {FIRST_LOAD_YEAR})"]
+    for name, cte in _MODES.items():
+        ctes += star_ctes(name, cte) + _first(star_ctes(name, cte), cte)
+    out = []
+    for name, cte in _MODES.items():
+        one, two, new = f"(SELECT count(*) FROM {cte}1)", f"(SELECT count(*) FROM {cte})", _new_members(cte, BY_NAME[name].natural)
+        for mode, status, rows, total in (("insert_new", 1, new, f"{one} + {new}"), ("if_empty", 0, "0", one), ("refresh", 1, two, two)):
+            out.append((name, mode, 1, 1, one, one))
+            out.append((name, mode, 2, status, rows, total))
+    return O.staged(*ctes) + " UNION ALL ".join(
+        f"SELECT '{n}' AS dimension, '{m}' AS mode, CAST({i} AS INT) AS load, CAST({s} AS INT) AS status, "
+        f"CAST({r} AS BIGINT) AS rows, CAST({t} AS BIGINT) AS total_rows" for n, m, i, s, r, t in out)
+
+
+@register("load_modes", _modes_sql())
+def load_modes(spark, sf_dir):
+    """D1-D3 + A7: two loads of a dimension in each mode (insert-new, if-empty, refresh): what
+    each reports, and how many rows the table then has."""
+    every, out = stage(spark, sf_dir), []
+    for mode in ("insert_new", "if_empty", "refresh"):
+        wh = Warehouse(spark, new_scratch_path(spark, "modes"))
+        for name in _MODES:
+            for i, rows in enumerate((every.where(F.col("year") < FIRST_LOAD_YEAR), every)):
+                got = load_dimension(wh, rows, BY_NAME[name], mode)
+                total = wh.table(name).agg(F.count(F.lit(1)).alias("total_rows"))
+                head = [F.lit(v).alias(c) for c, v in (("dimension", name), ("mode", mode), ("load", i + 1), ("status", got.status))]
+                out.append(total.select(*head, F.lit(got.rows).cast("long").alias("rows"), "total_rows"))
+    return reduce(DataFrame.unionByName, out)
+
+
 # Planted rows that a load must reject: no event id, one that is too long, no city, a year outside the calendar.
 _BROKEN = """broken AS (SELECT * REPLACE (
   CASE WHEN tie1 % 97 = 0 THEN NULL WHEN tie1 % 89 = 0 THEN CAST(eventid AS VARCHAR) || repeat('9', 60)
