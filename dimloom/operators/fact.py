@@ -3,6 +3,7 @@ and the incremental fact load (F2, J8)."""
 
 from __future__ import annotations
 
+import json
 import operator
 import re
 from dataclasses import dataclass, field
@@ -32,10 +33,19 @@ class LookupSpec:
     defaults: dict = field(default_factory=dict)
     # NULL-safe equality (NULL matches NULL) instead of SQL '='.
     null_safe: bool = False
+    # Pairs (by index) of texts that match under ``collation``, for instance whatever their case
+    # and trailing spaces. Such a lookup is a sort-merge join: Spark hashes no collated text.
+    collated: tuple[int, ...] = ()
+    collation: str = "UTF8_LCASE_RTRIM"
 
     def fact_expr(self, i: int) -> Column:
         col = F.col(self.pairs[i][1])
-        return F.coalesce(col, F.lit(self.defaults[i])) if i in self.defaults else col
+        col = F.coalesce(col, F.lit(self.defaults[i])) if i in self.defaults else col
+        return F.collate(col, self.collation) if i in self.collated else col
+
+    def dim_expr(self, i: int) -> Column:
+        col = F.col(self.pairs[i][0])
+        return F.collate(col, self.collation) if i in self.collated else col
 
 
 _SIZE = re.compile(r"^\s*(-?\d+)\s*([kmgt]?)i?b?\s*$", re.I)
@@ -114,16 +124,46 @@ def hot_keys(source: DataFrame, exprs: list[Column], share: float = HOT_SHARE,
     return [tuple(r) for r in rows if all(v is not None for v in r)]
 
 
+def hot_lookup_keys(source: DataFrame, specs: list[LookupSpec], share: float = HOT_SHARE,
+             fraction: float = HOT_SAMPLE, seed: int = 11) -> list[list[tuple]]:
+    """For each lookup, the fact key values (as text) that hold at least ``share`` of a sample of ``source``.
+
+    One aggregation for all lookups: a frequent-items sketch for each, over its key's values put
+    together as JSON. A sketch's counts are too high or low by far less than ``share`` of
+    the rows. At most 1/share values a lookup reach the driver."""
+    if not specs:
+        return []
+    most = int(1 / share)
+
+    def item(spec: LookupSpec) -> Column:
+        keys = [F.col(f"__k{spec.dim}_{i}") for i in range(len(spec.pairs))]
+        known = reduce(operator.and_, [k.isNotNull() for k in keys])  # NULL keys never match
+        return F.when(known, F.to_json(F.array(*keys)))
+
+    def text(spec: LookupSpec, i: int) -> Column:
+        # a collated text counts under one of its forms, which matches all of them
+        value = F.coalesce(F.col(spec.pairs[i][1]), F.lit(spec.defaults[i])) if i in spec.defaults else F.col(spec.pairs[i][1])
+        return F.lower(F.rtrim(value)) if i in spec.collated else value.cast("string")
+
+    sample = source.sample(False, fraction, seed).select(
+        *[text(s, i).alias(f"__k{s.dim}_{i}") for s in specs for i in range(len(s.pairs))])
+    items = sample.select(*[item(s).alias(f"__i{n}") for n, s in enumerate(specs)])
+    got = items.agg(F.count(F.lit(1)).alias("n"), *[
+        F.expr(f"approx_top_k(__i{n}, {most + 1}, {100 * most})").alias(f"t{n}") for n in range(len(specs))]).first()
+    least = max(1.0, share * got["n"])
+    return [[tuple(json.loads(t["item"])) for t in got[f"t{n}"] or () if t["item"] is not None and t["count"] >= least]
+            for n in range(len(specs))]
+
+
 def reduced_side(dim: DataFrame, spec: LookupSpec, unique_on: tuple[str, ...] = ()) -> DataFrame:
     """A2 for a lookup: one row per natural key (smallest key, its carried
     columns), natural key columns renamed __d0, __d1, ... A dimension known to
     be unique on them is taken as it is, without a shuffle."""
-    dcols = [d for d, _ in spec.pairs]
-    if unique_on and set(unique_on) <= set(dcols):
-        return dim.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
+    named = [spec.dim_expr(i).alias(f"__d{i}") for i in range(len(spec.pairs))]
+    if unique_on and set(unique_on) <= {d for d, _ in spec.pairs} and not spec.collated:
+        return dim.select(*named, spec.key, *spec.carry)
     aggs = [F.min(spec.key).alias(spec.key)] + [F.min_by(c, spec.key).alias(c) for c in spec.carry]
-    reduced = dim.groupBy(*dcols).agg(*aggs)
-    return reduced.select(*[F.col(d).alias(f"__d{i}") for i, d in enumerate(dcols)], spec.key, *spec.carry)
+    return dim.groupBy(*named).agg(*aggs).select(*[f"__d{i}" for i in range(len(named))], spec.key, *spec.carry)
 
 
 def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None,
@@ -145,7 +185,7 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     # The reduced side has no more rows and no more text than the dimension.
     # Otherwise a merge hint keeps the planner from broadcasting on its own
     # static estimate (compressed file sizes are no bound on memory).
-    broadcast = fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes)
+    broadcast = not spec.collated and fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes)
     side = F.broadcast(side) if broadcast else side.hint("merge")
     if spec.null_safe:
         cond = [spec.fact_expr(i).eqNullSafe(side[f"__d{i}"]) for i in range(len(dcols))]
@@ -160,8 +200,8 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
         ftypes = fact.select(*[spec.fact_expr(i) for i in k]).schema.fields
         dtypes = side.select(*[f"__d{i}" for i in k]).schema.fields
         hot_f = [F.struct(*[F.lit(v).cast(ftypes[i].dataType).alias(f"k{i}") for i, v in enumerate(h)]) for h in hot]
-        hot_lits = [F.struct(*[F.lit(v).cast(dtypes[i].dataType).alias(f"k{i}") for i, v in enumerate(h)])
-                    for h in hot]
+        hot_lits = [F.struct(*[F.lit(v).cast(ftypes[i].dataType).try_cast(dtypes[i].dataType).alias(f"k{i}")
+                               for i, v in enumerate(h)]) for h in hot]
         # NULL keys never match, unless equality is NULL-safe: then they stay with their match
         any_null = F.lit(False) if spec.null_safe else reduce(operator.or_, [spec.fact_expr(i).isNull() for i in k])
         is_hot = F.coalesce(fact_key.isin(*hot_f), F.lit(False)) if hot_f else F.lit(False)
@@ -181,12 +221,15 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     return joined.drop(*drop)
 
 
+def is_large(spark: SparkSession, keyed, spec: LookupSpec) -> bool:
+    """Whether a lookup's dimension can't be broadcast."""
+    side = reduced_side(keyed.df, spec, keyed.unique_on)
+    return bool(spec.collated) or not fits_broadcast(spark, keyed.rows, side.schema, keyed.text_bytes)
+
+
 def hot_for(source: DataFrame, keyed, spec: LookupSpec) -> list[tuple] | None:
     """Hot fact keys for a lookup whose dimension is too large to broadcast (else None)."""
-    probe = reduced_side(keyed.df, spec, keyed.unique_on)
-    if fits_broadcast(source.sparkSession, keyed.rows, probe.schema, keyed.text_bytes):
-        return None
-    return hot_keys(source, [spec.fact_expr(i) for i in range(len(spec.pairs))])
+    return hot_lookup_keys(source, [spec])[0] if is_large(source.sparkSession, keyed, spec) else None
 
 
 def prepare_events(staging: DataFrame, order_by, dedupe_first: bool = True) -> DataFrame:
@@ -206,15 +249,17 @@ def prepare_events(staging: DataFrame, order_by, dedupe_first: bool = True) -> D
 def resolve_star(events: DataFrame, dims: dict, lookups, hot_source: DataFrame | None = None) -> DataFrame:
     """Every lookup in turn; ``dims`` maps dimension name to a Keyed table.
 
-    For a dimension too large to broadcast, hot fact keys are found on a
-    sample of ``hot_source`` (the staging table: a cheap columnar scan with
+    For dimensions too large to broadcast, hot fact keys are found together, in one pass
+    over a sample of ``hot_source`` (the staging table: a cheap columnar scan with
     the same key distribution as the events) and salted.
     """
-    out = events
+    out, hot = events, {}
+    if hot_source is not None:
+        large = [s for s in lookups if is_large(events.sparkSession, dims[s.dim], s)]
+        hot = {s.dim: keys for s, keys in zip(large, hot_lookup_keys(hot_source, large), strict=True)}
     for spec in lookups:
         keyed = dims[spec.dim]
-        hot = hot_for(hot_source, keyed, spec) if hot_source is not None else None
-        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot, unique_on=keyed.unique_on)
+        out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot.get(spec.dim), unique_on=keyed.unique_on)
     return out
 
 

@@ -4,10 +4,12 @@ incremental fact load (F2)."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from dimloom.functions.dates import date_key, valid_date
-from dimloom.operators.fact import dedupe, hot_for, lookup, prepare_events
+from dimloom.operators.fact import dedupe, hot_for, lookup, prepare_events, resolve_star
 from dimloom.plans import oracle_base as O
 from dimloom.plans.pipeline import stage
 from dimloom.plans.q_dims import star_ctes
@@ -209,6 +211,28 @@ def fact_lookup_location_precise(spark, sf_dir):
         "eventid", "LocationKey")
 
 
+# Variants of a name that differ in case and trailing spaces only.
+_VARIANT = ("CASE WHEN tie1 % 3 = 0 THEN upper({0}) || '  ' WHEN tie1 % 5 = 0 THEN upper(substr({0}, 1, 1)) || substr({0}, 2) "
+            "WHEN tie1 % 7 = 0 THEN {0} || ' ' ELSE {0} END")
+
+
+@register("fact_lookup_collated", fact_with(
+    f"ragged AS (SELECT * REPLACE ({_VARIANT.format('city')} AS city, {_VARIANT.format('gname')} AS gname) FROM evk)") + """
+SELECT e.eventid, e.city, e.gname, loc.LocationKey, grp.PerpetratorGroupKey FROM ragged e
+LEFT JOIN (SELECT country, region, lower(rtrim(City)) AS City, min(LocationKey) AS LocationKey FROM dloc GROUP BY ALL) loc
+  ON loc.country = e.country AND loc.region = e.region AND loc.City = lower(rtrim(e.city))
+LEFT JOIN (SELECT lower(rtrim(GroupName)) AS GroupName, min(PerpetratorGroupKey) AS PerpetratorGroupKey FROM dgrp GROUP BY ALL) grp
+  ON grp.GroupName = lower(rtrim(coalesce(e.gname, 'Perp Group Not Given')))""")
+def fact_lookup_collated(spark, sf_dir):
+    """J3 + J2 (T9): location and group looked up by texts that match whatever their case and
+    trailing spaces (variants planted in the events)."""
+    ragged = _events(spark, sf_dir).withColumns({c: F.expr(_VARIANT.format(c)) for c in ("city", "gname")})
+    lookups = [replace(LOOKUP_BY_DIM["DimLocation"], how="left", collated=(2,)), replace(LOOKUP_BY_DIM["DimPerpetratorGroup"], collated=(0,))]
+    dims = {s.dim: dimension(spark, sf_dir, s.dim) for s in lookups}
+    found = resolve_star(ragged, dims, lookups, hot_source=stage(spark, sf_dir))
+    return found.select("eventid", "city", "gname", "LocationKey", "PerpetratorGroupKey")
+
+
 @register("fact_lookup_event_type", fact_with() + """
 SELECT e.eventid, e.multiple, evt.EventTypeKey FROM evk e LEFT JOIN uevt evt ON evt.IsMultiple = e.multiple""")
 def fact_lookup_event_type(spark, sf_dir):

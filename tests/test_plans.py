@@ -112,3 +112,32 @@ def test_hot_keys_bound(spark):
     few = spark.range(100000).select((F.col("id") % 20).alias("g"))
     got = hot_keys(few, [F.col("g")], share=0.04, fraction=0.5)
     assert len(got) <= 25 and len(got) == 20
+
+
+def test_hot_keys_of_all_lookups_in_one_pass(spark):
+    """The same hot keys as one exact count for each lookup gives, from a single job's plan."""
+    from dimloom.operators.fact import hot_keys, hot_lookup_keys
+
+    fact = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, "a \"b\"").when(F.col("id") % 7 == 0, None).otherwise(F.concat(F.lit("é"), (F.col("id") % 9000).cast("string"))).alias("g"),
+        (F.col("id") % 60).cast("int").alias("c"), F.when(F.col("id") % 4 == 0, 0.1).otherwise(F.col("id") / 7).alias("x"),
+        F.when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 2).alias("f"))
+    specs = [LookupSpec("G", "k", (("g", "g"),)), LookupSpec("C", "k", (("c", "c"),)), LookupSpec("X", "k", (("x", "x"), ("f", "f"))),
+             LookupSpec("F", "k", (("f", "f"),), defaults={0: 7})]
+    got = hot_lookup_keys(fact, specs, share=0.05, fraction=0.5)
+    exact = [hot_keys(fact, [s.fact_expr(i) for i in range(len(s.pairs))], share=0.05, fraction=0.5) for s in specs]
+    assert [sorted(g) for g in got] == [sorted(tuple(str(v) for v in h) for h in e) for e in exact]
+    assert [len(g) for g in got] == [1, 0, 1, 3] and hot_lookup_keys(fact, []) == [] and hot_lookup_keys(fact.limit(0), specs) == [[], [], [], []]
+
+
+def test_collated_lookup_matches_whatever_case_and_trailing_spaces(spark):
+    dim = spark.createDataFrame([(3, "Rome"), (1, "ROME "), (2, "paris"), (4, " oslo")], "k int, city string")
+    fact = spark.createDataFrame([(i, c) for i, c in enumerate(["rome", "Rome   ", "PARIS", "oslo", None, "x"] * 40)], "eventid int, town string")
+    spec = LookupSpec("D", "k", (("city", "town"),), collated=(0,))
+    from dimloom.operators.fact import hot_lookup_keys
+
+    hot = hot_lookup_keys(fact, [spec], share=0.1, fraction=1.0)[0]
+    assert ("rome",) in hot
+    for out in (lookup(fact, dim, spec, 4, 20), lookup(fact, dim, spec, None, hot=hot, salts=4)):
+        got = {r.eventid % 6: r.k for r in out.collect()}
+        assert got == {0: 1, 1: 1, 2: 2, 3: None, 4: None, 5: None} and out.count() == 240
