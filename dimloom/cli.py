@@ -102,7 +102,7 @@ def jdbc_properties(args) -> dict[str, str]:
 def cmd_build(spark: SparkSession, args) -> int:
     """Entry 3: build the warehouse from staging (or raw) rows; show statuses and log."""
     if args.jdbc_url:
-        src = read_jdbc(spark, args.jdbc_url, args.jdbc_table, jdbc_properties(args))
+        src = read_jdbc(spark, args.jdbc_url, args.jdbc_table, jdbc_properties(args), args.jdbc_split_on, args.jdbc_slices)
     elif args.input_format == "parquet":
         src = spark.read.parquet(args.input)
     else:
@@ -139,6 +139,8 @@ def main(argv=None) -> int:
     b.add_argument("--jdbc-url")
     b.add_argument("--jdbc-table", default="FactTerrorEvents")
     b.add_argument("--jdbc-driver")
+    b.add_argument("--jdbc-split-on", help="number, date or timestamp column: its ranges are read by a task each")
+    b.add_argument("--jdbc-slices", type=int, help="how many ranges (default: the session's parallelism)")
     b.add_argument("--order-by", nargs="*", help="columns that pick one row of a repeated event")
     b.add_argument("--one-line", action="store_true", help="no field holds a newline: CSV files can be split")
     b.add_argument("--input-format", choices=["parquet", "csv"], default="parquet")

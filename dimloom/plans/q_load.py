@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimloom.operators.dims import insert_new, keyed_dimension
 from dimloom.operators.fact import fact_view, fits_broadcast
@@ -24,7 +25,7 @@ from dimloom.plans.star import dimension, dimensions, saved_fact
 from dimloom.plans.warehouse import FACT, Warehouse, load_dimension, log_view, reject_reason, run_warehouse
 from dimloom.sources.contracts import FACT_RENAMES
 from dimloom.session import new_scratch_path
-from dimloom.sources.files import CSV_NULL_TOKENS, read_incidents, write_clean
+from dimloom.sources.files import CSV_NULL_TOKENS, infer_types, read_incidents, write_clean
 from dimloom.sources.tables import read_table
 
 # ---- K1 / K2 / D1 --------------------------------------------------------
@@ -94,6 +95,29 @@ def src_csv_roundtrip(spark, sf_dir):
     return read_incidents(spark, path, schema=df.schema, encoding="ISO-8859-1")
 
 
+_INT, _NUMBER = r"^[+-]?\d+$", r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+
+
+def _type_sql(column: str) -> str:
+    value = f"CASE WHEN CAST({column} AS VARCHAR) NOT IN {_TOKENS} THEN CAST({column} AS VARCHAR) END"
+    whole = f"regexp_matches(v, '{_INT}')"
+    return f"""SELECT '{column}' AS column_name, CASE WHEN count(v) = 0 THEN 'string'
+  WHEN bool_and({whole} AND TRY_CAST(v AS INT) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'int'
+  WHEN bool_and({whole} AND TRY_CAST(v AS BIGINT) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'bigint'
+  WHEN bool_and(regexp_matches(v, '{_NUMBER}')) FILTER (v IS NOT NULL) THEN 'double' ELSE 'string' END AS data_type, count(v) AS non_null_rows
+FROM (SELECT {value} AS v FROM raw)"""
+
+
+@register("src_csv_inferred", O.with_(O.RAW) + " UNION ALL ".join(_type_sql(c) for c in O.RAW_ORDER))
+def src_csv_inferred(spark, sf_dir):
+    """The types of the raw table's columns as found in its CSV copy, with their values counted (one
+    aggregation over all columns)."""
+    path = new_scratch_path(spark, "csv")
+    write_clean(raw(spark, sf_dir), path, "csv", encoding="ISO-8859-1")
+    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in raw(spark, sf_dir).schema.fields])
+    return infer_types(read_incidents(spark, path, schema=texts, encoding="ISO-8859-1")).drop("position")
+
+
 # ---- E2 / E3 -------------------------------------------------------------
 
 @register("log_view", """

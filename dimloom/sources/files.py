@@ -6,6 +6,9 @@ touches the driver's local disk directly.
 
 from __future__ import annotations
 
+import decimal
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,21 +23,52 @@ CSV_NULL_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN",
 def read_incidents(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    encoding: str = "ISO-8859-1", null_tokens=None, multi_line: bool = True) -> DataFrame:
     """A headed CSV file (or folder) in the given encoding; quoted
-    fields may hold newlines and doubled quotes. ``schema=None`` infers types
-    (one extra pass over the data; avoid it for large inputs). ``multi_line=False``,
+    fields may hold newlines and doubled quotes. ``schema=None`` finds the types with one
+    more pass over the data (``infer_types``). ``multi_line=False``,
     for files whose fields hold no newline, lets Spark split a file over tasks.
     """
     reader = (spark.read.option("header", True).option("encoding", encoding)
               .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
               .option("mode", "PERMISSIVE"))
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    df = reader.csv(path)
+    df = (reader.schema(schema) if schema is not None else reader).csv(path)
     tokens = CSV_NULL_TOKENS if null_tokens is None else tuple(null_tokens)
-    if not tokens:
-        return df
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    return df.select(*[F.when(F.col(c).isin(*tokens), None).otherwise(F.col(c)).alias(c) if c in text
-                       else F.col(c) for c in df.columns])
+    if tokens:
+        df = df.select(*[F.when(F.col(f"`{c}`").isin(*tokens), None).otherwise(F.col(f"`{c}`")).alias(c) if c in text
+                         else F.col(f"`{c}`") for c in df.columns])
+    if schema is not None:
+        return df
+    found = {r["column_name"]: r["data_type"] for r in infer_types(df).collect()}  # one row a column
+    return df.select(*[F.col(f"`{c}`").try_cast(found[c]).alias(c) for c in df.columns])
+
+
+# Texts of each type that a column may have, from the narrowest up: int < bigint < double, date < timestamp, boolean.
+# A column has the first type that holds all of its values, else it stays text.
+_TYPE_PATTERNS = (
+    ("int", r"^[+-]?\d+$"), ("bigint", r"^[+-]?\d+$"), ("double", r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"),
+    ("date", r"^\d{4}-\d{2}-\d{2}$"), ("timestamp", r"^\d{4}-\d{2}-\d{2}([ T]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"),
+    ("boolean", r"^([tT][rR][uU][eE]|[fF][aA][lL][sS][eE])$"),
+)
+
+
+def infer_types(texts: DataFrame) -> DataFrame:
+    """The type of each text column, as rows (position, column_name, data_type, non_null_rows).
+
+    All columns are folded in one aggregation: for each type, whether every value of the column is one of its
+    texts. So it is one pass with partial aggregation, whatever the number of columns and types. NULLs count for no
+    type; a column of NULLs is text."""
+    aggs = []
+    for i, c in enumerate(texts.columns):
+        value = F.col(f"`{c}`")
+        aggs.append(F.count(value).alias(f"n{i}"))
+        aggs += [F.min(F.when(value.isNotNull(), value.rlike(pattern) & value.try_cast(kind).isNotNull())).alias(f"t{i}_{kind}")
+                 for kind, pattern in _TYPE_PATTERNS]
+    one = texts.agg(*aggs)
+    found = []
+    for i, c in enumerate(texts.columns):
+        kind = F.coalesce(*[F.when(F.col(f"t{i}_{k}"), F.lit(k)) for k, _ in _TYPE_PATTERNS], F.lit("string"))
+        found.append(F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), kind.alias("data_type"), F.col(f"n{i}").alias("non_null_rows")))
+    return one.select(F.explode(F.array(*found)).alias("c")).select("c.*")
 
 
 def write_clean(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists",
@@ -83,8 +117,25 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite",
     writer.save()
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None) -> DataFrame:
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None,
+              split_on: str | None = None, slices: int | None = None) -> DataFrame:
+    """A table over JDBC. One task reads it, unless ``split_on`` names a number, date or timestamp column:
+    its bounds are asked for first, and each of ``slices`` tasks (the default parallelism if not given) reads a range of
+    it. Every row is in one range: the outer ones are open, and rows without a value are in the first."""
+    reader = spark.read.format("jdbc").option("url", url)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    return reader.load()
+    whole = reader.option("dbtable", table).load()
+    slices = slices or spark.sparkContext.defaultParallelism
+    if split_on is None or slices < 2:
+        return whole
+    split_on = next(c for c in whole.columns if c.lower() == split_on.lower())
+    column = spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(split_on)
+    ends = reader.option("dbtable", f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) ends").load().first()
+    lo, hi = (ends[0], ends[1])
+    if lo is None or lo == hi:
+        return whole
+    # whole bounds: a range's ends are only where it is cut
+    lo, hi = (math.floor(lo), math.ceil(hi)) if isinstance(lo, (int, float, decimal.Decimal)) else (lo, hi)
+    return (reader.option("dbtable", table).option("partitionColumn", split_on).option("lowerBound", str(lo))
+            .option("upperBound", str(hi)).option("numPartitions", slices).load())

@@ -1,13 +1,15 @@
 """Sources and sinks: CSV edge cases (S1, S2, T13), quarantine folders (S7),
 schema profile (S4), JDBC (S8), contracts (P17)."""
 
+import datetime as dt
 import os
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimloom.operators import audit as A
 from dimloom.sources.contracts import SCHEMAS, conform
-from dimloom.sources.files import profile_schema, read_incidents, read_jdbc, write_clean, write_jdbc, write_quarantine
+from dimloom.sources.files import infer_types, profile_schema, read_incidents, read_jdbc, write_clean, write_jdbc, write_quarantine
 
 
 def test_csv_quotes_newlines_latin1(spark, tmp_path):
@@ -64,3 +66,34 @@ def test_conform_casts_and_widths(spark):
     row = conform(df, schema, {"EventID": 5}).collect()[0]
     assert row.EventID == "12345" and row.DateKey == 1 and row.Missing is None
     assert set(SCHEMAS) >= {"DimDate", "Fact_Terror_Events", "DimLocation", "ETLLog"}
+
+
+def test_jdbc_read_in_slices(spark):
+    url, props = "jdbc:derby:memory:dimloom_slices;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = [(None if i % 10 == 0 else i * i, dt.date(2020, 1, 1) + dt.timedelta(days=i), i / 7 - 3, f"n{i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, day date, x double, name string")
+    write_jdbc(df, url, "STAGING", "overwrite", props)
+    for column in ("id", "day", "x"):
+        got = read_jdbc(spark, url, "STAGING", props, column, 4)
+        assert got.rdd.getNumPartitions() == 4 and sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    sizes = [len(p) for p in read_jdbc(spark, url, "STAGING", props, "day", 4).rdd.glom().collect()]
+    assert min(sizes) >= 20
+    assert read_jdbc(spark, url, "STAGING", props).rdd.getNumPartitions() == 1
+    write_jdbc(df.limit(0), url, "EMPTY_ONE", "overwrite", props)
+    assert read_jdbc(spark, url, "EMPTY_ONE", props, "id", 4).count() == 0
+    write_jdbc(df.limit(1).withColumn("id", F.lit(5)), url, "ONE", "overwrite", props)
+    assert read_jdbc(spark, url, "ONE", props, "id", 4).count() == 1
+
+
+def test_types_found_in_one_pass(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("i,l,d,day,ts,b,mixed,none,big,a.b\n" + "\n".join([
+        "1,30000000000,1.5,2020-01-31,2020-01-31 10:00:00,true,1,NA,99999999999999999999,7",
+        "NA,5,2,2019-12-01,2019-12-01,FALSE,2020-01-01,,1,8", "-3,+7,1e5,NA,NA,NA,x,null,2,9"]) + "\n")
+    got = read_incidents(spark, str(path))
+    assert dict(got.dtypes) == {"i": "int", "l": "bigint", "d": "double", "day": "date", "ts": "timestamp", "b": "boolean",
+                                "mixed": "string", "none": "string", "big": "double", "a.b": "int"}
+    assert [r.l for r in got.collect()] == [30000000000, 5, 7]
+    texts = spark.createDataFrame([("2020-02-30", None), ("2020-02-01", None)], "bad_day string, n string")
+    assert [tuple(r) for r in infer_types(texts).collect()] == [(1, "bad_day", "string", 2), (2, "n", "string", 0)]
+    assert [r.data_type for r in infer_types(texts.limit(0)).collect()] == ["string", "string"]
