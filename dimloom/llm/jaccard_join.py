@@ -13,8 +13,9 @@ Jaccard distance of at most r = 1 - percent / 100. Jaccard distance is a metric,
    windows where the next size is beyond the ratio that a link allows.
 3. The order puts shingles that many documents hold last (counted over all documents, a batch at a time), so that frequent lines
    make no large regions. Any order gives the same links.
-4. Windows of regions join exactly: small ones pair by pair, larger ones by document pivots in rounds (``link_groups``), where
-   what is known to be one component is not compared again. A pair is first bounded from sketches: a sketch holds for each of
+4. Windows of regions join exactly: small ones pair by pair, larger ones by document pivots (``link_groups``): families of near copies
+   come together around a pivot each, then a document meets a family only in the window of distances from its pivot that the
+   triangle inequality leaves. A pair is first bounded from sketches: a sketch holds for each of
    `BITS` classes of shingles whether their number is odd, so two sketches differ in no more bits than the sets in shingles. Pairs
    that the bound leaves are verified on whole sets.
 
@@ -32,9 +33,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import mix64, partitions, saved, shingle_hashes, small, table, text_bytes, word_hashes
-from .linking import SMALL_GROUP, components, link_groups
+from .linking import SMALL_GROUP, Metric, components, link_groups
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -212,45 +214,57 @@ def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
     return texts.select("text").mapInArrow(run, "node long, members binary")
 
 
-def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that can link as far as their sketches (node, n, bits) tell."""
+def least_distance(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) with least: a lower bound of their Jaccard distance, from sketches (node, n, bits)."""
+    given = pairs.schema
+    for end, other in (("a", "_x"), ("b", "_y")):
+        pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"_n{other}"), F.col("bits").alias(other)), end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for i in (4, 5))
-            most = (n - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2  # shingles that both can hold
-            keep = 100 * most >= percent * (n - most)
-            if keep.any():
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
+            n = batch.column("_n_x").to_numpy() + batch.column("_n_y").to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("_x", "_y"))
+            most = np.minimum((n - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2, np.minimum(batch.column("_n_x"), batch.column("_n_y")))  # shingles that both can hold
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in given.names), pa.array(1 - most / (n - most))], names=[*given.names, "least"])
 
-    for end, other in (("a", "x"), ("b", "y")):
-        pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"n{other}"), F.col("bits").alias(other)), end)
-    return saved(pairs.select("a", "b", "nx", "ny", "x", "y").mapInArrow(run, "a long, b long"), "bounded")
+    return pairs.select(*given.names, "_n_x", "_n_y", "_x", "_y").mapInArrow(run, T.StructType([*given.fields, T.StructField("least", T.DoubleType())]))
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (node, members) have 100 * |a & b| >= percent * |a | b|."""
+def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that can link as far as their sketches (node, n, bits) tell."""
+    near = least_distance(pairs, sketches).filter(F.col("least") <= 1 - percent / 100 + 1e-9)
+    return saved(near.select("a", "b"), "bounded")
+
+
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b, ...) with both and d: how many shingles their sets (node, members) share, and their Jaccard distance."""
+    given = pairs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
+            both, either = [], []
+            for x, y in zip(batch.column("_x"), batch.column("_y"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if min(len(x), len(y)) * 100 < percent * max(len(x), len(y)) or not len(x):
-                    keep.append(False)
-                    continue
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int((x[at] == y).sum())
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            if any(keep):
-                yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"])
+                x, y = (x, y) if len(x) >= len(y) else (y, x)
+                shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()) if len(y) else 0
+                both.append(shared)
+                either.append(len(x) + len(y) - shared)
+            b, e = np.array(both, np.int64), np.array(either, np.int64)
+            made = [pa.array(b), pa.array(e), pa.array(1 - b / np.maximum(e, 1))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in given.names), *made], names=[*given.names, "both", "either", "d"])
+
+    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_x")), "a")
+    whole = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("_y")), "b")
+    more = [T.StructField("both", T.LongType()), T.StructField("either", T.LongType()), T.StructField("d", T.DoubleType())]
+    return whole.select(*given.names, "_x", "_y").mapInArrow(run, T.StructType([*given.fields, *more]))
 
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("x")), "a")
-    both = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct()
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets (node, members) have 100 * |a & b| >= percent * |a | b|."""
+    told = distances(pairs.select("a", "b"), sets)
+    return told.filter((F.col("both") > 0) & (F.col("both") * 100 >= F.col("either") * percent)).select("a", "b").distinct()
 
 
 def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", shingles=shingle_set) -> DataFrame:
@@ -274,7 +288,8 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str =
     # links of small windows, then what large ones add
     links = saved(linked(pairs, whole, percent), "links")
     if not members.isEmpty():
-        links = links.union(link_groups(members, lambda p: linked(bounded(p, sketches, percent), whole, percent))[1])
+        metric = Metric(lambda p: distances(p, whole), lambda p: least_distance(p, sketches), 1 - percent / 100)
+        links = links.union(link_groups(members, lambda p: linked(bounded(p, sketches, percent), whole, percent), metric=metric)[1])
     comp = components(links)
     at = classes.join(comp, "node", "left").select("node", "first", F.coalesce("component", "node").alias("component"))
     named = at.join(at.groupBy("component").agg(F.min("first").alias("component_id")), "component").select("node", "component_id")

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from .common import saved
+from .common import saved, small
 
 #: Groups of at most this many members are compared pair by pair at once.
 SMALL_GROUP = 5
+#: Times that each node is compared with one pivot before pairs of components are.
+STAR_ROUNDS = 3
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -36,45 +38,103 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
-def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str = "links") -> tuple[DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class Metric:
+    """Distances that triangles bound, and the largest one that links. Both functions take pairs (a, b) with any further columns.
+
+    exact: adds d, the distance. least: adds least, a lower bound of it that is cheap to have."""
+
+    exact: Callable[[DataFrame], DataFrame]
+    least: Callable[[DataFrame], DataFrame]
+    limit: float
+
+
+def _merged(comp: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """(node, component) after the links `found` are known as well."""
+    if found.isEmpty():
+        return comp
+    at = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    to = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    joined = components(found.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), name)
+    joined = small(joined.select(F.col("node").alias("component"), F.col("component").alias("new")))
+    return saved(comp.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component")), name)
+
+
+def _open(members: DataFrame, comp: DataFrame, name: str) -> DataFrame:
+    """(key, node, component) of the groups whose members aren't one component."""
+    now = members.join(comp, "node")
+    ends = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
+    return saved(now.join(ends, "key", "left_semi").select("key", "node", "component"), name)
+
+
+def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str = "links", metric: Metric | None = None) -> tuple[DataFrame, DataFrame]:
     """Components of the links that `verify` finds among nodes that share a group; members: a saved table (key, node).
 
     verify: (a, b) pairs, a < b -> those that link. Returns ((node, component) of all member nodes, links checked to hold).
-    Small groups are compared pair by pair. In a larger one some members are pivots, those of its smallest components first: they are
-    compared to every other member and leave the group. Rounds go on, with four times the pivots each, until what is left of
-    each group is one component. So two nodes of a group have been compared, or are in one component anyway."""
+
+    1. `STAR_ROUNDS` times each node is compared with one pivot: it takes, of its groups that aren't one component yet, that of least hash,
+       and those that took the same group have one pivot. Near copies share most of their groups, so they mostly take the same one, and a
+       family of n of them becomes one component by about n comparisons, in however many groups it stands.
+    2. What is left are pairs of different components in a group. A node of the smaller one meets the other: if that is one node, the two
+       are compared. A larger one has a pivot, its smallest node, and its members' distances from it; by the triangle inequality only members are
+       compared whose distance is within the limit of the node's own. A lower bound of this parts most pairs of node and component
+       before anything exact is computed. Without a metric the node is compared with all members.
+
+    So two nodes of a group have been compared, are in one component anyway, or are too far apart by the triangle inequality."""
     comp = saved(members.select("node").distinct().withColumn("component", F.col("node")), name)
-    left, seen, links, pivots, first = members, None, None, 1, True
-    while True:
-        now = left.join(comp, "node")
-        groups = now.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-        now = saved(now.join(groups.filter("lo != hi").select("key", "n"), "key"), name)  # members of groups that are still open
-        if now.isEmpty():
-            break
-        large = now.filter(F.col("n") > SMALL_GROUP) if first else now
-        sizes = large.groupBy("key", "component").agg(F.count("*").alias("of"))
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("of", "component", "node"))
-        ranked = large.join(sizes, ["key", "component"]).withColumn("r", rank).filter(F.col("r") <= pivots)
-        chosen = ranked.select("key", F.col("node").alias("pivot"), F.col("component").alias("its"))
-        pairs = large.join(chosen, "key").filter("component != its").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        if first:
-            few = now.filter(F.col("n") <= SMALL_GROUP)
-            pairs = pairs.union(few.select("key", F.col("node").alias("a")).join(few.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b"))
-        pairs = pairs.distinct()
+    seen, links = None, None
+    for seed in range(STAR_ROUNDS):
+        now = _open(members, comp, name)
+        one = now.groupBy("node", "component").agg(F.min_by("key", F.xxhash64("key", F.lit(seed))).alias("key"))
+        one = saved(one, name)
+        pivots = saved(one.groupBy("key").agg(F.min_by(F.struct("node", "component"), "node").alias("p"), F.count("*").alias("n")).filter("n > 1"), name)
+        met = one.join(small(pivots.select("key", "p")), "key").filter("component != p.component")
+        pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = saved(pairs, name)
+        if pairs.isEmpty():
+            break
         found = saved(verify(pairs).select("a", "b"), name)
         seen = pairs if seen is None else seen.union(pairs)
         links = found if links is None else links.union(found)
-        left = large.join(chosen.select("key", F.col("pivot").alias("node")), ["key", "node"], "left_anti").select("key", "node")
-        if not found.isEmpty():
-            at = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-            to = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-            joined = components(found.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")), name)
-            joined = joined.select(F.col("node").alias("component"), F.col("component").alias("new"))
-            comp = saved(comp.join(joined, "component", "left").select("node", F.coalesce("new", "component").alias("component")), name)
-        first, pivots = False, pivots * 4
+        comp = _merged(comp, found, name)
+    left = _open(members, comp, name)
+    if not left.isEmpty():
+        found = saved(verify(_left_over(left, comp, seen, metric, name)).select("a", "b"), name)
+        links = found if links is None else links.union(found)
+        comp = _merged(comp, found, name)
     if links is None:
         links = members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
     return comp, links
+
+
+def _left_over(left: DataFrame, comp: DataFrame, seen: DataFrame | None, metric: Metric | None, name: str) -> DataFrame:
+    """Pairs (a, b) of different components that share a group and may link."""
+    sizes = saved(comp.groupBy("component").agg(F.count("*").alias("of")), name)
+    sized = left.join(sizes, "component")
+    here = sized.select("key", F.col("component").alias("other"), F.col("of").alias("others")).distinct()
+    first = F.struct("of", "component") < F.struct(F.col("others").alias("of"), F.col("other").alias("component"))
+    meets = saved(sized.join(here, "key").filter(first).select("node", "other", "others").distinct(), name)
+    pair = [F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")]
+    alone = meets.filter("others = 1").select("node", F.col("other").alias("member"))
+    many = meets.filter("others > 1").select("node", "other")
+    held = comp.select(F.col("component").alias("other"), F.col("node").alias("member"))
+    if metric is None:
+        pairs = many.join(held, "other").select("node", "member")
+    else:
+        slack = metric.limit + 1e-9
+        within = held.join(many.select("other").distinct(), "other", "left_semi")
+        apart = metric.exact(within.filter("member != other").select(F.col("other").alias("a"), F.col("member").alias("b")))
+        apart = apart.select(F.col("a").alias("other"), F.col("b").alias("member"), F.col("d").alias("own"))
+        apart = saved(apart.union(within.select("other", F.col("other").alias("member"), F.lit(0.0).alias("own")).distinct()), name)
+        reach = saved(apart.groupBy("other").agg(F.max("own").alias("reach")), name)
+        ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+        near = metric.least(many.join(small(reach), "other").select(*ends, "node", "other", "reach")).filter(F.col("least") <= F.col("reach") + slack)
+        near = metric.exact(near.select("a", "b", "node", "other", "reach")).filter(F.col("d") <= F.col("reach") + slack)
+        near = saved(near.select("node", "other", "d"), name)
+        pairs = near.join(apart, "other").filter(F.abs(F.col("d") - F.col("own")) <= slack).select("node", "member")
+    pairs = alone.union(pairs).select(*pair).distinct()
+    if seen is not None:
+        pairs = pairs.join(seen, ["a", "b"], "left_anti")
+    return saved(pairs, name)

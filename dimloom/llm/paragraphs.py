@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix64, saved, shingle_hashes, small, table, word_hashes
-from .jaccard_join import linked
-from .linking import link_groups
+from .jaccard_join import distances, linked
+from .linking import Metric, link_groups
 
 MIN_WORDS = 30
 WORDS = 5
@@ -102,7 +102,8 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     wanted = units.join(members.select(F.col("node").alias("unit")).distinct(), "unit").filter("first is not null")
     by_doc = saved(wanted.groupBy(F.col("first.id").alias("_at")).agg(F.collect_list("unit").alias("wanted")), "wanted")
     sets = saved(_sets(rows.join(small(by_doc, 200_000), F.col("id") == F.col("_at"))).dropDuplicates(["node"]), "paragraph-sets")
-    comp, _ = link_groups(members, lambda pairs: linked(pairs, sets, percent))
+    metric = Metric(lambda p: distances(p, sets), lambda p: p.withColumn("least", F.lit(0.0)), 1 - percent / 100)
+    comp, _ = link_groups(members, lambda pairs: linked(pairs, sets, percent), metric=metric)
     at = units.join(comp, F.col("unit") == F.col("node"), "left").select("unit", "k", "first", F.coalesce("component", "unit").alias("component"))
     clusters = at.groupBy("component").agg(F.sum("k").alias("k"), F.min("first").alias("kept")).filter("k > 1")
     named = at.select("unit", "component").join(clusters.select("component", "kept"), "component").select("unit", "kept")
