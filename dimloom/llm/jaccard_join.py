@@ -16,7 +16,7 @@ Jaccard distance of at most r = 1 - percent / 100. Jaccard distance is a metric,
 4. Windows of regions join exactly: small ones pair by pair, larger ones by document pivots (``link_groups``): families of near copies
    come together around a pivot each, then a document meets a family only in the window of distances from its pivot that the
    triangle inequality leaves. A pair is first bounded from sketches: a sketch holds for each of
-   `BITS` classes of shingles whether their number is odd, so two sketches differ in no more bits than the sets in shingles. Pairs
+   `BITS` classes of shingles (more for large sets) whether their number is odd, so two sketches differ in no more bits than the sets in shingles. Pairs
    that the bound leaves are verified on whole sets.
 
 Equal sets are one node from the start. Defined results: null, empty and word-free texts have an empty set and link with nothing, not
@@ -43,7 +43,7 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _PIECE = 1 << 20
 #: A shingle that more different documents of a batch hold than this is counted as frequent.
 BATCH_LEAST = 2
-#: Bits of a set's sketch.
+#: Bits of a set's sketch at least. A larger set has twice as many until it has as many bits as shingles.
 BITS = 1024
 #: Most frequent shingles that are ranked last; it bounds what is broadcast and changes no result.
 RANKED_LAST = 200_000
@@ -68,6 +68,28 @@ def _node(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """For each class of shingles (by their last bits), whether their number is odd."""
+    width = max(BITS, 1 << max(len(s) - 1, 0).bit_length())
+    odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def differing(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """In how many bits the sketches differ, pair by pair. The classes of a wider one are joined until it is as wide as the other."""
+    out = np.zeros(len(x), np.int64)
+    widths = np.array([(len(a), len(b)) for a, b in zip(x, y, strict=True)])
+    for wide, narrow in np.unique(np.sort(widths, axis=1)[:, ::-1], axis=0):
+        some = np.flatnonzero((widths.max(axis=1) == wide) & (widths.min(axis=1) == narrow))
+        ends = [(x[i], y[i]) if len(x[i]) >= len(y[i]) else (y[i], x[i]) for i in some]
+        a, b = (np.frombuffer(b"".join(e[j] for e in ends), np.uint64).reshape(len(some), -1) for j in (0, 1))
+        while a.shape[1] > b.shape[1]:
+            half = a.shape[1] // 2
+            a = a[:, :half] ^ a[:, half:]
+        out[some] = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
     """(id, n, node, bits, hot, times): each row's set size, hash and sketch; a batch's frequent shingles and their counts, on its last row."""
     kind = docs.schema["id"].dataType.simpleString()
@@ -87,8 +109,7 @@ def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
                 s = shingles(text, k)
                 n.append(len(s))
                 node.append(_node(s))
-                odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-                bits.append(np.packbits(odd.astype(bool)).tobytes())
+                bits.append(sketch(s))
                 if len(s) and node[-1] not in held:
                     held.add(node[-1])
                     group.append(s)
@@ -216,7 +237,7 @@ def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
 
 def least_distance(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """pairs (a, b, ...) with least: a lower bound of their Jaccard distance, from sketches (node, n, bits)."""
-    given = pairs.schema
+    given, pairs = pairs.schema, small(saved(pairs, "pairs"))
     for end, other in (("a", "_x"), ("b", "_y")):
         pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"_n{other}"), F.col("bits").alias(other)), end)
 
@@ -225,8 +246,8 @@ def least_distance(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             n = batch.column("_n_x").to_numpy() + batch.column("_n_y").to_numpy()
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("_x", "_y"))
-            most = np.minimum((n - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2, np.minimum(batch.column("_n_x"), batch.column("_n_y")))  # shingles that both can hold
+            apart = differing(batch.column("_x").to_pylist(), batch.column("_y").to_pylist())
+            most = np.minimum((n - apart) // 2, np.minimum(batch.column("_n_x"), batch.column("_n_y")))  # shingles that both can hold
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in given.names), pa.array(1 - most / (n - most))], names=[*given.names, "least"])
 
     return pairs.select(*given.names, "_n_x", "_n_y", "_x", "_y").mapInArrow(run, T.StructType([*given.fields, T.StructField("least", T.DoubleType())]))
@@ -255,8 +276,12 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             made = [pa.array(b), pa.array(e), pa.array(1 - b / np.maximum(e, 1))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in given.names), *made], names=[*given.names, "both", "either", "d"])
 
-    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_x")), "a")
-    whole = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("_y")), "b")
+    # pairs that can be broadcast spare the first shuffle of sets; of the others only those go that stand in a pair
+    pairs = saved(pairs, "pairs")
+    with_a = small(pairs).join(sets.select(F.col("node").alias("a"), F.col("members").alias("_x")), "a")
+    ends = small(saved(pairs.select("b").distinct(), "ends"))
+    others = sets.select(F.col("node").alias("b"), F.col("members").alias("_y")).join(ends, "b", "left_semi")
+    whole = with_a.join(others, "b")
     more = [T.StructField("both", T.LongType()), T.StructField("either", T.LongType()), T.StructField("d", T.DoubleType())]
     return whole.select(*given.names, "_x", "_y").mapInArrow(run, T.StructType([*given.fields, *more]))
 

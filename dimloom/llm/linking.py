@@ -67,6 +67,14 @@ def _open(members: DataFrame, comp: DataFrame, name: str) -> DataFrame:
     return saved(now.join(ends, "key", "left_semi").select("key", "node", "component"), name)
 
 
+def _different(members: DataFrame, name: str) -> DataFrame:
+    """members without groups that repeat another group's nodes, as the windows of a family of near copies do."""
+    mark = F.xxhash64("node")
+    signs = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 8)).alias("s"))
+    keys = signs.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
+    return saved(members.join(small(saved(keys, name)), "key", "left_semi"), name)
+
+
 def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str = "links", metric: Metric | None = None) -> tuple[DataFrame, DataFrame]:
     """Components of the links that `verify` finds among nodes that share a group; members: a saved table (key, node).
 
@@ -78,10 +86,12 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], na
     2. What is left are pairs of different components in a group. A node of the smaller one meets the other: if that is one node, the two
        are compared. A larger one has a pivot, its smallest node, and its members' distances from it; by the triangle inequality only members are
        compared whose distance is within the limit of the node's own. A lower bound of this parts most pairs of node and component
-       before anything exact is computed. Without a metric the node is compared with all members.
+       before anything exact is computed. Of each two components the pair of least bound goes first. Without a metric the node is
+       compared with all members.
 
     So two nodes of a group have been compared, are in one component anyway, or are too far apart by the triangle inequality."""
     comp = saved(members.select("node").distinct().withColumn("component", F.col("node")), name)
+    members = _different(members, name)
     seen, links = None, None
     for seed in range(STAR_ROUNDS):
         now = _open(members, comp, name)
@@ -101,7 +111,22 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], na
         comp = _merged(comp, found, name)
     left = _open(members, comp, name)
     if not left.isEmpty():
-        found = saved(verify(_left_over(left, comp, seen, metric, name)).select("a", "b"), name)
+        # first the nearest pair, as far as that is known, of each two components that may link, then what that leaves apart
+        pairs = _left_over(left, comp, seen, metric, name)
+        if metric is not None:
+            pairs = saved(metric.least(pairs).filter(F.col("least") <= metric.limit + 1e-9), name)
+            ends = pairs.join(comp.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a")
+            ends = ends.join(comp.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b")
+            best = F.min_by(F.struct("a", "b"), F.struct("least", "a", "b")).alias("p")
+            best = saved(ends.groupBy(F.least("ca", "cb").alias("lo"), F.greatest("ca", "cb").alias("hi")).agg(best).select("p.*"), name)
+            found = saved(verify(best).select("a", "b"), name)
+            links = found if links is None else links.union(found)
+            comp = _merged(comp, found, name)
+            at = comp.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+            to = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+            pairs = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(at, "a").join(to, "b").filter("ca != cb").select("a", "b")
+            pairs = saved(pairs, name)
+        found = saved(verify(pairs).select("a", "b"), name)
         links = found if links is None else links.union(found)
         comp = _merged(comp, found, name)
     if links is None:
