@@ -8,7 +8,8 @@ Jaccard distance of at most r = 1 - percent / 100. Jaccard distance is a metric,
    all shingles. (Documents as pivots don't part a corpus: nearly all pairs of documents are at distance 1.)
 2. Windows: a document within r of x has lost at most floor(r |x|) of x's shingles, so one of x's first floor(r |x|) + 1
    shingles in that order is among the other's first ones as well. x is copied to those regions, and to no more; that every link
-   lies in a common region follows.
+   lies in a common region follows. The first of the shared shingles stands earlier still in the smaller set: among its first
+   floor((1 - 2 s / (1 + s)) n) + 1, where s = 1 - r. So of two documents in a region one must be there by such an early shingle.
    From the empty set as another pivot, distances under symmetric difference are sizes; within a region, documents are cut into
    windows where the next size is beyond the ratio that a link allows.
 3. The order puts shingles that many documents hold last (counted over all documents, a batch at a time), so that frequent lines
@@ -130,14 +131,15 @@ def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
 
 
 def _regions(docs: DataFrame, k: int, percent: int, last: np.ndarray, shingles=shingle_set) -> DataFrame:
-    """(key, n, node): the sets of (text) rows in the regions of their first floor(r n) + 1 shingles, once a batch each."""
+    """(key, n, node, early): the sets of (text) rows in the regions of their first floor(r n) + 1 shingles, once a batch each. early: 1 for
+    the first of these, as many as a link to a set of at least this size leaves for the first shingle that both have."""
     share = docs.sparkSession.sparkContext.broadcast(last)  # at most RANKED_LAST numbers, the most frequent last
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.argsort(share.value, kind="stable")
         known = share.value[place]
         for batch in batches:
-            held, keys, sizes, nodes = set(), [], [], []
+            held, keys, sizes, nodes, early = set(), [], [], [], []
             for text in batch.column(0).to_pylist():
                 s = shingles(text, k)
                 n = len(s)
@@ -153,14 +155,17 @@ def _regions(docs: DataFrame, k: int, percent: int, last: np.ndarray, shingles=s
                 keys.append(s[:first].view(np.int64))
                 sizes.append(np.full(first, n))
                 nodes.append(np.full(first, node))
+                early.append((np.arange(first) <= n + (-2 * percent * n) // (100 + percent)).astype(np.int64))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sizes, nodes)], names=["key", "n", "node"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sizes, nodes, early)], names=["key", "n", "node", "early"])
 
-    return docs.select("text").mapInArrow(run, "key long, n long, node long")
+    return docs.select("text").mapInArrow(run, "key long, n long, node long, early long")
 
 
 def _candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(large, a, b): the pairs of nodes of each small window of a region; of a large one its members, as (window, node).
+    """(large, a, b, early): the pairs of nodes of each small window of a region; of a large one its members, as (window, node).
+
+    Two nodes are a pair only if one is in the region by an early shingle (see ``_regions``).
 
     A region's rows come sorted by size and are cut into windows where the next size is beyond the ratio that links allow. They
     are read in a stream that holds the rows of one small window or the last row of a large one."""
@@ -171,11 +176,11 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
         for large, parts in ((False, pairs), (True, members)):
             if parts:
                 got = np.concatenate(parts)
-                got = got if large else np.unique(got, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), large)), pa.array(got[:, 0]), pa.array(got[:, 1])], names=["large", "a", "b"])
+                got = got if large else np.column_stack((u := np.unique(got, axis=0), np.ones(len(u), np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(got), large)), *(pa.array(c) for c in got.T)], names=["large", "a", "b", "early"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 3), np.int64)  # rows (key, n, node) of the last window: all, or the last one if it is large
+        held = np.empty((0, 4), np.int64)  # rows (key, n, node, early) of the last window: all, or the last one if it is large
         window = None  # the number of a large last window
         for batch in batches:
             now = np.concatenate((held, np.column_stack([c.to_numpy() for c in batch.columns])))
@@ -190,7 +195,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
         other = np.ones(len(now), bool)  # repeated sets stand together
         other[1:] = (now[1:, 0] != now[:-1, 0]) | (now[1:, 2] != now[:-1, 2])
         now = now[other]
-        key, n, node = now.T
+        key, n, node, early = now.T
         start = np.ones(len(now), bool)
         start[1:] = (key[1:] != key[:-1]) | (n[1:] * percent > n[:-1] * 100)
         first = np.flatnonzero(start)
@@ -199,7 +204,7 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
         pairs, members, known = [], [], window is not None
         if known:
             name[0] = window
-            members.append(np.column_stack((np.full(size[0] - 1, window), node[1 : size[0]])))  # its last row was given before
+            members.append(np.column_stack((np.full(size[0] - 1, window), node[1 : size[0]], early[1 : size[0]])))  # its last row was given before
         last = len(first) - 1
         done = np.arange(len(first)) if over else np.arange(last)
         done = done[1:] if known else done
@@ -207,21 +212,21 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
             at = first[done[size[done] == s]]
             if len(at):
                 x, y = at[:, None] + i, at[:, None] + j
-                near = n[y] * percent <= n[x] * 100
+                near = (n[y] * percent <= n[x] * 100) & ((early[x] | early[y]) == 1)
                 x, y = node[x[near]], node[y[near]]
                 pairs.append(np.column_stack((np.minimum(x, y), np.maximum(x, y))))
         for w in done[size[done] > SMALL_GROUP]:
-            members.append(np.column_stack((np.full(size[w], name[w]), node[first[w] : first[w] + size[w]])))
+            members.append(np.column_stack((np.full(size[w], name[w]), node[first[w] : first[w] + size[w]], early[first[w] : first[w] + size[w]])))
         if over:
             return now[:0], None, pairs, members
         if known and last == 0:
             return now[-1:], window, pairs, members
         if size[last] > SMALL_GROUP:
-            members.append(np.column_stack((np.full(size[last], name[last]), node[first[last] :])))
+            members.append(np.column_stack((np.full(size[last], name[last]), node[first[last] :], early[first[last] :])))
             return now[-1:], int(name[last]), pairs, members
         return now[first[last] :], None, pairs, members
 
-    return rows.mapInArrow(run, "large boolean, a long, b long")
+    return rows.mapInArrow(run, "large boolean, a long, b long, early long")
 
 
 def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
@@ -300,7 +305,7 @@ def similar_groups(docs: DataFrame, k: int = 4, percent: int = 85, id_col: str =
     often = often.groupBy(F.col("h.hot").alias("s")).agg(F.sum("h.times").alias("c")).orderBy(F.desc("c"), "s").limit(RANKED_LAST).toArrow()
     last = often.column("s").to_numpy().view(np.uint64)[::-1].copy()
     found = saved(_candidates(_regions(rows, k, percent, last, shingles), percent), "candidates")
-    members = found.filter("large").select(F.col("a").alias("key"), F.col("b").alias("node"))
+    members = found.filter("large").select(F.col("a").alias("key"), F.col("b").alias("node"), "early")
     pairs = saved(found.filter("not large").select("a", "b").distinct(), "pairs")
     ends = lambda p: p.select(F.explode(F.array("a", "b")).alias("node"))
     nodes = saved(ends(pairs).union(members.select("node")).distinct(), "nodes")

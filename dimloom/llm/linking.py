@@ -8,12 +8,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import number_rows
 from .common import saved, small
 
 #: Groups of at most this many members are compared pair by pair at once.
 SMALL_GROUP = 5
-#: Times that each node is compared with one pivot before pairs of components are.
-STAR_ROUNDS = 3
+#: Times that each node is compared with the next ones in an order that puts like ones together, before pairs of components are.
+NEAR_ROUNDS, NEXT = 4, 2
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -61,28 +62,51 @@ def _merged(comp: DataFrame, found: DataFrame, name: str) -> DataFrame:
 
 
 def _open(members: DataFrame, comp: DataFrame, name: str) -> DataFrame:
-    """(key, node, component) of the groups whose members aren't one component."""
-    now = members.join(comp, "node")
+    """(key, node, early, component) of the groups whose members aren't one component."""
+    now = members.join(comp, "node").select("key", "node", "early", "component")
     ends = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("key")
-    return saved(now.join(ends, "key", "left_semi").select("key", "node", "component"), name)
+    return saved(now.join(ends, "key", "left_semi"), name)
+
+
+def _stars(now: DataFrame, name: str) -> DataFrame:
+    """Pairs (a, b) of each node and the pivot of those that took the same group (key, node, component)."""
+    one = saved(now.groupBy("node", "component").agg(F.min_by("key", F.xxhash64("key")).alias("key")), name)
+    pivots = saved(one.groupBy("key").agg(F.min_by(F.struct("node", "component"), "node").alias("p"), F.count("*").alias("n")).filter("n > 1"), name)
+    met = one.join(small(pivots.select("key", "p")), "key").filter("component != p.component")
+    return met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+
+
+def _neighbours(members: DataFrame, comp: DataFrame, turn: int, name: str) -> DataFrame:
+    """Pairs (a, b) of different components that stand next to each other by least hashes of their groups."""
+    marks = [f"m{i}" for i in range(3)]
+    hashes = [F.min(F.xxhash64("key", F.lit(3 * turn + i))).alias(m) for i, m in enumerate(marks)]
+    ordered = number_rows(members.groupBy("node").agg(*hashes), [*marks, "node"], "place").df
+    here = ordered.select("place", "node", "m0").join(comp, "node")
+    there = here.select(F.col("node").alias("next"), F.col("component").alias("its"), F.col("m0").alias("n0"), F.explode(F.array(*[F.col("place") - i for i in range(1, NEXT + 1)])).alias("place"))
+    met = here.join(there, "place").filter("component != its and m0 = n0")
+    return met.select(F.least("node", "next").alias("a"), F.greatest("node", "next").alias("b")).distinct()
 
 
 def _different(members: DataFrame, name: str) -> DataFrame:
-    """members without groups that repeat another group's nodes, as the windows of a family of near copies do."""
-    mark = F.xxhash64("node")
-    signs = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 8)).alias("s"))
+    """members without groups that repeat another group's nodes, as the windows of a family of near copies do, and without those that
+    have no early member."""
+    mark = F.xxhash64("node", "early")
+    signs = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(mark).alias("x"), F.sum(F.shiftright(mark, 8)).alias("s"), F.max("early").alias("e"))
+    signs = signs.filter("e = 1")
     keys = signs.groupBy("n", "x", "s").agg(F.min("key").alias("key")).select("key")
     return saved(members.join(small(saved(keys, name)), "key", "left_semi"), name)
 
 
 def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], name: str = "links", metric: Metric | None = None) -> tuple[DataFrame, DataFrame]:
-    """Components of the links that `verify` finds among nodes that share a group; members: a saved table (key, node).
+    """Components of the links that `verify` finds among nodes that share a group; members: a saved table (key, node), or
+    (key, node, early) where two nodes of a group needn't be compared in it unless early is 1 for one of them.
 
     verify: (a, b) pairs, a < b -> those that link. Returns ((node, component) of all member nodes, links checked to hold).
 
-    1. `STAR_ROUNDS` times each node is compared with one pivot: it takes, of its groups that aren't one component yet, that of least hash,
-       and those that took the same group have one pivot. Near copies share most of their groups, so they mostly take the same one, and a
-       family of n of them becomes one component by about n comparisons, in however many groups it stands.
+    1. Each node is compared with one pivot: it takes that of its groups which has the least hash, and those that took the same group
+       have one pivot. Near copies share most of their groups, so they mostly take the same one, and a family of n of them becomes
+       one component by about n comparisons, in however many groups it stands. For wider families `NEAR_ROUNDS` times all nodes are
+       sorted by three least hashes of their groups (others each time), and each is compared with the next `NEXT` ones.
     2. What is left are pairs of different components in a group. A node of the smaller one meets the other: if that is one node, the two
        are compared. A larger one has a pivot, its smallest node, and its members' distances from it; by the triangle inequality only members are
        compared whose distance is within the limit of the node's own. A lower bound of this parts most pairs of node and component
@@ -91,15 +115,10 @@ def link_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], na
 
     So two nodes of a group have been compared, are in one component anyway, or are too far apart by the triangle inequality."""
     comp = saved(members.select("node").distinct().withColumn("component", F.col("node")), name)
-    members = _different(members, name)
+    members = _different(members if "early" in members.columns else members.withColumn("early", F.lit(1).cast("long")), name)
     seen, links = None, None
-    for seed in range(STAR_ROUNDS):
-        now = _open(members, comp, name)
-        one = now.groupBy("node", "component").agg(F.min_by("key", F.xxhash64("key", F.lit(seed))).alias("key"))
-        one = saved(one, name)
-        pivots = saved(one.groupBy("key").agg(F.min_by(F.struct("node", "component"), "node").alias("p"), F.count("*").alias("n")).filter("n > 1"), name)
-        met = one.join(small(pivots.select("key", "p")), "key").filter("component != p.component")
-        pairs = met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")).distinct()
+    for turn in range(NEAR_ROUNDS + 1):
+        pairs = _neighbours(members, comp, turn, name) if turn else _stars(_open(members, comp, name), name)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = saved(pairs, name)
@@ -138,9 +157,9 @@ def _left_over(left: DataFrame, comp: DataFrame, seen: DataFrame | None, metric:
     """Pairs (a, b) of different components that share a group and may link."""
     sizes = saved(comp.groupBy("component").agg(F.count("*").alias("of")), name)
     sized = left.join(sizes, "component")
-    here = sized.select("key", F.col("component").alias("other"), F.col("of").alias("others")).distinct()
+    here = sized.groupBy("key", F.col("component").alias("other"), F.col("of").alias("others")).agg(F.max("early").alias("met"))
     first = F.struct("of", "component") < F.struct(F.col("others").alias("of"), F.col("other").alias("component"))
-    meets = saved(sized.join(here, "key").filter(first).select("node", "other", "others").distinct(), name)
+    meets = saved(sized.join(here, "key").filter(first).filter("early = 1 or met = 1").select("node", "other", "others").distinct(), name)
     pair = [F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")]
     alone = meets.filter("others = 1").select("node", F.col("other").alias("member"))
     many = meets.filter("others > 1").select("node", "other")
