@@ -7,7 +7,8 @@
 5. best_fit_packing: the rest is tokenized and packed.
 
 A row is its id with a hash of its text, so rows that share an id are told apart; equal rows are copies, of which one stays in stage 2.
-All stages but the last return the columns that they were given (n_chars follows the text).
+All stages but the last return the columns that they were given, whatever their names (n_chars, where there is one, follows the text);
+an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -32,40 +33,58 @@ def _row() -> Column:
     return F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"))
 
 
+def _named(docs: DataFrame) -> str:
+    """A name for rows that no column of docs has."""
+    name = "_row"
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _without(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """docs without the given rows (key): broadcast if they are few and small."""
+    name = _named(docs)
+    keyed, gone = docs.withColumn(name, _row()), small(rows).select(F.col(rows.columns[0]).alias(f"{name}gone"))
+    return keyed.join(gone, F.col(name).eqNullSafe(F.col(f"{name}gone")), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts go to Python once, and only the keys of rejected rows come back."""
     ship_package(spark)
-    judged = predict(docs, learn(docs), keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return judged.filter(~F.col("rejected")).select(*docs.columns)
+    judged = predict(docs.select(_row().alias("key"), "text"), learn(docs), id_col="key")
+    return _without(docs, saved(judged.filter("rejected").select("key").distinct(), "rejected"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    rows = similar_groups(docs.select(_row().alias("_row"), "text"), k=SHINGLE_WORDS, percent=SHINGLE_PERCENT, id_col="_row")
-    named = rows.filter("_row.id is not null")
-    goes = saved(named.filter("_row != component_id").select("_row").distinct(), "linked")
-    twice = saved(named.filter("_row = component_id").groupBy("_row").count().filter("count > 1").select("_row"), "equal-rows")
-    kept = docs.withColumn("_row", _row()).join(small(goes), "_row", "left_anti")
-    if not twice.isEmpty():  # equal rows: one of them stays
-        equal = kept.join(twice, "_row", "left_semi").dropDuplicates(["_row"])
-        kept = kept.join(twice, "_row", "left_anti").unionByName(equal)
-    return kept.select(*docs.columns)
+    rows = similar_groups(docs.select(_row().alias("key"), "text"), k=SHINGLE_WORDS, percent=SHINGLE_PERCENT, id_col="key")
+    known = rows.filter("key.id is not null")
+    goes = saved(known.filter("key != component_id").select("key").distinct(), "linked")
+    twice = saved(known.filter("key = component_id").groupBy("key").count().filter("count > 1").select("key"), "equal-rows")
+    kept = _without(docs, goes)
+    if twice.isEmpty():
+        return kept
+    # equal rows: one of them stays
+    name = _named(docs)
+    several = kept.withColumn(name, _row()).join(small(twice.select(F.col("key").alias(name))), name, "left_semi").dropDuplicates([name])
+    return _without(kept, twice).unionByName(several.drop(name))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    rest = F.struct(*[c for c in docs.columns if c != "text"])
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     cut = remove_repeats(docs.select(rest.alias("_rest"), "text"), id_col="_rest")
-    columns = {"text": F.col("kept_text"), "n_chars": F.length("kept_text").cast(docs.schema["n_chars"].dataType)}
+    columns = {"text": F.col("kept_text")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
     out = cut.filter("kept_text != ''")
     return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_rest.`{c}`") for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    found = found_items(docs.select(_row().alias("_row"), "text"), table(spark, sf_dir, "benchmark"), id_col="_row")
-    held = saved(found.select("_row").distinct(), "contaminated")
-    rows = docs.withColumn("_row", _row())
-    return rows.join(small(held), rows["_row"].eqNullSafe(held["_row"]), "left_anti").select(*docs.columns)
+    found = found_items(docs.select(_row().alias("key"), "text"), table(spark, sf_dir, "benchmark"), id_col="key")
+    return _without(docs, saved(found.select("key").distinct(), "contaminated"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
