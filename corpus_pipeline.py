@@ -72,13 +72,14 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    rest = F.struct(*[F.col(f"`{c}`").alias(place[c]) for c in docs.columns if c != "text"])
     cut = remove_repeats(docs.select(rest.alias("_rest"), "text"), id_col="_rest")
     columns = {"text": F.col("kept_text")}
     if "n_chars" in docs.columns:
         columns["n_chars"] = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
     out = cut.filter("kept_text != ''")
-    return out.select(*[columns[c].alias(c) if c in columns else F.col(f"_rest.`{c}`") for c in docs.columns])
+    return out.select(*[(columns[c] if c in columns else F.col(f"_rest.{place[c]}")).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
