@@ -118,7 +118,7 @@ _POWERS: list[np.ndarray] = []
 
 
 def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the polynomial's base and of its inverse, kept between calls up to a few million."""
+    """Powers of the polynomial's base and of its inverse, kept between calls up to two million."""
     if _POWERS and len(_POWERS[0]) >= n:
         return _POWERS
     made = []
@@ -126,7 +126,7 @@ def _powers(n: int) -> list[np.ndarray]:
         p = np.full(max(n, 1 << 18), base)
         p[0] = 1
         made.append(np.multiply.accumulate(p))
-    if n <= 1 << 22:
+    if n <= 1 << 21:
         _POWERS[:] = made
     return made
 
