@@ -241,8 +241,8 @@ def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
 
 
 def least_distance(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """pairs (a, b, ...) with least: a lower bound of their Jaccard distance, from sketches (node, n, bits)."""
-    given, pairs = pairs.schema, small(saved(pairs, "pairs"))
+    """Saved pairs (a, b, ...) with least: a lower bound of their Jaccard distance, from sketches (node, n, bits)."""
+    given, pairs = pairs.schema, small(pairs)
     for end, other in (("a", "_x"), ("b", "_y")):
         pairs = pairs.join(sketches.select(F.col("node").alias(end), F.col("n").alias(f"_n{other}"), F.col("bits").alias(other)), end)
 
@@ -265,7 +265,7 @@ def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """pairs (a, b, ...) with both and d: how many shingles their sets (node, members) share, and their Jaccard distance."""
+    """Saved pairs (a, b, ...) with both and d: how many shingles their sets (node, members) share, and their Jaccard distance."""
     given = pairs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,9 +282,9 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in given.names), *made], names=[*given.names, "both", "either", "d"])
 
     # pairs that can be broadcast spare the first shuffle of sets; of the others only those go that stand in a pair
-    pairs = saved(pairs, "pairs")
-    with_a = small(pairs).join(sets.select(F.col("node").alias("a"), F.col("members").alias("_x")), "a")
-    ends = small(saved(pairs.select("b").distinct(), "ends"))
+    pairs = small(pairs)
+    with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_x")), "a")
+    ends = small(pairs.select("b").distinct())
     others = sets.select(F.col("node").alias("b"), F.col("members").alias("_y")).join(ends, "b", "left_semi")
     whole = with_a.join(others, "b")
     more = [T.StructField("both", T.LongType()), T.StructField("either", T.LongType()), T.StructField("d", T.DoubleType())]

@@ -14,7 +14,7 @@ from .common import saved, small
 #: Groups of at most this many members are compared pair by pair at once.
 SMALL_GROUP = 5
 #: Times that each node is compared with the next ones in an order that puts like ones together, before pairs of components are.
-NEAR_ROUNDS, NEXT = 4, 2
+NEAR_ROUNDS, NEXT = 2, 3
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -41,7 +41,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 
 @dataclass(frozen=True)
 class Metric:
-    """Distances that triangles bound, and the largest one that links. Both functions take pairs (a, b) with any further columns.
+    """Distances that triangles bound, and the largest one that links. Both functions take saved pairs (a, b) with any further columns.
 
     exact: adds d, the distance. least: adds least, a lower bound of it that is cheap to have."""
 
@@ -168,14 +168,15 @@ def _left_over(left: DataFrame, comp: DataFrame, seen: DataFrame | None, metric:
         pairs = many.join(held, "other").select("node", "member")
     else:
         slack = metric.limit + 1e-9
-        within = held.join(many.select("other").distinct(), "other", "left_semi")
+        within = saved(held.join(many.select("other").distinct(), "other", "left_semi"), name)
         apart = metric.exact(within.filter("member != other").select(F.col("other").alias("a"), F.col("member").alias("b")))
         apart = apart.select(F.col("a").alias("other"), F.col("b").alias("member"), F.col("d").alias("own"))
         apart = saved(apart.union(within.select("other", F.col("other").alias("member"), F.lit(0.0).alias("own")).distinct()), name)
         reach = saved(apart.groupBy("other").agg(F.max("own").alias("reach")), name)
         ends = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-        near = metric.least(many.join(small(reach), "other").select(*ends, "node", "other", "reach")).filter(F.col("least") <= F.col("reach") + slack)
-        near = metric.exact(near.select("a", "b", "node", "other", "reach")).filter(F.col("d") <= F.col("reach") + slack)
+        near = saved(many.join(small(reach), "other").select(*ends, "node", "other", "reach"), name)
+        near = metric.least(near).filter(F.col("least") <= F.col("reach") + slack)
+        near = metric.exact(saved(near.select("a", "b", "node", "other", "reach"), name)).filter(F.col("d") <= F.col("reach") + slack)
         near = saved(near.select("node", "other", "d"), name)
         pairs = near.join(apart, "other").filter(F.abs(F.col("d") - F.col("own")) <= slack).select("node", "member")
     pairs = alone.union(pairs).select(*pair).distinct()
