@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix64, partitions, saved, shingle_hashes, small, table, text_bytes, word_hashes
+from .common import mix64, partitions, saved, shingle_hashes, slices, small, table, text_bytes, word_hashes
 from .linking import SMALL_GROUP, Metric, components, link_groups
 
 _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -115,7 +115,7 @@ def set_sizes(docs: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
                     held.add(node[-1])
                     group.append(s)
                     total += len(s)
-                    if total > 2_000_000:
+                    if total > 500_000:
                         count()
                         group, total = [], 0
             if group:
@@ -139,25 +139,30 @@ def _regions(docs: DataFrame, k: int, percent: int, last: np.ndarray, shingles=s
         place = np.argsort(share.value, kind="stable")
         known = share.value[place]
         for batch in batches:
-            held, keys, sizes, nodes, early = set(), [], [], [], []
-            for text in batch.column(0).to_pylist():
-                s = shingles(text, k)
-                n = len(s)
-                if not n or (node := _node(s)) in held:
-                    continue
-                held.add(node)
-                first = n * (100 - percent) // 100 + 1
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                    often = known[at] == s
-                    late = s[often][np.argsort(place[at[often]], kind="stable")]
-                    s = np.concatenate((s[~often], late))
-                keys.append(s[:first].view(np.int64))
-                sizes.append(np.full(first, n))
-                nodes.append(np.full(first, node))
-                early.append((np.arange(first) <= n + (-2 * percent * n) // (100 + percent)).astype(np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sizes, nodes, early)], names=["key", "n", "node", "early"])
+            held: set[int] = set()
+            for lo, hi in slices(batch, "text"):  # a few million characters at a time
+                yield from regions(batch.column(0).slice(lo, hi - lo).to_pylist(), held, place, known)
+
+    def regions(texts: list[str | None], held: set[int], place: np.ndarray, known: np.ndarray) -> Iterator[pa.RecordBatch]:
+        keys, sizes, nodes, early = [], [], [], []
+        for text in texts:
+            s = shingles(text, k)
+            n = len(s)
+            if not n or (node := _node(s)) in held:
+                continue
+            held.add(node)
+            first = n * (100 - percent) // 100 + 1
+            if len(known):
+                at = np.minimum(np.searchsorted(known, s), len(known) - 1)
+                often = known[at] == s
+                late = s[often][np.argsort(place[at[often]], kind="stable")]
+                s = np.concatenate((s[~often], late))
+            keys.append(s[:first].view(np.int64))
+            sizes.append(np.full(first, n))
+            nodes.append(np.full(first, node))
+            early.append((np.arange(first) <= n + (-2 * percent * n) // (100 + percent)).astype(np.int64))
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, sizes, nodes, early)], names=["key", "n", "node", "early"])
 
     return docs.select("text").mapInArrow(run, "key long, n long, node long, early long")
 
@@ -233,8 +238,8 @@ def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
     """(node, members) of (text) rows: whole sets as sorted packed hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [shingles(t, k) for t in batch.column(0).to_pylist()]
+        for batch, (lo, hi) in ((b, s) for b in batches for s in slices(b, "text")):
+            made = [shingles(t, k) for t in batch.column(0).slice(lo, hi - lo).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], names=["node", "members"])
 
     return texts.select("text").mapInArrow(run, "node long, members binary")

@@ -8,7 +8,7 @@ those of similarity 0.8 or more, and a component of links is a cluster: its firs
 place) stays, the others are removed.
 
 Defined results: null and empty texts have no paragraph; repeated rows repeat their paragraphs; paragraphs of rows with a null id
-are only matched by equal words; other columns are not read. Only paragraphs in clusters of two or more are returned.
+are only matched by equal words, and where no other row holds such a paragraph, the rows that hold it at its first place keep it; other columns are not read. Only paragraphs in clusters of two or more are returned.
 """
 
 from __future__ import annotations
@@ -94,12 +94,12 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(id, paragraph, n_words, first id, first paragraph, removed) of each paragraph that is in a cluster."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = saved(_paragraphs(rows), "paragraphs")
-    place = F.when(F.col("id").isNotNull(), F.struct("id", "paragraph"))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", "paragraph")  # rows without an id last
     units = found.groupBy("unit").agg(F.count("*").alias("k"), F.min(place).alias("first"))
     bands = found.select("unit", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.min("unit").alias("lo"), F.max("unit").alias("hi")).filter("lo != hi").select("key")
     members = saved(bands.join(shared, "key").select("key", F.col("unit").alias("node")).distinct(), "members")
-    wanted = units.join(members.select(F.col("node").alias("unit")).distinct(), "unit").filter("first is not null")
+    wanted = units.join(members.select(F.col("node").alias("unit")).distinct(), "unit").filter("not first.none")
     by_doc = saved(wanted.groupBy(F.col("first.id").alias("_at")).agg(F.collect_list("unit").alias("wanted")), "wanted")
     sets = saved(_sets(rows.join(small(by_doc, 200_000), F.col("id") == F.col("_at"))).dropDuplicates(["node"]), "paragraph-sets")
     metric = Metric(lambda p: distances(p, sets), lambda p: p.withColumn("least", F.lit(0.0)), 1 - percent / 100)
@@ -108,7 +108,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     clusters = at.groupBy("component").agg(F.sum("k").alias("k"), F.min("first").alias("kept")).filter("k > 1")
     named = at.select("unit", "component").join(clusters.select("component", "kept"), "component").select("unit", "kept")
     out = found.select("id", "paragraph", "n_words", "unit").join(named, "unit")
-    stays = F.coalesce((F.col("id") == F.col("kept.id")) & (F.col("paragraph") == F.col("kept.paragraph")), F.lit(False))
+    stays = F.col("id").eqNullSafe(F.col("kept.id")) & (F.col("paragraph") == F.col("kept.paragraph"))
     return out.select(F.col("id").alias(id_col), "paragraph", "n_words", F.col("kept.id").alias(f"first_{id_col}"), F.col("kept.paragraph").alias("first_paragraph"), (~stays).alias("removed"))
 
 

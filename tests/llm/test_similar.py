@@ -135,3 +135,11 @@ def test_decontamination_equals_brute_force(spark, make, words):
         assert got == want and len(want) == 5
     assert decontaminate.found_items(make([]), bench).collect() == []
     assert decontaminate.found_items(make(docs), bench.filter(F.lit(False))).collect() == []
+
+
+def test_paragraphs_of_rows_without_an_id_stay_once_at_least(make, words):
+    text = " ".join(words(40, 7))
+    got = {(r.doc_id, r.paragraph): r.removed for r in paragraphs.repeated_paragraphs(make([(None, text), (None, "x\n" + text)])).collect()}
+    assert got == {(None, 0): False, (None, 1): True}
+    got = {(r.doc_id, r.paragraph): r.removed for r in paragraphs.repeated_paragraphs(make([(None, text), (3, "x\n" + text)])).collect()}
+    assert got == {(None, 0): True, (3, 1): False}
