@@ -65,6 +65,12 @@ def shingle_set(text: str | None, k: int, lower: bytes = _LOWER, space: np.ndarr
     return np.unique(shingle_hashes(words, k))
 
 
+def as_lists(sets: list[np.ndarray]) -> pa.ListArray:
+    """One list of signed numbers for each set of hashes."""
+    ends = np.cumsum([0, *map(len, sets)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)))
+
+
 def _node(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -235,14 +241,14 @@ def _candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _sets(texts: DataFrame, k: int, shingles=shingle_set) -> DataFrame:
-    """(node, members) of (text) rows: whole sets as sorted packed hashes."""
+    """(node, members) of (text) rows: whole sets of hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, (lo, hi) in ((b, s) for b in batches for s in slices(b, "text")):
             made = [shingles(t, k) for t in batch.column(0).slice(lo, hi - lo).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], names=["node", "members"])
+            yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in made], pa.int64()), as_lists(made)], names=["node", "members"])
 
-    return texts.select("text").mapInArrow(run, "node long, members binary")
+    return texts.select("text").mapInArrow(run, "node long, members array<long>")
 
 
 def least_distance(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -270,30 +276,19 @@ def bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Saved pairs (a, b, ...) with both and d: how many shingles their sets (node, members) share, and their Jaccard distance."""
-    given = pairs.schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both, either = [], []
-            for x, y in zip(batch.column("_x"), batch.column("_y"), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                x, y = (x, y) if len(x) >= len(y) else (y, x)
-                shared = int((x[np.minimum(np.searchsorted(x, y), len(x) - 1)] == y).sum()) if len(y) else 0
-                both.append(shared)
-                either.append(len(x) + len(y) - shared)
-            b, e = np.array(both, np.int64), np.array(either, np.int64)
-            made = [pa.array(b), pa.array(e), pa.array(1 - b / np.maximum(e, 1))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in given.names), *made], names=[*given.names, "both", "either", "d"])
+    """Saved pairs (a, b, ...) with both and d: how many shingles their sets (node, members) share, and their Jaccard distance.
 
+    Whole sets are met a row at a time in the JVM; batches of them for Python would have no bound in bytes."""
+    given = pairs.columns
     # pairs that can be broadcast spare the first shuffle of sets; of the others only those go that stand in a pair
     pairs = small(pairs)
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("_x")), "a")
     ends = small(pairs.select("b").distinct())
     others = sets.select(F.col("node").alias("b"), F.col("members").alias("_y")).join(ends, "b", "left_semi")
-    whole = with_a.join(others, "b")
-    more = [T.StructField("both", T.LongType()), T.StructField("either", T.LongType()), T.StructField("d", T.DoubleType())]
-    return whole.select(*given.names, "_x", "_y").mapInArrow(run, T.StructType([*given.fields, *more]))
+    both = F.size(F.array_intersect("_x", "_y")).cast("long")
+    met = with_a.join(others, "b").select(*given, both.alias("both"), (F.size("_x") + F.size("_y")).cast("long").alias("n"))
+    either = F.col("n") - F.col("both")
+    return met.select(*given, "both", either.alias("either"), (1 - F.col("both") / F.greatest(either, F.lit(1))).alias("d"))
 
 
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

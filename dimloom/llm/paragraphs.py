@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix64, saved, shingle_hashes, small, table, word_hashes
-from .jaccard_join import distances, linked
+from .jaccard_join import as_lists, distances, linked
 from .linking import Metric, link_groups
 
 MIN_WORDS = 30
@@ -84,10 +84,10 @@ def _sets(rows: DataFrame) -> DataFrame:
                     if unit in wanted:
                         wanted.discard(unit)
                         nodes.append(unit)
-                        sets.append(np.unique(s).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "members"])
+                        sets.append(np.unique(s))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), as_lists(sets)], names=["node", "members"])
 
-    return rows.select("text", "wanted").mapInArrow(run, "node long, members binary")
+    return rows.select("text", "wanted").mapInArrow(run, "node long, members array<long>")
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
