@@ -5,23 +5,25 @@ Every byte covered by a string of `length` bytes that also starts anywhere else
 1. Anchors. In each window of `length` bytes the 100-byte piece of least hash is its anchor (one piece in about 150 is one). Equal
    windows have equal anchors, so a repeat can only be where an anchor comes back. Equal texts are one text from here on:
    all of a text that has copies is covered by its copies.
-2. Regions. The windows that share one anchor are one stretch of at most 2 * length - 100 bytes, its region. Regions of one anchor
-   hash are sent to one task; a task sorts the suffixes of the different regions of several anchors by the two-stage
-   method (``suffix_sort``), and adjacent common prefixes of `length` or more mark repeated windows.
-3. Anchors in more than `HOT` different texts (a line or passage that very many documents share) aren't sent to one task.
+2. Regions. The windows that share one anchor are one stretch of at most 2 * length - 100 bytes, its region. First only 128-bit
+   digests of regions are compared: a region that stands in several places repeats as a whole, and its bytes stay where they are.
+   Of an anchor with several different regions each one goes, from one of its places, to the anchor's task; a task sorts the
+   suffixes of the regions of several anchors by the two-stage method (``suffix_sort``), and adjacent common prefixes of
+   `length` or more mark repeated windows. So near copies send little but the regions that their edits touch.
+3. Anchors with more than `HOT` different regions (a line or passage that very many documents share) aren't sent to one task.
    Their windows are dealt by content: classes of `CLASS` neighbouring windows by a hash of the bytes all of them hold,
-   classes that aren't alike in all texts by a hash of each window. This is exact up to equal 64-bit hashes.
-4. Marks meet their texts again, and the rest of each text is kept.
+   classes that aren't alike in all texts by a hash of each window. This is exact up to equal 64-bit hashes (of n windows of hot
+   anchors about n * n / 2**65 pairs are equal by chance).
+4. Marks meet their texts again in one shuffle of the texts, and the rest of each text is kept.
 
-Shuffled are anchors (about 1/6 of the corpus in bytes), regions of repeated anchors and marks; texts move only if marks are too many to
-broadcast by count. Defined results: null is empty; texts shorter than `length` lose nothing; repeated rows are copies
-of one another; ids may be null or repeated; other columns are not read.
+Shuffled are digests of anchors' regions, one region for each digest of a repeated anchor, marks, and each text once; twice where the
+places of step 2 are too many to broadcast by count. Defined results: null is empty; texts shorter than `length` lose nothing; repeated
+rows are copies of one another; ids may be null or repeated; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,29 +89,37 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("unit"), F.octet_length(text).cast("long").alias("n_bytes"))
 
 
+_ANCHOR = "unit long, n_bytes long, anchor long, place long, start long, end long, d1 long, d2 long"
+
+
 def _anchor_rows(texts: DataFrame, length: int) -> DataFrame:
+    """Each anchor of each text, where its region starts and ends, and the region's digest."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held, rows, hashes, places = set(), [], [], []
+            held, rows, found, digests = set(), [], [], []
             for i, (t, u, n) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True)):
                 if (u, n) not in held:
                     held.add((u, n))
-                    h, p, _, _ = anchors(text_bytes(t), length)
+                    raw = text_bytes(t)
+                    h, p, first, last = anchors(raw, length)
                     rows.append(np.full(len(h), i))
-                    hashes.append(h)
-                    places.append(p)
+                    found.append((h, p, first, last + length))
+                    digests += [hashlib.blake2b(raw[a:b], digest_size=16).digest() for a, b in zip(first.tolist(), (last + length).tolist(), strict=True)]
             if rows:
                 take = pa.array(np.concatenate(rows))
-                yield pa.RecordBatch.from_arrays([batch.column(1).take(take), batch.column(2).take(take), pa.array(np.concatenate(hashes)), pa.array(np.concatenate(places))], names=["unit", "n_bytes", "anchor", "place"])
+                d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                columns = [np.concatenate(c) for c in zip(*found, strict=True)] + [d[:, 0].copy(), d[:, 1].copy()]
+                yield pa.RecordBatch.from_arrays([batch.column(1).take(take), batch.column(2).take(take), *map(pa.array, columns)], names=[f.split()[0] for f in _ANCHOR.split(", ")])
 
-    return texts.filter(F.col("n_bytes") >= length).select("text", "unit", "n_bytes").mapInArrow(run, "unit long, n_bytes long, anchor long, place long")
+    return texts.filter(F.col("n_bytes") >= length).select("text", "unit", "n_bytes").mapInArrow(run, _ANCHOR)
 
 
-_REGION = "anchor long, unit long, n_bytes long, first long, offset long, digest long, region binary, cores array<long>, alike array<long>, windows array<long>"
+_REGION = "anchor long, unit long, n_bytes long, first long, offset long, region binary, cores array<long>, alike array<long>, windows array<long>"
 
 
 def _regions(wanted: DataFrame, length: int) -> DataFrame:
-    """One row for each repeated anchor of each text (text, unit, n_bytes, places, hot places): its region, or hashes if it is hot.
+    """One row for each given anchor of each text (text, unit, n_bytes, places, hot places): its region, or hashes if it is hot.
 
     first: the region's first window; offset: bytes from it to the anchor. For hot anchors: hashes of its windows; and by class
     (of windows by their distance to the anchor) of the bytes common to them and of all of them."""
@@ -124,7 +134,6 @@ def _regions(wanted: DataFrame, length: int) -> DataFrame:
                 hot = set(hot or ())
                 for h, p, a, b in zip(*(x[here].tolist() for x in (hashes, at, first, last)), strict=True):
                     part = raw[a : b + length]
-                    digest = int.from_bytes(hashlib.blake2b(part, digest_size=8).digest(), "little", signed=True)
                     if p in hot:
                         windows = _piece_hashes(np.frombuffer(part, np.uint8), length).view(np.int64)
                         cores, alike = [], []
@@ -134,11 +143,11 @@ def _regions(wanted: DataFrame, length: int) -> DataFrame:
                             held = raw[max(low, a) : min(high, b) + length] + b"%d %d" % (max(low, a) - low, high - min(high, b))
                             cores.append(int.from_bytes(hashlib.blake2b(core, digest_size=8, key=b"%d" % h).digest(), "little", signed=True))
                             alike.append(int.from_bytes(hashlib.blake2b(held, digest_size=8).digest(), "little", signed=True))
-                        out.append((h, unit, n, a, p - a, digest, None, cores, alike, windows.tolist()))
+                        out.append((h, unit, n, a, p - a, None, cores, alike, windows.tolist()))
                     else:
-                        out.append((h, unit, n, a, p - a, digest, part, None, None, None))
+                        out.append((h, unit, n, a, p - a, part, None, None, None))
             if out:
-                kinds = [pa.int64()] * 6 + [pa.binary()] + [pa.list_(pa.int64())] * 3
+                kinds = [pa.int64()] * 5 + [pa.binary()] + [pa.list_(pa.int64())] * 3
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=[f.split()[0] for f in _REGION.split(", ")])
 
     return wanted.select("text", "unit", "n_bytes", "places", "hot").mapInArrow(run, _REGION)
@@ -146,46 +155,29 @@ def _regions(wanted: DataFrame, length: int) -> DataFrame:
 
 def _sorted_marks(regions: DataFrame, length: int) -> DataFrame:
     """(unit, n_bytes, start, end) of repeated stretches, by sorting suffixes of all different regions of an anchor together."""
-    rows = regions.filter("region is not null").select("anchor", "digest", "unit", "n_bytes", "first", "region")
-    rows = rows.repartition(partitions(rows), "anchor").sortWithinPartitions("anchor", "digest")
+    rows = regions.filter("region is not null").select("anchor", "unit", "n_bytes", "first", "region")
+    rows = rows.repartition(partitions(rows), "anchor").sortWithinPartitions("anchor")
 
-    def block(groups: list[tuple[int, bytes, list[tuple[int, int, int]]]]) -> list[tuple[int, int, int, int]]:
+    def block(held: list[tuple[int, int, int, bytes]]) -> Iterator[pa.RecordBatch]:
         out = []
-        regions_of = Counter(g[0] for g in groups)
-        several = [g for g in groups if regions_of[g[0]] > 1]
-        found = dict(zip(map(id, several), repeated_starts([g[1] for g in several], length), strict=True))
-        for g in groups:
-            _, region, places = g
-            if len(places) > 1:  # the same region elsewhere: all its windows repeat
-                out += [(u, n, f, f + len(region)) for u, n, f in places]
-            else:
-                starts = found.get(id(g), np.empty(0, np.int64))
-                if len(starts):
-                    cut = np.flatnonzero(np.diff(starts) > 1)
-                    u, n, f = places[0]
-                    out += [(u, n, f + a, f + b + length) for a, b in zip(starts[np.append(0, cut + 1)].tolist(), starts[np.append(cut, len(starts) - 1)].tolist(), strict=True)]
-        return out
+        for (u, n, f, _), starts in zip(held, repeated_starts([h[3] for h in held], length), strict=True):
+            if len(starts):
+                cut = np.flatnonzero(np.diff(starts) > 1)
+                out += [(u, n, f + a, f + b + length) for a, b in zip(starts[np.append(0, cut + 1)].tolist(), starts[np.append(cut, len(starts) - 1)].tolist(), strict=True)]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=["unit", "n_bytes", "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def give(rows: list) -> Iterator[pa.RecordBatch]:
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], names=["unit", "n_bytes", "start", "end"])
-
-        anchor, digest, groups, total, own = None, None, [], 0, 0
+        anchor, held, total = None, [], 0
         for batch in batches:
-            for a, d, u, n, f, r in zip(*(batch.column(c).to_pylist() for c in range(6)), strict=True):
-                if a != anchor:
-                    if total > BLOCK:
-                        yield from give(block(groups))
-                        groups, total = [], 0
-                    anchor, digest = a, None
-                if d == digest:
-                    groups[-1][2].append((u, n, f))
-                else:
-                    groups.append((a, r, [(u, n, f)]))
-                    total += len(r)
-                    digest = d
-        yield from give(block(groups))
+            for a, u, n, f, r in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
+                if a != anchor and total > BLOCK:
+                    yield from block(held)
+                    held, total = [], 0
+                anchor = a
+                held.append((u, n, f, r))
+                total += len(r)
+        yield from block(held)
 
     return rows.mapInArrow(run, "unit long, n_bytes long, start long, end long")
 
@@ -214,16 +206,20 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     texts = _texts(docs, id_col, text_col)
     rows = saved(_anchor_rows(texts, length), "anchors")
     copies = texts.filter(F.col("n_bytes") >= length).groupBy("unit", "n_bytes").agg(F.count("*").alias("k")).filter("k > 1")
-    place = F.xxhash64("unit", "n_bytes", "place")
-    often = rows.groupBy("anchor").agg(F.min(place).alias("lo"), F.max(place).alias("hi"), F.approx_count_distinct("unit", 0.1).alias("k")).filter("lo != hi")
-    back = rows.join(often.select("anchor", (F.col("k") > HOT).alias("hot")), "anchor")
-    asked = back.groupBy("unit", "n_bytes").agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("hot"), F.col("place"))).alias("hot"))
-    asked = saved(asked, "repeated-anchors")
+    place, region = F.xxhash64("unit", "n_bytes", "place"), ["anchor", "d1", "d2"]
+    kinds = saved(rows.groupBy(*region).agg(F.min(place).alias("lo"), F.max(place).alias("hi")), "kinds-of-region")
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("k")).filter("k > 1")
+    kinds = kinds.join(several, "anchor", "left").filter("lo != hi or k is not null")
+    met = saved(rows.join(kinds, region).filter((F.col("lo") != F.col("hi")) | (place == F.col("lo"))), "repeated-anchors")
+    whole = met.filter("lo != hi").select("unit", "n_bytes", "start", "end")
+    asked = met.filter(F.col("k").isNotNull() & (place == F.col("lo"))).groupBy("unit", "n_bytes")
+    asked = saved(asked.agg(F.collect_set("place").alias("places"), F.collect_set(F.when(F.col("k") > HOT, F.col("place"))).alias("hot")), "asked")
     once = texts.join(small(asked, 200_000), ["unit", "n_bytes"])
     regions = saved(_regions(once, length).dropDuplicates(["unit", "n_bytes", "first", "anchor"]), "regions")
-    marks = _sorted_marks(regions, length).union(_hot_marks(regions, length)).union(copies.select("unit", "n_bytes", F.lit(0).cast("long"), "n_bytes"))
+    marks = whole.union(_sorted_marks(regions, length)).union(_hot_marks(regions, length)).union(copies.select("unit", "n_bytes", F.lit(0).cast("long"), "n_bytes"))
     spans = saved(marks.groupBy("unit", "n_bytes").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "spans")
-    return texts.join(small(spans, 200_000), ["unit", "n_bytes"], "left").select("id", "text", "n_bytes", "spans")
+    # one plan at every size: the marks of a corpus outgrow a broadcast long before its texts
+    return texts.join(spans.hint("merge"), ["unit", "n_bytes"], "left").select("id", "text", "n_bytes", "spans")
 
 
 def merged(spans: list | None) -> list[tuple[int, int]]:

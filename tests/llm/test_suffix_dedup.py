@@ -56,13 +56,33 @@ def rows(words):
     return out
 
 
-@pytest.mark.parametrize("hot", [512, 2])
+@pytest.mark.parametrize("hot", [512, 1])
 def test_equals_brute_force(make, rows, monkeypatch, hot):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
     got = suffix_dedup.remove_repeats(make(rows)).drop("kept_text").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows, suffix_dedup.LENGTH)
 
 
+def test_only_different_regions_are_sorted(make, words, monkeypatch):
+    """Near copies: what the edit doesn't touch repeats by digest, and only regions around the edit go to a sort."""
+    body = words(3000, 11)
+    near = [(i, " ".join([*body[: 1500 + i], f"edit{i}", *body[1500 + i :]])) for i in range(6)]
+    given = []
+    sort = suffix_dedup._sorted_marks
+    monkeypatch.setattr(suffix_dedup, "_sorted_marks", lambda regions, length: (given.append(regions.count()), sort(regions, length))[1])
+    got = suffix_dedup.remove_repeats(make(near)).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == brute(near, suffix_dedup.LENGTH)
+    anchors = sum(len(suffix_dedup.anchors(t.encode())[0]) for _, t in near)
+    assert given[0] < anchors / 4
+
+
+def test_one_text_that_repeats_a_phrase(make, words):
+    """The places are many, the regions few."""
+    rows = [(1, " ".join(words(120, 12)) * 40), (2, " ".join(words(90, 13)))]
+    got = suffix_dedup.remove_repeats(make(rows)).drop("kept_text").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, suffix_dedup.LENGTH)
+
+
 def test_empty_table(make):
     assert suffix_dedup.remove_repeats(make([])).collect() == []
 
