@@ -150,6 +150,14 @@ def word_hashes(data: np.ndarray, is_space: np.ndarray) -> tuple[np.ndarray, np.
     return mix64(h + (last - first).astype(np.uint64) * _M2), first, last
 
 
+def run_hashes(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """64-bit hashes of the runs of `size` words at the given starts, from prefix sums over the whole sequence."""
+    power, back = _powers(len(words) + 1)
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * power[: len(words)], out=total[1:])
+    return mix64((total[starts + size] - total[starts]) * back[starts] + np.full(len(starts), size, np.uint64) * _M2)
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """64-bit hashes of the k-word shingles of a word-hash sequence; a shorter sequence is one shingle, an empty one none."""
     n = len(words)

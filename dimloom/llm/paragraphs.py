@@ -10,7 +10,7 @@ Words are lower-cased runs of letters and digits, shingles are five words. Three
   RUN + GAP - 1 = 41 words or more that stands twice has one in common at least; of a longer one up to GAP - 1 words at each end may stay.
 
 Paragraphs of equal words are one class from the start; short runs meet in no other way. Bands of `ROWS` MinHash values of lines and of long runs are
-tuned for recall: at a Jaccard similarity of 0.8 a pair shares one of `BANDS` bands with probability 1 - (1 - 0.8**2)**6 > 0.997. Classes
+tuned for recall: at a Jaccard similarity of 0.8 a pair shares one of `BANDS` bands with probability 1 - (1 - 0.8**3)**8 > 0.996. Classes
 that share a band are compared on whole shingle sets (``link_groups``), links are those of similarity 0.8 or more, and a component of links
 is a cluster: its first paragraph (by document id, then place) stays, the others are removed.
 
@@ -35,15 +35,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import mix64, saved, shingle_hashes, small, table, word_hashes
+from .common import mix64, run_hashes, saved, shingle_hashes, small, table, word_hashes
 from .jaccard_join import as_lists, distances, linked
 from .linking import Metric, link_groups
 
 MIN_WORDS = 30
 RUN, GAP = 30, 12
-LONG, APART = 60, 12
+LONG, APART = 60, 20
 WORDS = 5
-BANDS, ROWS = 6, 2
+BANDS, ROWS = 8, 3
 PERCENT = 80
 _PIECE = 1 << 20
 _SEPARATES = np.array([not (c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122) for c in range(256)])
@@ -111,14 +111,6 @@ def long_starts(s: np.ndarray, n: int) -> np.ndarray:
     return np.flatnonzero(around.argmin(axis=1) == APART)
 
 
-def run_units(words: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """A number for the words of each run."""
-    out = np.full(len(starts), np.uint64(size))
-    for j in range(size):
-        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + words[starts + j])
-    return out.view(np.int64)
-
-
 def near_units(words: np.ndarray, lines: np.ndarray, s: np.ndarray) -> Iterator[tuple[int, int, int, bool]]:
     """(first word, words, unit, is a long run) of the paragraphs of a text that are banded."""
     first = np.flatnonzero(np.diff(lines, prepend=-1))
@@ -126,7 +118,7 @@ def near_units(words: np.ndarray, lines: np.ndarray, s: np.ndarray) -> Iterator[
         if n >= MIN_WORDS:
             yield at, n, int.from_bytes(hashlib.blake2b(words[at : at + n].tobytes(), digest_size=8).digest(), "little", signed=True), False
     starts = long_starts(s, len(words))
-    for at, unit in zip(starts.tolist(), run_units(words, starts, LONG).tolist(), strict=True):
+    for at, unit in zip(starts.tolist(), run_hashes(words, starts, LONG).view(np.int64).tolist(), strict=True):
         yield at, LONG, unit, True
 
 
@@ -134,33 +126,44 @@ def _passages(rows: DataFrame) -> DataFrame:
     """(id, h, place, n, unit, bands) of every paragraph of rows (id, h, text); no bands for short runs."""
     kind = rows.schema["id"].dataType.simpleString()
 
-    def give(batch: pa.RecordBatch, row: int, place, n, unit, bands: np.ndarray | None) -> pa.RecordBatch:
-        head = [batch.column(i).take(pa.array(np.full(len(place), row))) for i in (0, 1)]
-        none = pa.array([None] * len(place), pa.list_(pa.int64())) if bands is None else pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.ravel()))
+    def give(batch: pa.RecordBatch, row, place, n, unit, bands: np.ndarray | None) -> pa.RecordBatch:
+        head = [batch.column(i).take(pa.array(row, pa.int64())) for i in (0, 1)]
+        none = pa.nulls(len(row), pa.list_(pa.int64())) if bands is None else pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.ravel()))
         return pa.RecordBatch.from_arrays([*head, pa.array(place, pa.int32()), pa.array(n, pa.int32()), pa.array(unit, pa.int64()), none], names=["id", "h", "place", "n", "unit", "bands"])
 
+    def short(batch: pa.RecordBatch, parts: list[tuple]) -> pa.RecordBatch:
+        row, place, unit = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return give(batch, row, place, np.full(len(row), RUN), unit.view(np.int64), None)
+
+    def banded(batch: pa.RecordBatch, near: list[tuple], shingles: list[np.ndarray]) -> pa.RecordBatch:
+        row, place, n, unit, long = zip(*near, strict=True)
+        # lines meet lines and long runs long runs
+        return give(batch, row, place, n, unit, band_keys(shingles) ^ np.array(long, np.int64)[:, None])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made, total = [], 0
+            parts, near, shingles, total = [], [], [], 0
             for row in range(batch.num_rows):
                 words, lines = words_and_lines(batch.column(2)[row].as_py())
                 if len(words) < MIN_WORDS:
                     continue
                 s = shingle_hashes(words, WORDS)
                 starts = short_starts(s, len(words))
-                made.append(give(batch, row, starts, np.full(len(starts), RUN), run_units(words, starts, RUN), None))
-                near = list(near_units(words, lines, s))
-                for at in range(0, len(near), 2000):
-                    place, n, unit, long = zip(*near[at : at + 2000], strict=True)
-                    # lines meet lines and long runs long runs
-                    bands = band_keys([s[p : p + k - WORDS + 1] for p, k in zip(place, n, strict=True)]) ^ np.array(long, np.int64)[:, None]
-                    made.append(give(batch, row, place, n, unit, bands))
+                parts.append((np.full(len(starts), row), starts, run_hashes(words, starts, RUN)))
+                for at, n, unit, long in near_units(words, lines, s):
+                    near.append((row, at, n, unit, long))
+                    shingles.append(s[at : at + n - WORDS + 1])
+                    if len(near) == 4000:
+                        yield banded(batch, near, shingles)
+                        near, shingles = [], []
                 total += len(words)
                 if total > 100_000:
-                    yield from pa.Table.from_batches(made).combine_chunks().to_batches()
-                    made, total = [], 0
-            if made:
-                yield from pa.Table.from_batches(made).combine_chunks().to_batches()
+                    yield short(batch, parts)
+                    parts, total = [], 0
+            if parts:
+                yield short(batch, parts)
+            if near:
+                yield banded(batch, near, shingles)
 
     return rows.select("id", "h", "text").mapInArrow(run, f"id {kind}, h long, place int, n int, unit long, bands array<long>")
 
