@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import mix64, run_hashes, saved, shingle_hashes, small, table, word_hashes
-from .jaccard_join import as_lists, distances, linked
+from .jaccard_join import as_lists, bounded, distances, least_distance, linked, sketch
 from .linking import Metric, link_groups
 
 MIN_WORDS = 30
@@ -224,7 +224,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _passage_sets(rows: DataFrame) -> DataFrame:
-    """(node, members) of the wanted banded paragraphs of rows (text, wanted)."""
+    """(node, n, bits, members) of the wanted banded paragraphs of rows (text, wanted): size, sketch and whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,9 +237,10 @@ def _passage_sets(rows: DataFrame) -> DataFrame:
                         wanted.discard(unit)
                         nodes.append(unit)
                         sets.append(np.unique(s[at : at + n - WORDS + 1]))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), as_lists(sets)], names=["node", "members"])
+            sizes, bits = pa.array([len(x) for x in sets], pa.int64()), pa.array([sketch(x) for x in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), sizes, bits, as_lists(sets)], names=["node", "n", "bits", "members"])
 
-    return rows.select("text", "wanted").mapInArrow(run, "node long, members array<long>")
+    return rows.select("text", "wanted").mapInArrow(run, "node long, n long, bits binary, members array<long>")
 
 
 def _near_classes(rows: DataFrame, found: DataFrame, percent: int) -> DataFrame:
@@ -251,9 +252,11 @@ def _near_classes(rows: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     first = found.filter("bands is not null").select("unit", "id", "h").join(asked, "unit").groupBy("unit").agg(F.min(F.struct("h", "id")).alias("at"))
     by_row = saved(first.groupBy(F.col("at.h").alias("_h"), F.col("at.id").alias("_id")).agg(F.collect_list("unit").alias("wanted")), "wanted")
     texts = rows.join(small(by_row, 200_000), (F.col("h") == F.col("_h")) & F.col("id").eqNullSafe(F.col("_id")))
-    sets = saved(_passage_sets(texts).dropDuplicates(["node"]), "paragraph-sets")
-    metric = Metric(lambda p: distances(p, sets), lambda p: p.withColumn("least", F.lit(0.0)), 1 - percent / 100)
-    comp, _ = link_groups(members, lambda pairs: linked(pairs, sets, percent), metric=metric)
+    made = saved(_passage_sets(texts).dropDuplicates(["node"]), "paragraph-sets")
+    sets, sketches = made.select("node", "members"), made.select("node", "n", "bits")
+    # sketches are a quarter of the sets and leave few pairs that don't link
+    metric = Metric(lambda p: distances(p, sets), lambda p: least_distance(p, sketches), 1 - percent / 100)
+    comp, _ = link_groups(members, lambda pairs: linked(bounded(pairs, sketches, percent), sets, percent), metric=metric)
     several = comp.groupBy("component").count().filter("count > 1").select("component")
     return comp.join(several, "component").select(F.col("node").alias("unit"), "component")
 
@@ -291,12 +294,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     near = saved(_near_classes(rows, found, percent), "near-classes")
     twice = found.groupBy("unit").count().filter("count > 1").select("unit")
     named = saved(twice.join(near, "unit", "full").select("unit", F.coalesce("component", "unit").alias("component")), "classes")
-    marks = saved(found.select("id", "h", "place", "n", "unit").join(small(named, 2_000_000), "unit").drop("unit"), "marks")
+    marks = saved(found.select("id", "h", "place", "n", "unit").join(small(named), "unit").drop("unit"), "marks")
     place = F.struct(F.col("id").isNull().alias("none"), "id", "h", "place")  # rows without an id last
     kept = marks.groupBy("component").agg(F.min(place).alias("kept"), F.count("*").alias("k")).filter("k > 1").select("component", "kept")
     own = (F.col("h") == F.col("kept.h")) & F.col("id").eqNullSafe(F.col("kept.id"))
     one = F.struct("place", "n", "component", F.col("kept.id").alias("first"), own.alias("own"), F.col("kept.place").alias("kept"))
-    of_row = marks.join(small(saved(kept, "kept"), 1_000_000), "component").groupBy("id", "h").agg(F.collect_set(one).alias("paragraphs"))
+    of_row = marks.join(small(saved(kept, "kept")), "component").groupBy("id", "h").agg(F.collect_set(one).alias("paragraphs"))
     equal = small(saved(rows.groupBy("id", "h").count().filter("count > 1").select(F.col("id").alias("_id"), F.col("h").alias("_h"), F.col("count").alias("rows")), "equal-rows"))
     of_row = of_row.join(equal, (F.col("h") == F.col("_h")) & F.col("id").eqNullSafe(F.col("_id")), "left").select("id", "paragraphs", F.coalesce("rows", F.lit(1)).alias("rows"))
 
