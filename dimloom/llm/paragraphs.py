@@ -137,8 +137,8 @@ def _passages(rows: DataFrame) -> DataFrame:
 
     def banded(batch: pa.RecordBatch, near: list[tuple], shingles: list[np.ndarray]) -> pa.RecordBatch:
         row, place, n, unit, long = zip(*near, strict=True)
-        # lines meet lines and long runs long runs
-        return give(batch, row, place, n, unit, band_keys(shingles) ^ np.array(long, np.int64)[:, None])
+        # lines meet lines (even keys) and long runs long runs (odd ones)
+        return give(batch, row, place, n, unit, (band_keys(shingles) & ~np.int64(1)) | np.array(long, np.int64)[:, None])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,8 +245,12 @@ def _passage_sets(rows: DataFrame) -> DataFrame:
 
 def _near_classes(rows: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """(unit, component) of the banded units that link with another one."""
-    bands = found.filter("bands is not null").select("unit", F.explode("bands").alias("key"))
-    shared = saved(bands.groupBy("key").agg(F.min("unit").alias("lo"), F.max("unit").alias("hi")).filter("lo != hi").select("key"), "shared-bands")
+    # a long run's text (40 bits) and place: runs that overlap in one text look alike but are no copies, and a key of such runs only is none
+    spot = F.col("h").bitwiseAND(F.lit(~0xFFFFFF)).bitwiseOR(F.least("place", F.lit(0xFFFFFF)).cast("long"))
+    bands = found.filter("bands is not null").select("unit", spot.alias("spot"), F.explode("bands").alias("key"))
+    shared = bands.groupBy("key").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("unit", "spot") for f in (F.min, F.max)])
+    apart = F.expr("key & 1 = 0 or shiftright(min_spot, 24) != shiftright(max_spot, 24)") | (F.col("max_spot") - F.col("min_spot") >= LONG) | (F.col("max_spot").bitwiseAND(F.lit(0xFFFFFF)) == 0xFFFFFF)
+    shared = saved(shared.filter("min_unit != max_unit").filter(apart).select("key"), "shared-bands")
     members = saved(bands.join(small(shared), "key").select("key", F.col("unit").alias("node")).distinct(), "members")
     asked = small(saved(members.select(F.col("node").alias("unit")).distinct(), "asked"))
     first = found.filter("bands is not null").select("unit", "id", "h").join(asked, "unit").groupBy("unit").agg(F.min(F.struct("h", "id")).alias("at"))
