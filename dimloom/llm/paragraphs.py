@@ -11,7 +11,7 @@ Words are lower-cased runs of letters and digits, shingles are five words. Three
 
 Paragraphs of equal words are one class from the start; short runs meet in no other way. Bands of `ROWS` MinHash values of lines and of long runs are
 tuned for recall: at a Jaccard similarity of 0.8 a pair shares one of `BANDS` bands with probability 1 - (1 - 0.8**3)**8 > 0.996. Classes
-that share a band are compared on whole shingle sets (``link_groups``), links are those of similarity 0.8 or more, and a component of links
+that share a band are compared on whole shingle sets (``link_groups``; a band that only overlapping long runs of one text share is none), links are those of similarity 0.8 or more, and a component of links
 is a cluster: its first paragraph (by document id, then place) stays, the others are removed.
 
 ``repeated_paragraphs`` gives the clusters of lines, ``repeated_passages`` the stretches of words that all kinds mark together. Words of a
