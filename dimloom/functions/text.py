@@ -37,11 +37,9 @@ def strip(c: Column) -> Column:
 def null_if_in(c: Column, values) -> Column:
     """NULL when ``c`` is one of ``values``, else ``c``.
 
-    Written so that ``c`` is referenced once: a CASE would evaluate the
-    (stripping, lower-casing) input twice per row.
+    ``c`` is read twice: where it is costly, name it in a projection before.
     """
-    listed = F.array(*[F.lit(v).cast(T.StringType()) for v in values])
-    return F.try_element_at(F.array_except(F.array(c), listed), F.lit(1))
+    return F.when(~c.isin(*values), c)
 
 
 def is_numeric_text(c: Column) -> Column:

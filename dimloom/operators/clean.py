@@ -87,7 +87,8 @@ def normalize_text(df: DataFrame, cols=None, placeholders=PLACEHOLDERS,
     texts to NULL. NULL stays NULL throughout."""
     cols = _present(df, cols) if cols is not None else string_columns(df)
     nulls = tuple(dict.fromkeys(tuple(placeholders) + tuple(extra_nulls)))
-    return _replace(df, {c: null_if_in(strip_lower(F.col(c)), nulls) for c in cols})
+    stripped = _replace(df, {c: strip_lower(F.col(c)) for c in cols})
+    return _replace(stripped, {c: null_if_in(F.col(c), nulls) for c in cols})
 
 
 def coerce_numeric(df: DataFrame, cols) -> DataFrame:
@@ -161,7 +162,7 @@ def write_profiled(df: DataFrame, path: str, mode: str = "errorifexists") -> Pro
     """A5 while writing: the rows and NULLs of each column are counted as the table is written, without a scan of its own."""
     seen = Observation()
     counts = [F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(df.columns)]
-    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode(mode).parquet(path)
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts).write.mode(mode).option("compression", "zstd").parquet(path)
     got = observed(seen) or df.sparkSession.read.schema(df.schema).parquet(path).agg(F.count(F.lit(1)).alias("rows"), *counts).first()
     return Profile(got["rows"], {c: got["rows"] - got[f"n{i}"] for i, c in enumerate(df.columns)})
 

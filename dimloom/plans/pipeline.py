@@ -45,28 +45,31 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table cleaned up to the defaults (text, codes, coordinates,
     defaults), numbers still as text: the input of the alignment and numeric
-    audits and of the quarantine. Written once per session, so the audits and
-    the rest of the cleaning read one columnar copy instead of re-running the
-    raw joins each."""
+    audits and of the quarantine. Written once per session, so the audits
+    read one columnar copy instead of re-running the raw joins each."""
     base = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     with _lock:
         path = _filled.get(base)
         if path is None or not path_exists(spark, path):
             path = new_scratch_path(spark, "filled")
-            clean(raw(spark, sf_dir), "fill").write.mode("errorifexists").parquet(path)
+            clean(raw(spark, sf_dir), "fill").write.mode("errorifexists").option("compression", "zstd").parquet(path)
             _filled[base] = path
     return spark.read.parquet(path)
 
 
 def build_staging(spark: SparkSession, sf_dir: str) -> tuple[str, Profile]:
-    """Continue cleaning from the filled table up to the drop list and write
-    it; returns its path and its profile, counted while writing.
+    """Clean the raw table up to the drop list and write it; returns its path and
+    its profile, counted while writing. Where the filled table is written already,
+    cleaning continues from it; else nothing is written in between.
 
     The sparse-column decision is left to the reader: it depends on which
     columns are protected, the written table does not.
     """
     path = new_scratch_path(spark, "staging")
-    return path, write_profiled(clean(filled(spark, sf_dir), "rename", start="numeric"), path)
+    held = _filled.get((spark.sparkContext.applicationId, os.path.abspath(sf_dir)))
+    if held is not None and path_exists(spark, held):
+        return path, write_profiled(clean(filled(spark, sf_dir), "rename", start="numeric"), path)
+    return path, write_profiled(clean(raw(spark, sf_dir), "rename"), path)
 
 
 def _staged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Profile]:

@@ -83,7 +83,7 @@ def saved_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = _facts.get(key)
         if path is None or not path_exists(spark, path):
             path = new_scratch_path(spark, "fact")
-            star_fact(spark, sf_dir).write.parquet(path)
+            star_fact(spark, sf_dir).write.option("compression", "zstd").parquet(path)
             _facts[key] = path
     return spark.read.parquet(path)
 
