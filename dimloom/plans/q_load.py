@@ -91,7 +91,7 @@ def src_csv_roundtrip(spark, sf_dir):
     schema; text equal to a null token reads as NULL, as a dataframe CSV reader does."""
     df = raw(spark, sf_dir)
     path = new_scratch_path(spark, "csv")
-    write_clean(df, path, "csv", encoding="ISO-8859-1")
+    write_clean(df, path, "csv", encoding="ISO-8859-1", compression="snappy")
     return read_incidents(spark, path, schema=df.schema, encoding="ISO-8859-1")
 
 
@@ -113,7 +113,7 @@ def src_csv_inferred(spark, sf_dir):
     """The types of the raw table's columns as found in its CSV copy, with their values counted (one
     aggregation over all columns)."""
     path = new_scratch_path(spark, "csv")
-    write_clean(raw(spark, sf_dir), path, "csv", encoding="ISO-8859-1")
+    write_clean(raw(spark, sf_dir), path, "csv", encoding="ISO-8859-1", compression="snappy")
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in raw(spark, sf_dir).schema.fields])
     return infer_types(read_incidents(spark, path, schema=texts, encoding="ISO-8859-1")).drop("position")
 

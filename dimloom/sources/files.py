@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import decimal
 import math
+import operator
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,35 +53,48 @@ _TYPE_PATTERNS = (
 )
 
 
+# Patterns as they are tried on a value, with the types whose texts are among those that fit (bigints are numbers, dates timestamps).
+_TRIED = (("int", ("int", "bigint", "double")), ("double", ("double",)), ("date", ("date", "timestamp")), ("timestamp", ("timestamp",)), ("boolean", ("boolean",)))
+
+
+def type_bits(value: Column) -> Column:
+    """The types of a text as bits, in the order of ``_TYPE_PATTERNS``; NULL for NULL."""
+    patterns, place = dict(_TYPE_PATTERNS), {kind: i for i, (kind, _) in enumerate(_TYPE_PATTERNS)}
+    bits = F.when(value.isNull(), F.lit(None).cast("int"))
+    for name, kinds in _TRIED:
+        fits = [F.when(value.try_cast(k).isNotNull(), F.lit(1 << place[k])).otherwise(0) for k in kinds]
+        bits = bits.when(value.rlike(patterns[name]), reduce(operator.add, fits))
+    return bits.otherwise(0)
+
+
 def infer_types(texts: DataFrame) -> DataFrame:
     """The type of each text column, as rows (position, column_name, data_type, non_null_rows).
 
-    All columns are folded in one aggregation: for each type, whether every value of the column is one of its
-    texts. So it is one pass with partial aggregation, whatever the number of columns and types. NULLs count for no
-    type; a column of NULLs is text."""
+    All columns are folded in one aggregation: a value's types are the bits of a number, a column's those that all of
+    its values have. So it is one pass with partial aggregation and one buffer a column, whatever the number of types,
+    and a value is held against further patterns only until one fits. NULLs count for no type; a column of NULLs is text."""
     aggs = []
     for i, c in enumerate(texts.columns):
-        value = F.col(f"`{c}`")
-        aggs.append(F.count(value).alias(f"n{i}"))
-        aggs += [F.min(F.when(value.isNotNull(), value.rlike(pattern) & value.try_cast(kind).isNotNull())).alias(f"t{i}_{kind}")
-                 for kind, pattern in _TYPE_PATTERNS]
+        aggs += [F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.bit_and(type_bits(F.col(f"`{c}`"))).alias(f"t{i}")]
     one = texts.agg(*aggs)
     found = []
     for i, c in enumerate(texts.columns):
-        kind = F.coalesce(*[F.when(F.col(f"t{i}_{k}"), F.lit(k)) for k, _ in _TYPE_PATTERNS], F.lit("string"))
+        kind = F.coalesce(*[F.when(F.col(f"t{i}").bitwiseAND(1 << j) != 0, F.lit(k)) for j, (k, _) in enumerate(_TYPE_PATTERNS)], F.lit("string"))
         found.append(F.struct(F.lit(i + 1).alias("position"), F.lit(c).alias("column_name"), kind.alias("data_type"), F.col(f"n{i}").alias("non_null_rows")))
     return one.select(F.explode(F.array(*found)).alias("c")).select("c.*")
 
 
 def write_clean(df: DataFrame, path: str, fmt: str = "csv", mode: str = "errorifexists",
-                encoding: str = "UTF-8") -> None:
+                encoding: str = "UTF-8", compression: str = "none") -> None:
     """Write a cleaned table; CSV gets a header and quotes every text value
-    that needs it. The output is a folder of part files, one per task."""
+    that needs it. The output is a folder of part files, one per task; ``compression``
+    names a codec for them (``read_incidents`` knows it by the files' names)."""
     writer = df.write.mode(mode)
     if fmt == "csv":
         writer = (writer.option("header", True).option("encoding", encoding)
                   .option("quote", '"').option("escape", '"').option("quoteAll", False)
-                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+                  .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+                  .option("compression", compression))
         writer.csv(path)
     else:
         writer.format(fmt).save(path)
