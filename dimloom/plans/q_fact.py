@@ -124,7 +124,7 @@ FIRST_LOAD_BEFORE = 19980101
 
 
 def _events(spark, sf_dir):
-    return prepare_events(stage(spark, sf_dir), DEDUPE_ORDER)
+    return prepare_events(stage(spark, sf_dir), DEDUPE_ORDER, written=True)
 
 
 def _lookup(events, spark, sf_dir, dim_name):
@@ -138,7 +138,7 @@ def _lookup(events, spark, sf_dir, dim_name):
 @register("dedupe_events", O.staged(*_EVENTS[:2]) + "SELECT * FROM dedup")
 def dedupe_events(spark, sf_dir):
     """One row per event id; the survivor is the first by (tie1, tie2, tie3)."""
-    return dedupe(stage(spark, sf_dir), ["eventid"], DEDUPE_ORDER)
+    return dedupe(stage(spark, sf_dir), ["eventid"], DEDUPE_ORDER, written=True)
 
 
 # Every seventh row gets a year before the first one that counts as a date.

@@ -259,7 +259,7 @@ def fact_rejects(spark, sf_dir):
         "year": F.when(tie % 79 == 0, 1850).otherwise(F.col("year")),
     })
     lookups = [replace(lk, how="left") for lk in LOOKUPS]
-    view = fact_view(broken, dimensions(spark, sf_dir), lookups, FACT_COLUMNS, DEDUPE_ORDER)
+    view = fact_view(broken, dimensions(spark, sf_dir), lookups, FACT_COLUMNS, DEDUPE_ORDER, written=True)
     named = view.withColumnsRenamed(FACT_RENAMES).withColumn("reason", reject_reason())
     return named.where(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
