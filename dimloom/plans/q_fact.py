@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from dimloom.functions.dates import date_key, valid_date
-from dimloom.operators.fact import dedupe, hot_for, lookup, prepare_events, resolve_star
+from dimloom.operators.fact import dedupe, hot_for, lookup, measured, prepare_events, resolve_star
 from dimloom.plans import oracle_base as O
 from dimloom.plans.pipeline import stage
 from dimloom.plans.q_dims import star_ctes
@@ -128,9 +128,10 @@ def _events(spark, sf_dir):
 
 
 def _lookup(events, spark, sf_dir, dim_name):
-    keyed, spec = dimension(spark, sf_dir, dim_name), LOOKUP_BY_DIM[dim_name]
+    spec = LOOKUP_BY_DIM[dim_name]
+    keyed = measured(spark, dimension(spark, sf_dir, dim_name), spec)
     return lookup(events, keyed.df, spec, keyed.rows, keyed.text_bytes,
-                  hot_for(stage(spark, sf_dir), keyed, spec), unique_on=keyed.unique_on)
+                  hot_for(stage(spark, sf_dir), keyed, spec), unique_on=keyed.unique_on, salt_on=("eventid",))
 
 
 # ---- queries -------------------------------------------------------------
@@ -207,7 +208,7 @@ def fact_lookup_location_precise(spark, sf_dir):
     """J3 (precise, T8): the location matched on all six columns, NULL-safely."""
     keyed = dimension(spark, sf_dir, "DimLocation")
     return lookup(_events(spark, sf_dir), keyed.df, PRECISE_LOCATION, keyed.rows, keyed.text_bytes,
-                  hot_for(stage(spark, sf_dir), keyed, PRECISE_LOCATION), unique_on=keyed.unique_on).select(
+                  hot_for(stage(spark, sf_dir), keyed, PRECISE_LOCATION), unique_on=keyed.unique_on, salt_on=("eventid",)).select(
         "eventid", "LocationKey")
 
 
@@ -229,7 +230,7 @@ def fact_lookup_collated(spark, sf_dir):
     ragged = _events(spark, sf_dir).withColumns({c: F.expr(_VARIANT.format(c)) for c in ("city", "gname")})
     lookups = [replace(LOOKUP_BY_DIM["DimLocation"], how="left", collated=(2,)), replace(LOOKUP_BY_DIM["DimPerpetratorGroup"], collated=(0,))]
     dims = {s.dim: dimension(spark, sf_dir, s.dim) for s in lookups}
-    found = resolve_star(ragged, dims, lookups, hot_source=stage(spark, sf_dir))
+    found = resolve_star(ragged, dims, lookups, hot_source=stage(spark, sf_dir), salt_on=("eventid",))
     return found.select("eventid", "city", "gname", "LocationKey", "PerpetratorGroupKey")
 
 

@@ -1,8 +1,11 @@
-"""Rows kept by their places."""
+"""Rows kept by their places, and what the fact's lookups shuffle."""
+
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from dimloom.operators.fact import dedupe
+from dimloom.operators.fact import LookupSpec, dedupe, is_large, lookup, measured, resolve_star
+from dimloom.operators.keys import Keyed
 from dimloom.operators.places import first_rows
 
 
@@ -38,3 +41,32 @@ def test_bitmaps_are_broadcast_within_a_bound(spark, tmp_path):
     assert first_rows(table, ["k"], ["a", "b"], most_bytes=3 * 4096) is None  # four blocks
     assert first_rows(table, ["k"], ["a", "b"], most_bytes=4 * 4096) is not None
     assert first_rows(table, ["k"], ["a", "b"], may_broadcast=False) is None
+
+
+def test_lookup_is_sized_by_its_reduced_side(spark, tmp_path):
+    # many members share what the lookup matches
+    dim = spark.range(20_000).select((F.col("id") + 1).cast("int").alias("k"), (F.col("id") % 10).cast("int").alias("code"), F.col("id").alias("other"))
+    fact = spark.range(40).select(F.col("id").alias("eventid"), (F.col("id") % 12).cast("int").alias("code"))
+    spec, keyed = LookupSpec("D", "k", (("code", "code"),)), Keyed(dim, 20_000, "k", 0, ("code", "other"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+        assert is_large(spark, keyed, spec)
+        small = measured(spark, keyed, spec)
+        assert (small.rows, small.text_bytes) == (10, 0)
+        found = resolve_star(fact, {"D": keyed}, [spec], hot_source=fact)
+        assert "BroadcastHashJoin" in _plan(found) and "SortMergeJoin" not in _plan(found)
+        assert {r.eventid: r.k for r in found.collect()} == {i: i % 12 + 1 if i % 12 < 10 else None for i in range(40)}
+        # a lookup on all natural columns joins the whole dimension: nothing to count
+        whole = replace(spec, pairs=(("code", "code"), ("other", "eventid")))
+        assert measured(spark, keyed, whole) is keyed
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_salted_lookup_reads_only_what_is_asked_for(spark):
+    dim = spark.range(9).select(F.col("id").cast("int").alias("k"), F.col("id").cast("int").alias("code"))
+    fact = spark.range(90).select(F.col("id").alias("eventid"), (F.col("id") % 9).cast("int").alias("code"), F.lit("x").alias("unread"))
+    out = lookup(fact, dim, LookupSpec("D", "k", (("code", "code"),)), None, hot=[("1",)], salts=4, salt_on=("eventid",)).select("eventid", "k")
+    assert "unread" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r) for r in out.collect()) == [(i, i % 9) for i in range(90)]
