@@ -9,13 +9,15 @@ import re
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimloom.functions.dates import date_key, valid_date
-from dimloom.operators.keys import Keyed, size_stats
+from dimloom.operators.keys import Keyed, size_aggregates, size_stats
+from dimloom.operators.observed import observed
 from dimloom.operators.places import first_rows
+from dimloom.session import new_scratch_path
 
 
 @dataclass(frozen=True)
@@ -36,7 +38,8 @@ class LookupSpec:
     # NULL-safe equality (NULL matches NULL) instead of SQL '='.
     null_safe: bool = False
     # Pairs (by index) of texts that match under ``collation``, for instance whatever their case
-    # and trailing spaces. Such a lookup is a sort-merge join: Spark hashes no collated text.
+    # and trailing spaces. Spark hashes no collated text, so it is the different texts of the facts
+    # that are matched by a sort-merge join, and the facts then meet those by plain equality.
     collated: tuple[int, ...] = ()
     collation: str = "UTF8_LCASE_RTRIM"
 
@@ -174,9 +177,31 @@ def reduced_side(dim: DataFrame, spec: LookupSpec, unique_on: tuple[str, ...] =
     return dim.groupBy(*named).agg(*aggs).select(*[f"__d{i}" for i in range(len(named))], spec.key, *spec.carry)
 
 
+def collated_members(fact: DataFrame, dim: DataFrame, spec: LookupSpec) -> Keyed:
+    """The dimension of a collated lookup as the facts write it: one row for each different key of ``fact`` that
+    matches, with its key and carried columns. Written once and counted while it is written."""
+    k = range(len(spec.pairs))
+    plain = replace(spec, collated=())
+    names = [d for d, _ in spec.pairs]
+    texts = fact.select(*[plain.fact_expr(i).alias(f"__t{i}") for i in k])
+    if not spec.null_safe:  # NULL keys never match
+        texts = texts.na.drop(subset=[f"__t{i}" for i in k])
+    side = reduced_side(dim, spec).hint("merge")
+    collated = [F.collate(f"__t{i}", spec.collation) if i in spec.collated else F.col(f"__t{i}") for i in k]
+    cond = [c.eqNullSafe(side[f"__d{i}"]) if spec.null_safe else c == side[f"__d{i}"] for i, c in enumerate(collated)]
+    found = texts.distinct().join(side, cond).select(*[F.col(f"__t{i}").alias(d) for i, d in enumerate(names)], spec.key, *spec.carry)
+    path, seen = new_scratch_path(fact.sparkSession, "matched"), Observation()
+    found.observe(seen, *size_aggregates(found)).write.parquet(path)
+    df = fact.sparkSession.read.schema(found.schema).parquet(path)
+    got = observed(seen)
+    rows, text_bytes = (int(got["n"]), int(got["b"])) if got else size_stats(df)
+    return Keyed(df, rows, spec.key, text_bytes, tuple(names))
+
+
 def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | None = None,
            dim_text_bytes: int | None = None, hot: list[tuple] | None = None,
-           salts: int = SALTS, unique_on: tuple[str, ...] = (), salt_on: tuple[str, ...] = ()) -> DataFrame:
+           salts: int = SALTS, unique_on: tuple[str, ...] = (), salt_on: tuple[str, ...] = (),
+           texts: DataFrame | None = None) -> DataFrame:
     """Add ``spec.key`` (and carried columns) to every fact row.
 
     The dimension is first reduced to one key per natural key (the smallest,
@@ -189,14 +214,20 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
     hot keys not listed.
 
     ``salt_on``: columns that tell the fact's rows apart; only they are hashed, so that columns nobody reads
-    don't travel (default: all).
+    don't travel (default: all). ``texts``: where a collated lookup finds the fact's texts (default: the fact).
     """
+    if spec.collated:
+        texts = fact if texts is None else texts
+        found, plain = collated_members(texts, dim, spec), replace(spec, collated=())
+        large = hot is not None and is_large(fact.sparkSession, found, plain)
+        return lookup(fact, found.df, plain, found.rows, found.text_bytes, hot_lookup_keys(texts, [plain])[0] if large else None,
+                      salts, found.unique_on, salt_on)
     dcols = [d for d, _ in spec.pairs]
     side = reduced_side(dim, spec, unique_on)
     # The reduced side has no more rows and no more text than the dimension.
     # Otherwise a merge hint keeps the planner from broadcasting on its own
     # static estimate (compressed file sizes are no bound on memory).
-    broadcast = not spec.collated and fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes)
+    broadcast = fits_broadcast(fact.sparkSession, dim_rows, side.schema, dim_text_bytes)
     side = F.broadcast(side) if broadcast else side.hint("merge")
     if spec.null_safe:
         cond = [spec.fact_expr(i).eqNullSafe(side[f"__d{i}"]) for i in range(len(dcols))]
@@ -235,7 +266,7 @@ def lookup(fact: DataFrame, dim: DataFrame, spec: LookupSpec, dim_rows: int | No
 def is_large(spark: SparkSession, keyed, spec: LookupSpec) -> bool:
     """Whether a lookup's dimension can't be broadcast."""
     side = reduced_side(keyed.df, spec, keyed.unique_on)
-    return bool(spec.collated) or not fits_broadcast(spark, keyed.rows, side.schema, keyed.text_bytes)
+    return not fits_broadcast(spark, keyed.rows, side.schema, keyed.text_bytes)
 
 
 def measured(spark: SparkSession, keyed: Keyed, spec: LookupSpec) -> Keyed:
@@ -281,12 +312,13 @@ def resolve_star(events: DataFrame, dims: dict, lookups, hot_source: DataFrame |
     sized = {s.dim: measured(spark, dims[s.dim], s) for s in lookups}
     out, hot = events, {}
     if hot_source is not None:
-        large = [s for s in lookups if is_large(spark, sized[s.dim], s)]
+        large = [s for s in lookups if not s.collated and is_large(spark, sized[s.dim], s)]
         hot = {s.dim: keys for s, keys in zip(large, hot_lookup_keys(hot_source, large), strict=True)}
+        hot.update({s.dim: [] for s in lookups if s.collated})  # found among their own texts
     for spec in lookups:
         keyed = sized[spec.dim]
         out = lookup(out, keyed.df, spec, keyed.rows, keyed.text_bytes, hot.get(spec.dim), unique_on=keyed.unique_on,
-                     salt_on=salt_on)
+                     salt_on=salt_on, texts=events)
     return out
 
 

@@ -70,3 +70,24 @@ def test_salted_lookup_reads_only_what_is_asked_for(spark):
     out = lookup(fact, dim, LookupSpec("D", "k", (("code", "code"),)), None, hot=[("1",)], salts=4, salt_on=("eventid",)).select("eventid", "k")
     assert "unread" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(tuple(r) for r in out.collect()) == [(i, i % 9) for i in range(90)]
+
+
+def test_collated_lookup_sorts_texts_and_not_facts(spark):
+    dim = spark.createDataFrame([(3, "Rome", 1), (1, "ROME ", 1), (2, "paris", 1), (4, " oslo", 1), (5, None, 1)], "k int, city string, land int")
+    towns = ["rome", "Rome   ", "PARIS", "oslo", None, "x"]
+    fact = spark.createDataFrame([(i, c, 1) for i, c in enumerate(towns * 40)], "eventid int, town string, land int")
+    spec = LookupSpec("D", "k", (("city", "town"), ("land", "land")), collated=(0,))
+    out = resolve_star(fact, {"D": Keyed(dim, 5, "k", 20)}, [spec], hot_source=fact, salt_on=("eventid",))
+    assert "SortMergeJoin" not in _plan(out) and "BroadcastHashJoin" in _plan(out)
+    want = {0: 1, 1: 1, 2: 2, 3: None, 4: None, 5: None}
+    assert out.count() == 240 and {r.eventid % 6: r.k for r in out.collect()} == want
+    assert out.schema["town"].dataType.simpleString() == "string"
+    safe = lookup(fact, dim, replace(spec, null_safe=True))
+    assert {r.eventid % 6: r.k for r in safe.collect()} == {**want, 4: 5}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:  # too many texts to broadcast: hot ones are salted as the facts write them
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        large = lookup(fact, dim, spec, 5, 20, hot=[])
+        assert "SortMergeJoin" in _plan(large) and {r.eventid % 6: r.k for r in large.collect()} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
