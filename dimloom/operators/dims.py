@@ -13,10 +13,12 @@ from collections.abc import Callable
 from functools import reduce
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from dimloom.operators.keys import DEFAULT_BUCKET_ROWS, Keyed, assign_keys, continue_keys, size_stats
+from dimloom.operators.keys import DEFAULT_BUCKET_ROWS, Keyed, assign_keys, continue_keys, size_aggregates, size_stats
+from dimloom.operators.observed import observed
+from dimloom.session import new_scratch_path
 
 
 @dataclass(frozen=True)
@@ -145,9 +147,17 @@ def new_rows(incoming: DataFrame, existing: DataFrame, on, incoming_rows: int |
 def insert_new(staging: DataFrame, spec: DimSpec, existing: DataFrame,
                bucket_rows: int | None = DEFAULT_BUCKET_ROWS) -> Keyed:
     """D1 + K2: members not in ``existing`` (by natural key), numbered after its
-    largest key. Returns only the rows to append."""
+    largest key. Returns only the rows to append.
+
+    The members are written first, and counted as they are: staging is then read once, and the anti join meets
+    members only (Spark would push it below their aggregation, to all rows of staging)."""
     members = build_dimension(staging, spec)
-    rows, text_bytes = size_stats(members.select(*spec.natural))
+    path, seen = new_scratch_path(staging.sparkSession, "members"), Observation()
+    sizes = size_aggregates(members.select(*spec.natural))
+    members.observe(seen, *sizes).write.parquet(path)
+    members = staging.sparkSession.read.schema(members.schema).parquet(path)
+    got = observed(seen)
+    rows, text_bytes = (int(got["n"]), int(got["b"])) if got else size_stats(members.select(*spec.natural))
     fresh = new_rows(members, existing, list(spec.natural), rows, text_bytes)
     return continue_keys(fresh, existing, spec.ordering, spec.key, bucket_rows)
 
