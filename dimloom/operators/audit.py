@@ -172,18 +172,16 @@ def reference_violations(fact: DataFrame, refs) -> DataFrame:
 
     ``refs``: list of (fact column, dimension name, dimension DataFrame, dimension
     key column, dimension rows or None). All keys are checked in one pass over the
-    fact: the fact is unpivoted to (fk, key) and counted per distinct key value
-    (partial aggregation before the shuffle); the values found in their
+    fact: the fact is unpivoted to (number of fk, key) and counted per distinct key value
+    (partial aggregation before the shuffle, on numbers alone); the values found in their
     dimension (left semi join, so repeated dimension keys cannot inflate
     counts) give orphans = checked - found. Output: fk_column, dimension,
     checked_rows, null_rows, orphan_rows.
     """
-    cols = [r[0] for r in refs]
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("fk"), F.col(c).cast("long").alias("k")) for c in cols]))
-    per_value = fact.select(pairs.alias("p")).select("p.fk", "p.k").groupBy("fk", "k").agg(
-        F.count(F.lit(1)).alias("n"))
+    per_value = fact.select(F.posexplode(F.array(*[F.col(r[0]).cast("long") for r in refs])).alias("fk", "k")).groupBy(
+        "fk", "k").agg(F.count(F.lit(1)).alias("n"))
     dim_keys = reduce(DataFrame.unionByName, [
-        dim.select(F.lit(col).alias("fk"), F.col(key).cast("long").alias("k")) for col, _, dim, key, _ in refs])
+        dim.select(F.lit(i).alias("fk"), F.col(key).cast("long").alias("k")) for i, (_, _, dim, key, _) in enumerate(refs)])
     found = per_value.join(dim_keys, ["fk", "k"], "left_semi").select(
         "fk", "k", F.lit(None).cast("long").alias("n"), F.col("n").alias("found"))
     both = per_value.select("fk", "k", "n", F.lit(None).cast("long").alias("found")).unionByName(found)
@@ -191,8 +189,8 @@ def reference_violations(fact: DataFrame, refs) -> DataFrame:
         F.sum(F.when(F.col("k").isNotNull(), F.col("n"))).alias("checked_rows"),
         F.sum(F.when(F.col("k").isNull(), F.col("n"))).alias("null_rows"),
         F.sum("found").alias("found_rows"))
-    names = fact.sparkSession.createDataFrame([(c, d) for c, d, *_ in refs], "fk string, dimension string")
+    names = fact.sparkSession.createDataFrame([(i, c, d) for i, (c, d, *_) in enumerate(refs)], "fk int, fk_column string, dimension string")
     out = F.broadcast(names).join(totals, "fk", "left")  # one row per declared key
     z = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
-    return out.select(F.col("fk").alias("fk_column"), "dimension", z("checked_rows").alias("checked_rows"),
+    return out.select("fk_column", "dimension", z("checked_rows").alias("checked_rows"),
                       z("null_rows").alias("null_rows"), (z("checked_rows") - z("found_rows")).alias("orphan_rows"))

@@ -304,11 +304,13 @@ def load_dimension(wh: Warehouse, staging: DataFrame, spec: DimSpec, mode: str |
         keyed = keyed_dimension(staging, spec)
         wh.publish(spec.name, keyed.df, spec.unique_on)
         return StepResult(spec.name, 1, keyed.rows, "refreshed")
-    if mode == "if_empty" and not wh.is_empty(spec.name):
-        return StepResult(spec.name, 0, 0, "not empty; nothing loaded")
     if mode not in ("insert_new", "if_empty"):
         raise ValueError(f"unknown load mode {mode}")
-    fresh = insert_new(staging, spec, wh.table(spec.name))
+    empty = wh.is_empty(spec.name)
+    if mode == "if_empty" and not empty:
+        return StepResult(spec.name, 0, 0, "not empty; nothing loaded")
+    # All members are new to an empty table.
+    fresh = keyed_dimension(staging, spec) if empty else insert_new(staging, spec, wh.table(spec.name))
     if fresh.rows:
         wh.append(spec.name, fresh.df, spec.unique_on)
     return StepResult(spec.name, 1, fresh.rows, "new members inserted" if fresh.rows else "no new members")
@@ -352,7 +354,8 @@ def load_fact_table(wh: Warehouse, staging: DataFrame, specs, lookups, columns,
     n = int(totals["n"]) - rejected
     before = wh.version(FACT) or Version()
     existing, opened, parts = existing_ids(wh, ok, n, before)
-    fresh = load_fact(ok, existing, SCHEMAS[FACT], {}, view_rows=n)
+    # Ids of the batch are known to none of the fact's rows where no part may hold one: nothing to join then.
+    fresh = load_fact(ok, existing, SCHEMAS[FACT], {}, view_rows=n) if opened else conform(ok, SCHEMAS[FACT])
     batch = wh.append(FACT, fresh, ("EventID",), at_most=n)
     remove_path(wh.spark, path)
     return StepResult(FACT, 1, batch.rows, f"parts of the fact opened: {opened} of {parts}; values lost in casts {totals['lost']}; rejected {rejected}")

@@ -91,3 +91,70 @@ def test_collated_lookup_sorts_texts_and_not_facts(spark):
         assert "SortMergeJoin" in _plan(large) and {r.eventid % 6: r.k for r in large.collect()} == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_new_members_are_joined_as_members(spark, tmp_path):
+    # staging is read once, and the anti join does not meet its rows
+    from dimloom.operators.dims import insert_new
+    from dimloom.plans.specs import BY_NAME
+    from dimloom.session import scratch_root
+
+    spec = BY_NAME["DimRegion"]
+    spark.range(4000).select((F.col("id") % 8).cast("int").alias("region"), F.format_string("r%d", F.col("id") % 8).alias("region_txt")).write.parquet(str(tmp_path / "s"))
+    staging = spark.read.parquet(str(tmp_path / "s"))
+    existing = spark.createDataFrame([(1, 0, "r0"), (2, 5, "r5")], "RegionKey int, region int, RegionName string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        fresh = insert_new(staging, spec, existing)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert sorted(tuple(r) for r in fresh.df.collect()) == [(k, c, f"r{c}") for k, c in ((3, 1), (4, 2), (5, 3), (6, 4), (7, 6), (8, 7))]
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert any(f.getPath().getName().startswith("members-") for f in fs.listStatus(path))
+
+
+def test_first_load_joins_no_empty_table(spark, tmp_path, monkeypatch):
+    from dimloom.plans import warehouse as W
+    from dimloom.plans.specs import BY_NAME
+
+    def not_asked(*a, **b):
+        raise AssertionError("nothing is there to be compared with")
+
+    monkeypatch.setattr(W, "insert_new", not_asked)
+    staging = spark.range(40).select((F.col("id") % 8).cast("int").alias("region"), F.lit("r").alias("region_txt"))
+    wh = W.Warehouse(spark, str(tmp_path / "w"))
+    for mode in ("insert_new", "if_empty"):
+        got = W.load_dimension(W.Warehouse(spark, str(tmp_path / mode)), staging, BY_NAME["DimRegion"], mode)
+        assert (got.status, got.rows) == (1, 8)
+    assert wh.is_empty("DimRegion")
+
+
+def test_first_fact_load_joins_nothing_and_replays_add_nothing(spark, tmp_path, monkeypatch):
+    from dimloom.plans import warehouse as W
+
+    ids = [f.name for f in W.SCHEMAS[W.FACT].fields]
+    view = spark.range(30).select(F.col("id").cast("string").alias("EventID"), F.lit(19990101).alias("DateKey"), F.lit(1).alias("LocationKey"),
+                                  *[F.lit(None).cast(W.SCHEMAS[W.FACT][c].dataType).alias(c) for c in ids[3:]])
+    asked = []
+    joined = W.load_fact
+    monkeypatch.setattr(W, "fact_view", lambda *a, **b: view)
+    monkeypatch.setattr(W, "load_fact", lambda *a, **b: (asked.append(1), joined(*a, **b))[1])
+    wh = W.Warehouse(spark, str(tmp_path / "w"))
+    first = W.load_fact_table(wh, view, [], [], [], [])
+    assert (first.rows, asked) == (30, [])
+    again = W.load_fact_table(wh, view, [], [], [], [])
+    assert (again.rows, asked) == (0, [1]) and wh.table(W.FACT).count() == 30
+
+
+def test_references_are_counted_by_number(spark):
+    from dimloom.operators.audit import reference_violations
+
+    fact = spark.createDataFrame([(1, 7), (2, None), (9, 8), (9, 7)], "a int, b int")
+    dim, other = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(7,), (7,)], "k int")
+    out = reference_violations(fact, [("a", "A", dim, "k", None), ("b", "B", other, "k", None)])
+    assert out.columns == ["fk_column", "dimension", "checked_rows", "null_rows", "orphan_rows"]
+    assert sorted(tuple(r) for r in out.collect()) == [("a", "A", 4, 0, 2), ("b", "B", 3, 1, 1)]
+    # no names travel with the keys
+    assert "posexplode" in out._jdf.queryExecution().executedPlan().toString()
